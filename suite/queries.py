@@ -12,7 +12,7 @@ from tidemark import constants as C
 from tidemark.functions import scalars as S
 from tidemark.functions.sentiment import Lexicon, with_sentiment
 from tidemark.operators import observe
-from tidemark.operators.clean import audit, clean, coerce, partition_values
+from tidemark.operators.clean import audit, clean, coerce, partition_values, with_chunk
 from tidemark.operators.dedup import first_per_key, flag_duplicates
 from tidemark.operators.quality import missing_by_group, profile, unknown_categories
 from tidemark.operators.rules import InRange, NotAbove, Present, keep, with_reason
@@ -69,7 +69,7 @@ def _parts(spark, sf):
     """Fields of all data lines; every layout of the dump has the same number of fields."""
     groups = tsv.group_by_header(D.dump_headers(spark, sf))
     return union_parts(
-        [tsv.split_fields(tsv.data_lines(tsv.raw_lines(spark, p, D.DUMP_NAME), h)) for h, p in groups.items()]
+        [tsv.drop_blank(tsv.data_lines(tsv.raw_lines(spark, p, D.DUMP_NAME), h)) for h, p in groups.items()]
     )
 
 
@@ -160,9 +160,8 @@ def write_parquet_roundtrip(spark, sf):
 
 def _positioned(spark, sf):
     """Typed rows of the dump with positions, chunk index and partition values."""
-    rows = coerce(_scan(spark, sf, positions=True))
-    audited = audit(rows, D.RUN_ID, D.AS_OF, chunk_rows=D.CHUNK_ROWS)
-    return partition_values(audited, D.AS_OF)
+    rows = with_chunk(coerce(_scan(spark, sf, positions=True)), D.CHUNK_ROWS)
+    return partition_values(audit(rows, D.RUN_ID, D.AS_OF), D.AS_OF)
 
 
 @query
@@ -190,7 +189,7 @@ def overwrite_idempotent(spark, sf):
 
 def _per_chunk(spark, sf):
     scope = ("source_file", "chunk_idx")
-    return clean(_positioned(spark, sf), tsv.ORDER, scope=scope).drop(*tsv.ORDER)
+    return clean(_positioned(spark, sf), tsv.POSITION, scope=scope).drop(*tsv.ORDER)
 
 
 @query
@@ -564,4 +563,5 @@ def passages(spark, sf):
 def nearest_vectors(spark, sf):
     corpus = D.table(spark, sf, "embeddings")
     firsts = corpus.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("v")).collect()
-    return R.nearest(corpus, "vec_id", "embedding", {r.label: r.v for r in firsts}, k=10)
+    found = R.nearest(corpus, "vec_id", "embedding", {r.label: r.v for r in firsts}, k=10)
+    return found.withColumn("query", F.col("query").cast("int"))

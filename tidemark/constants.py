@@ -45,6 +45,9 @@ CATEGORIES = (
 )
 
 # A number as the numeric cast accepts it (Spark's own cast would also take '5d' and '5f').
-NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-INFINITY_PATTERN = r"^[+-]?(?i:inf|infinity)$"
+# The digits are bounded so that the value is finite; larger numbers count as unparsable.
+NUMBER_PATTERN = (
+    r"^\s*[+-]?(?:\d{1,100}\.?\d*|\.\d+)(?:[eE](?:[+-]?0*\d{1,2}|\+?0*1\d\d|-\d+))?\s*$"
+    r"|^[+-]?(?i:inf|infinity)$"
+)
 DATE_FORMAT = "yyyy-MM-dd"

@@ -23,16 +23,10 @@ def yes_no(col: Column, yes: str = C.FLAG_TRUE, no: str = C.FLAG_FALSE) -> Colum
 def safe_number(col: Column) -> Column:
     """Number from text, null when it is not one; fractions and padding are accepted.
 
-    Digits too large for a double are null; only the word ``inf`` gives an infinity.
+    The column occurs once in the expression, so a filter on the number stays small when the
+    optimizer moves it below the projection.
     """
-    number = F.when(col.rlike(C.NUMBER_PATTERN), col.try_cast("double"))
-    finite = F.when(F.abs(number) < float("inf"), number)
-    return F.coalesce(finite, F.when(col.rlike(C.INFINITY_PATTERN), col.try_cast("double")))
-
-
-def nan_to_null(col: Column) -> Column:
-    """Spark orders NaN above every number; a comparison with a missing value must fail instead."""
-    return F.when(~F.isnan(col), col)
+    return F.regexp_extract(col, C.NUMBER_PATTERN, 0).try_cast("double")
 
 
 def safe_timestamp(col: Column, formats: Sequence[str] = (C.DATE_FORMAT,)) -> Column:

@@ -41,15 +41,14 @@ def words(text: Column) -> Column:
     return F.split(F.lower(text), r"[^\p{L}]+")
 
 
-def lexicon_score(tokens: Column, lexicon: Lexicon = ENGLISH) -> Column:
-    """(positive - negative) / (positive + negative) over all words, 0 when no word counts."""
+def hits(tokens: Column, chosen: Sequence[str]) -> Column:
+    """How many of the words are in a list."""
+    return F.size(F.filter(tokens, lambda w: w.isin(*chosen)))
 
-    def hits(chosen: Sequence[str]) -> Column:
-        return F.size(F.filter(tokens, lambda w: w.isin(*chosen)))
 
-    good, bad = hits(lexicon.positive), hits(lexicon.negative)
-    score = F.when(good + bad > 0, (good - bad) / (good + bad)).otherwise(F.lit(0.0))
-    return F.when(tokens.isNotNull(), score)
+def balance(good: Column, bad: Column) -> Column:
+    """(good - bad) / (good + bad), 0 when there is neither."""
+    return F.when(good + bad > 0, (good - bad) / (good + bad)).when(good + bad == 0, F.lit(0.0))
 
 
 def label_of(score: Column) -> Column:
@@ -57,9 +56,17 @@ def label_of(score: Column) -> Column:
 
 
 def with_sentiment(df: DataFrame, text: str, lexicon: Lexicon = ENGLISH) -> DataFrame:
-    """Add ``score`` in [-1, 1] and ``label``. The words are split once, in a column of their own."""
-    scored = df.withColumn("_words", words(F.col(text))).withColumn("score", lexicon_score(F.col("_words"), lexicon))
-    return scored.withColumn("label", label_of(F.col("score"))).drop("_words")
+    """Add ``score`` in [-1, 1] and ``label`` from the words of the whole text.
+
+    Words and counts are columns of their own, so each is worked out once per row.
+    """
+    tokens = F.col("_words")
+    counted = df.withColumn("_words", words(F.col(text))).withColumns(
+        {"_good": hits(tokens, lexicon.positive), "_bad": hits(tokens, lexicon.negative)}
+    )
+    score = F.when(F.col(text).isNotNull(), balance(F.col("_good"), F.col("_bad")))
+    scored = counted.withColumn("score", score)
+    return scored.withColumn("label", label_of(F.col("score"))).drop("_words", "_good", "_bad")
 
 
 Scorer = Callable[[list[str]], Sequence[tuple[str, float]]]

@@ -29,14 +29,18 @@ def coerce(
     return df.withColumns(typed) if typed else df
 
 
-def audit(df: DataFrame, run_id: str, run_at: datetime, *, chunk_rows: int = C.CHUNK_ROWS) -> DataFrame:
-    """Ingest time and batch id of the run, and the chunk index where positions are known."""
-    position = F.col("pos") if "pos" in df.columns else None
-    chunk = chunk_of(position, chunk_rows) if position is not None else F.lit(0)
-    return (
-        df.withColumn("chunk_idx", chunk)
-        .withColumn("ingest_time", F.lit(run_at).cast("timestamp"))
-        .withColumn("batch_id", batch_id(run_id, F.col("source_file"), F.col("chunk_idx")))
+def with_chunk(df: DataFrame, chunk_rows: int = C.CHUNK_ROWS) -> DataFrame:
+    """Add the index of the chunk a row's position falls in."""
+    return df.withColumn("chunk_idx", chunk_of(F.col("pos"), chunk_rows))
+
+
+def audit(df: DataFrame, run_id: str, run_at: datetime) -> DataFrame:
+    """Ingest time and batch id of a run. They follow from the file and chunk, so add them last."""
+    return df.withColumns(
+        {
+            "ingest_time": F.lit(run_at).cast("timestamp"),
+            "batch_id": batch_id(run_id, F.col("source_file"), F.col("chunk_idx")),
+        }
     )
 
 

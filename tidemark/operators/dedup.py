@@ -35,16 +35,9 @@ def flag_duplicates(
     aggregation with map-side combine and is joined back; one key then has a single row on
     that side, so the skew join can split a hot key on the other.
     """
-    by = [*scope, *keys]
-    firsts = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(by)]).agg(
-        F.min(F.struct(*order)).alias("_first")
-    )
-    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(by)]
-    condition = same[0]
-    for test in same[1:]:
-        condition = condition & test
+    # Structs of nulls equal each other, and one column serves the aggregation and the join.
+    tagged = df.withColumn("_key", F.struct(*scope, *keys))
+    firsts = tagged.groupBy("_key").agg(F.min(F.struct(*order)).alias("_first"))
     return (
-        df.join(firsts, condition, "left")
-        .withColumn(column, F.struct(*order) != F.col("_first"))
-        .drop("_first", *[f"_k{i}" for i in range(len(by))])
+        tagged.join(firsts, "_key").withColumn(column, F.struct(*order) != F.col("_first")).drop("_key", "_first")
     )

@@ -9,12 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import constants as C
-from tidemark.functions.scalars import nan_to_null
-
-
-def _numeric(df: DataFrame, name: str) -> Column:
-    col = F.col(name)
-    return nan_to_null(col) if dict(df.dtypes)[name] in ("double", "float") else col
 
 
 @dataclass(frozen=True)
@@ -32,7 +26,8 @@ class InRange:
         return self.column in columns
 
     def passes(self, df: DataFrame) -> Column:
-        col = _numeric(df, self.column)
+        # NaN is above every number, so the upper bound keeps it out.
+        col = F.col(self.column)
         low = col >= self.low if self.low_inclusive else col > self.low
         high = col <= self.high if self.high_inclusive else col < self.high
         return low & high
@@ -50,7 +45,11 @@ class NotAbove:
         return self.smaller in columns and self.larger in columns
 
     def passes(self, df: DataFrame) -> Column:
-        return _numeric(df, self.smaller) <= _numeric(df, self.larger)
+        within = F.col(self.smaller) <= F.col(self.larger)
+        if dict(df.dtypes)[self.larger] in ("double", "float"):
+            # Every number is below NaN, which must not let a row pass.
+            within = within & (F.col(self.larger) <= float("inf"))
+        return within
 
 
 @dataclass(frozen=True)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.sentiment import ENGLISH, NEGATIVE, POSITIVE, Lexicon, with_sentiment
 from tidemark.operators.ranks import with_rank
+from tidemark.session import stored
 
 
 def product_ratings(reviews: DataFrame) -> DataFrame:
@@ -39,15 +40,14 @@ def rating_popularity_correlation(reviews: DataFrame) -> DataFrame:
     )
 
 
-def damped_ratings(reviews: DataFrame, weight: float = 5.0) -> DataFrame:
+def damped(ratings: DataFrame, weight: float = 5.0) -> DataFrame:
     """Average rating pulled towards that of the category by ``weight`` reviews."""
-    ratings = product_ratings(reviews)
     categories = ratings.groupBy("product_category").agg(
         (F.sum("rating_sum") / F.sum("n_reviews")).alias("category_rating")
     )
-    damped = (F.lit(weight) * F.col("category_rating") + F.col("rating_sum")) / (F.lit(weight) + F.col("n_reviews"))
+    mean = (F.lit(weight) * F.col("category_rating") + F.col("rating_sum")) / (F.lit(weight) + F.col("n_reviews"))
     return ratings.join(categories, "product_category").select(
-        "product_category", "product_id", "n_reviews", F.round(damped, 6).alias("damped_rating")
+        "product_category", "product_id", "n_reviews", F.round(mean, 6).alias("damped_rating")
     )
 
 
@@ -58,14 +58,21 @@ def best_first() -> list[Column]:
 
 def best_products(reviews: DataFrame, k: int = 10, weight: float = 5.0) -> DataFrame:
     """The ``k`` best products of each category; each task sends at most ``k`` per category."""
-    ranked = damped_ratings(reviews, weight).withColumn("rank", F.row_number().over(W.partitionBy("product_category").orderBy(*best_first())))
+    ranked = damped(product_ratings(reviews), weight).withColumn("rank", F.row_number().over(W.partitionBy("product_category").orderBy(*best_first())))
     return ranked.filter(F.col("rank") <= k)
 
 
-def favourite_category(reviews: DataFrame) -> DataFrame:
+def baskets(reviews: DataFrame) -> DataFrame:
+    """Per customer and product: number of reviews and rating sum."""
+    return reviews.groupBy("customer_id", "product_category", "product_id").agg(
+        F.count("star_rating").alias("n_reviews"), F.sum("star_rating").alias("rating_sum")
+    )
+
+
+def favourite_category(bought: DataFrame) -> DataFrame:
     """Per customer, the category reviewed most; then the better rated one, then by name."""
-    per_category = reviews.groupBy("customer_id", "product_category").agg(
-        F.count("*").alias("n"), F.avg("star_rating").alias("rating")
+    per_category = bought.groupBy("customer_id", "product_category").agg(
+        F.sum("n_reviews").alias("n"), (F.sum("rating_sum") / F.sum("n_reviews")).alias("rating")
     )
     # Names sort upwards, so the smallest (-n, -rating, name) wins.
     best = F.min(F.struct(-F.col("n"), -F.col("rating"), F.col("product_category").alias("name")))
@@ -77,14 +84,18 @@ def suggest_products(reviews: DataFrame, k: int = 5, weight: float = 5.0) -> Dat
 
     A customer who has reviewed ``m`` products of the category needs no more than its first
     ``k + m`` ranks. The ranks a customer has used up are counted, and the free ones among the
-    first ``k + m`` follow from them, so the work is linear in customers and reviews.
+    first ``k + m`` follow from them, so the work is linear in customers and reviews. The
+    narrow baskets are stored, so the reviews themselves are read once.
     """
-    ranked = with_rank(damped_ratings(reviews, weight), "product_category", best_first())
-    favourite = favourite_category(reviews)
+    bought = stored(baskets(reviews), "baskets")
+    ratings = bought.groupBy("product_category", "product_id").agg(
+        F.sum("n_reviews").alias("n_reviews"), F.sum("rating_sum").alias("rating_sum")
+    )
+    ranked = with_rank(damped(ratings, weight), "product_category", best_first())
+    favourite = favourite_category(bought)
     used = (
-        reviews.select("customer_id", "product_category", "product_id")
+        bought.select("customer_id", "product_category", "product_id")
         .join(favourite, ["customer_id", "product_category"], "left_semi")
-        .distinct()
         .join(ranked.select("product_category", "product_id", "rank"), ["product_category", "product_id"])
         .select("customer_id", "rank")
     )

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -25,16 +28,10 @@ def passages(df: DataFrame, key: str, text: str, size: int = 128, step: int = 96
 
 
 def _dot(a: Column, b: Column) -> Column:
-    products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
+    products = F.zip_with(a, b, lambda x, y: x * y)
     return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
 
 
-def cosine(a: Column, b: Column) -> Column:
-    """Cosine of two vectors, null when one of them has no length."""
-    norms = F.sqrt(_dot(a, a)) * F.sqrt(_dot(b, b))
-    return F.when(norms > 0, _dot(a, b) / norms)
-
-
 def nearest(
     corpus: DataFrame, key: str, vector: str, queries: Mapping[object, Sequence[float]], k: int = 10
 ) -> DataFrame:
@@ -45,24 +42,28 @@ def nearest(
     """
     items = list(queries.items())
     parts = [_nearest(corpus, key, vector, items[i : i + MAX_QUERIES], k) for i in range(0, len(items), MAX_QUERIES)]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
-def _nearest(corpus, key, vector, items, k):
-    own = F.col(vector)
-    length = F.sqrt(_dot(own, own))
-    scores = []
-    for name, values in items:
-        norm = sum(float(v) ** 2 for v in values) ** 0.5
-        unit = F.array(*[F.lit(float(v) / norm if norm else 0.0) for v in values])
-        scores.append(F.struct(F.lit(name).alias("query"), _dot(own, unit).alias("dot")))
+def _nearest(
+    corpus: DataFrame, key: str, vector: str, items: Sequence[tuple[object, Sequence[float]]], k: int
+) -> DataFrame:
+    kind = "BIGINT" if all(isinstance(name, int) for name, _ in items) else "STRING"
+    units = [{"query": name, "unit": _unit(values)} for name, values in items]
+    # One literal, folded when the plan is made.
+    wanted = F.from_json(F.lit(json.dumps(units)), f"ARRAY<STRUCT<query: {kind}, unit: ARRAY<DOUBLE>>>")
+    own = F.col("_v")
+    compared = F.transform(wanted, lambda q: F.struct(q["query"].alias("query"), _dot(own, q["unit"]).alias("dot")))
     scored = (
-        corpus.select(F.col(key), length.alias("_length"), F.explode(F.array(*scores)).alias("_q"))
+        corpus.select(F.col(key), F.transform(F.col(vector), lambda x: x.cast("double")).alias("_v"))
+        .select(key, F.sqrt(_dot(own, own)).alias("_length"), F.explode(compared).alias("_q"))
         .filter("_length > 0")
         .select(F.col("_q.query").alias("query"), key, F.round(F.col("_q.dot") / F.col("_length"), 6).alias("similarity"))
     )
     window = W.partitionBy("query").orderBy(F.desc("similarity"), key)
     return scored.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
+
+
+def _unit(values: Sequence[float]) -> list[float]:
+    length = math.sqrt(sum(float(v) ** 2 for v in values))
+    return [float(v) / length if length else 0.0 for v in values]

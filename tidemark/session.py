@@ -14,11 +14,13 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JVM never compiles a generated method above this size; smaller pieces run much faster.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf: object) -> SparkSession:
-    """A session with the settings the library is written for; ``conf`` keys use ``_`` for ``.``."""
+    """A session with the settings the library is written for; ``conf`` keys use ``__`` for ``.``."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -27,6 +29,13 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: obje
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Give an existing session the defaults."""
+    for key, value in DEFAULTS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 

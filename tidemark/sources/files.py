@@ -17,7 +17,10 @@ def logical_name(path: Column, pattern: str = PLAIN_NAME, *, encoded: bool = Fal
     ``encoded`` says that the path is a URI, as in the ``_metadata`` column.
     """
     name = F.regexp_extract(path, pattern, 1)
-    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))) if encoded else name
+    if not encoded:
+        return name
+    decoded = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(name, F.lit("%")), decoded).otherwise(name)
 
 
 def list_files(

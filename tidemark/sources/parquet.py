@@ -38,5 +38,5 @@ def read_first_files(spark: SparkSession, root: str, n: int = 5, suffix: str = "
     if not chosen:
         raise FileNotFoundError(f"no *{suffix} file in {root}")
     return (
-        spark.read.option("ignoreCorruptFiles", True).option("basePath", root).option("mergeSchema", False).parquet(*chosen)
+        spark.read.option("ignoreCorruptFiles", True).option("basePath", root).option("mergeSchema", True).parquet(*chosen)
     )

@@ -27,6 +27,8 @@ POLICIES = (SKIP_LONG, STRICT, FAIL)
 
 # The position of a line. Ordering by these three gives file order without counting lines.
 ORDER = ("_path", "_block", "_mid")
+# The same, for scans that count lines.
+POSITION = ("_path", "pos")
 # A split table with up to this many rows (about 100 bytes each) is broadcast.
 BROADCAST_SPLITS = 500_000
 
@@ -77,17 +79,29 @@ def group_by_header(headers: Mapping[str, Header]) -> dict[Header, list[str]]:
     return groups
 
 
-def raw_lines(spark: SparkSession, paths: Sequence[str], name_pattern: str = PLAIN_NAME) -> DataFrame:
-    """Every physical line with the place it came from."""
+def raw_lines(
+    spark: SparkSession, paths: Sequence[str], name_pattern: str = PLAIN_NAME, sep: str = "\t"
+) -> DataFrame:
+    """Every physical line, its fields (``parts``) and the place it came from.
+
+    The fields are cut in the projection that numbers the lines. Filters are not pushed below
+    a numbering, so each line is split once, however many later conditions look at its fields.
+    """
+    name = logical_name(F.col("_metadata.file_path"), name_pattern, encoded=True)
     return spark.read.text(list(paths)).select(
         F.col("value").alias("line"),
-        logical_name(F.col("_metadata.file_path"), name_pattern, encoded=True).alias("source_file"),
+        F.split(F.col("value"), _literal(sep), -1).alias("parts"),
+        name.alias("source_file"),
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_mid"),
     )
 
 
+def _literal(sep: str) -> str:
+    return sep if sep in "\t,;" else "\\" + sep
+
+
 def split_table(lines: DataFrame, header: Header, sep: str = "\t") -> DataFrame:
     """One row per scan split: where its lines start in the file, and where the header is.
 
@@ -122,8 +136,10 @@ def with_positions(lines: DataFrame, splits: DataFrame) -> DataFrame:
         F.raise_error(F.lit("the files or their splits changed between two reads")).cast("long")
     )
     pos = F.col("before") + checked - F.col("header_at") - 1
+    # The name of a file is worked out once per split, not once per line.
     return (
-        lines.join(splits.drop("source_file"), ["_path", "_block"])
+        lines.drop("source_file")
+        .join(splits, ["_path", "_block"])
         .withColumn("pos", pos)
         .filter("pos >= 0")
         .select(*lines.columns, "pos")
@@ -147,15 +163,8 @@ def data_lines(lines: DataFrame, header: Header) -> DataFrame:
     return lines.filter(~((F.col("_block") == 0) & (F.col("line") == header.line)))
 
 
-def split_fields(lines: DataFrame, sep: str = "\t") -> DataFrame:
-    """Add ``parts`` (the fields of a line) and drop blank lines."""
-    return lines.filter(~is_blank(F.col("line"), sep)).withColumn(
-        "parts", F.split(F.col("line"), _quoted(sep), -1)
-    )
-
-
-def _quoted(sep: str) -> str:
-    return sep if sep in "\t,;" else "\\" + sep
+def drop_blank(lines: DataFrame, sep: str = "\t") -> DataFrame:
+    return lines.filter(~is_blank(F.col("line"), sep))
 
 
 def apply_policy(rows: DataFrame, arity: int, policy: str = SKIP_LONG) -> DataFrame:
@@ -209,12 +218,12 @@ def scan_tsv(
     for header, members in group_by_header(headers).items():
         if not header.columns:
             continue
-        lines = raw_lines(spark, members, name_pattern)
+        lines = raw_lines(spark, members, name_pattern, sep)
         if positions:
             body = with_positions(lines, stored(split_table(lines, header, sep), "splits"))
         else:
             body = data_lines(lines, header)
-        rows = apply_policy(split_fields(body, sep), len(header.columns), policy)
+        rows = apply_policy(drop_blank(body, sep), len(header.columns), policy)
         scans.append(name_fields(rows, header.columns, tokens))
     if not scans:
         raise ValueError("no file has a header line")
@@ -233,7 +242,7 @@ def line_counts(
     headers = headers or read_headers(spark, list(paths), sep)
     counts = []
     for header, members in group_by_header(headers).items():
-        rows = split_fields(raw_lines(spark, members, name_pattern), sep)
+        rows = drop_blank(raw_lines(spark, members, name_pattern, sep), sep)
         arity, size = len(header.columns), F.size("parts")
         # The header line itself has the right number of fields: exactly one per physical file.
         counts.append(
