@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.reviews import COLUMNS, KEPT, plain, text
-from tidemark.plans.ingest import ALL, FILES, IngestConfig, ingest, show_summary
+from tidemark.plans.ingest import ALL, BYTES, FILES, IngestConfig, ingest, show_summary
 from tidemark.sinks import tables as sinks
 from tidemark.sources.parquet import read_category, read_dataset, read_first_files
 from tidemark.state import manifest
@@ -77,6 +77,7 @@ def test_run(spark, source, config):
 
     # A second run takes only what failed or is new, and changes no row.
     before = sorted(map(str, stored.collect()))
+    config = replace(config, rejects=FILES)
     again = ingest(spark, str(source), replace(config, run_id="r2"))
     assert again.processed == () and set(again.failed) == set(result.failed)
     assert sorted(map(str, read_dataset(spark, config.clean_path).collect())) == before
@@ -117,6 +118,17 @@ def test_chunk_scope(spark, tmp_path, config):
         ingest(spark, str(folder), replace(config, root=config.root + "2", dedup_scope="x"))
 
 
+def test_byte_chunks_read_once(spark, source, config):
+    """The single-pass run keeps the same rows."""
+    ingest(spark, str(source), replace(config, chunks=BYTES, chunk_bytes=500))
+    stored = read_dataset(spark, config.clean_path)
+    assert stored.count() == 36
+    assert stored.filter("source_file LIKE '%Books_v1_00%'").count() == len(KEPT)
+    lineage = table(spark, config, "state/lineage")
+    assert lineage.agg(F.sum("row_count")).collect()[0][0] == 36
+    assert lineage.select("source_file").distinct().count() == 4
+
+
 def test_stream(spark, source, config):
     (source / "amazon_reviews_us_Toys_v1_00.tsv").write_text(text(plain(4, 200)))
     batches = []

@@ -8,7 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.session import stored
+from tidemark.session import broadcast_if_small, stored
+
+# A count table with up to this many rows (a group name and four numbers each) is broadcast.
+BROADCAST_PIECES = 500_000
 
 
 def with_rank(df: DataFrame, group: str, order: Sequence[Column], column: str = "rank") -> DataFrame:
@@ -29,6 +32,7 @@ def with_rank(df: DataFrame, group: str, order: Sequence[Column], column: str =
     pieces = placed.groupBy(group, "_part").agg(F.min("_at").alias("_from"), F.count("*").alias("_n"))
     earlier = W.partitionBy(group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     pieces = pieces.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
+    pieces = broadcast_if_small(stored(pieces, "pieces"), BROADCAST_PIECES)
     return (
         placed.join(pieces, [group, "_part"])
         .withColumn(column, F.col("_before") + F.col("_at") - F.col("_from") + 1)

@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -41,14 +42,12 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local-mode session may go without one; it gets a fresh temporary folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
     return base
 
 
@@ -57,9 +56,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), "tidemark", f"{name}-{uuid.uuid4().hex}")
 
 
-def stored(df, name: str):
+def stored(df: DataFrame, name: str) -> DataFrame:
     """Write once under the shared folder and read back: a cut in the lineage that outlives executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_small(table: DataFrame, rows: int) -> DataFrame:
+    """Broadcast a stored table that has at most ``rows`` rows; a larger one is joined by shuffle.
+
+    Counting a stored table reads file footers only.
+    """
+    return F.broadcast(table) if table.count() <= rows else table

@@ -35,8 +35,11 @@ def write_partitioned(
 
 
 def write_run(df: DataFrame, root: str, run_id: str) -> None:
-    """Write a side table of one run; a repeated run replaces its own rows."""
-    out = df.withColumn("run_id", F.lit(run_id))
+    """Write a side table of one run; a repeated run replaces its own rows.
+
+    The rows are evened out first: a scan with very many tasks would leave as many small files.
+    """
+    out = df.hint("rebalance").withColumn("run_id", F.lit(run_id))
     write_partitioned(out, root, ["run_id"], rebalance=False)
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark import constants as C
 from tidemark.functions.scalars import null_if_token
-from tidemark.session import stored
+from tidemark.session import broadcast_if_small, stored
 from tidemark.sources.files import PLAIN_NAME, logical_name
 
 SKIP_LONG = "skip_long"  # drop rows with too many fields, pad rows with too few
@@ -128,8 +128,6 @@ def with_positions(lines: DataFrame, splits: DataFrame) -> DataFrame:
     ``pos`` counts blank and malformed lines too. ``splits`` is a stored :func:`split_table`, so
     its size is known when it is broadcast; a larger one is joined by shuffle.
     """
-    if splits.count() <= BROADCAST_SPLITS:
-        splits = F.broadcast(splits)
     offset = F.col("_mid") - F.col("first_mid")
     # Both reads must cut the files alike; a different cut stops the query.
     checked = F.when((offset >= 0) & (offset < F.col("n_lines")), offset).otherwise(
@@ -139,7 +137,7 @@ def with_positions(lines: DataFrame, splits: DataFrame) -> DataFrame:
     # The name of a file is worked out once per split, not once per line.
     return (
         lines.drop("source_file")
-        .join(splits, ["_path", "_block"])
+        .join(broadcast_if_small(splits, BROADCAST_SPLITS), ["_path", "_block"])
         .withColumn("pos", pos)
         .filter("pos >= 0")
         .select(*lines.columns, "pos")
