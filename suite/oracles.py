@@ -192,6 +192,8 @@ def oracle_sql(text_lexicon, part_lexicon) -> dict[str, str]:
         "null_tokens": f"WITH {NULLED} SELECT review_id, product_id, seq, review_body FROM nulled",
         "scan_category_partition": f"""WITH {TYPED} SELECT {SHOWN}, seq, product_category AS category
             FROM typed WHERE product_category = 'ECONOMY'""",
+        "scan_first_n_files": f"""WITH {SCANNED} SELECT source_file, review_id, product_id, star_rating FROM scanned
+            WHERE source_file IN (SELECT DISTINCT source_file FROM scanned ORDER BY source_file LIMIT 5)""",
         "list_dataset_files": """SELECT DISTINCT 'category=' || p_type AS folder, TRUE AS is_parquet
             FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey""",
         "lineage_read": f"""WITH {RUN} SELECT c.source_file, {OBJECT.replace("category ||", "c.category ||").replace("chunk_idx", "c.chunk_idx")} AS output_parquet,

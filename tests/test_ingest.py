@@ -1,3 +1,4 @@
+import gzip
 import json
 from dataclasses import replace
 from datetime import datetime, timedelta
@@ -118,6 +119,20 @@ def test_chunk_scope(spark, tmp_path, config):
         ingest(spark, str(folder), replace(config, root=config.root + "2", dedup_scope="x"))
 
 
+def test_unreadable_file_does_not_stop_the_others(spark, tmp_path, config):
+    folder = tmp_path / "gz"
+    folder.mkdir()
+    (folder / "good.tsv.gz").write_bytes(gzip.compress(text(plain(12), (*COLUMNS[:-1], "review_date", "pos")).encode()))
+    (folder / "bad.tsv.gz").write_bytes(b"this is no archive")
+    (folder / "empty.tsv.gz").write_bytes(gzip.compress(b""))
+    result = ingest(spark, str(folder), replace(config, suffix=".tsv.gz"))
+    assert result.processed == ("good.tsv.gz",) and set(result.failed) == {"bad.tsv.gz", "empty.tsv.gz"}
+    assert read_dataset(spark, config.clean_path).count() == 12
+    failures = {r.source_file: r.error_message for r in table(spark, config, "state/failures").collect()}
+    assert failures["bad.tsv.gz"].startswith("cannot read")
+    assert table(spark, config, "state/metrics").collect()[0].failed_rows == 0
+
+
 def test_byte_chunks_read_once(spark, source, config):
     """The single-pass run keeps the same rows."""
     ingest(spark, str(source), replace(config, chunks=BYTES, chunk_bytes=500))

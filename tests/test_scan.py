@@ -97,14 +97,16 @@ def test_chunks_without_rows_are_known(spark, tmp_path):
 
 
 def test_headers(spark, tmp_path):
-    assert tsv.parse_header("﻿a\tb\ta\t") == ("a", "b", "a.1", "Unnamed: 3")
+    assert tsv.parse_header("\ufeffa\tb\ta\t") == ("a", "b", "a.1", "Unnamed: 3")
     (tmp_path / "one.tsv").write_text("a\tb\n1\t2\n")
     (tmp_path / "two.tsv").write_text("\n  \nb\tc\n3\t4\n")
     (tmp_path / "none.tsv").write_text("")
     paths = [str(tmp_path / f"{n}.tsv") for n in ("one", "two", "none")]
     headers = tsv.read_headers(spark, paths)
-    assert headers[paths[2]].columns == ()
-    rows = tsv.scan_tsv(spark, paths, positions=True).select("a", "b", "c").collect()
+    assert headers[paths[2]].error and not headers[paths[0]].error
+    with pytest.raises(ValueError, match="no columns"):
+        tsv.scan_tsv(spark, paths)
+    rows = tsv.scan_tsv(spark, paths[:2], positions=True).select("a", "b", "c").collect()
     assert sorted(map(tuple, rows), key=str) == [("1", "2", None), (None, "3", "4")]
 
 
@@ -142,3 +144,10 @@ def test_split_is_done_once(spark, edge):
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert plan.count("split(") == 1
     assert not rows.filter(F.col("star_rating") <= 1).count()
+
+
+def test_names_of_added_columns(spark, tmp_path):
+    """Fields named like added columns keep their values or give way."""
+    (tmp_path / "a.tsv").write_text("pos\tsource_file\tx\tx\n7\tmine\t1\t2\n")
+    row = tsv.scan_tsv(spark, str(tmp_path / "a.tsv"), positions=True).collect()[0].asDict()
+    assert (row["pos.1"], row["pos"], row["source_file"], row["x"], row["x.1"]) == ("7", 0, "a.tsv", "1", "2")

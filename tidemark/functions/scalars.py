@@ -92,13 +92,17 @@ def file_stamp(ts: Column) -> Column:
     return F.date_format(ts, "yyyyMMdd_HHmmss")
 
 
+def quoted(name: str) -> str:
+    """A column name that may have dots in it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def to_record(columns: Sequence[str]) -> Column:
     """JSON text of a row, every value as text, missing values kept as null."""
-    return F.to_json(
-        F.struct(*[F.col(c).cast("string").alias(c) for c in columns]), {"ignoreNullFields": "false"}
-    )
+    fields = [F.col(quoted(c)).cast("string").alias(c) for c in columns]
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
 def from_record(col: Column, columns: Sequence[str]) -> Column:
     """Struct of text columns from :func:`to_record` output."""
-    return F.from_json(col, ", ".join(f"`{c}` STRING" for c in columns))
+    return F.from_json(col, ", ".join(f"{quoted(c)} STRING" for c in columns))

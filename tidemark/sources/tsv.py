@@ -33,17 +33,24 @@ POSITION = ("_path", "pos")
 BROADCAST_SPLITS = 500_000
 
 
+# Columns a scan adds. A field called source_file gives way to the added column; a field with
+# one of the other names gets a suffix.
+ADDED = ("pos", "chunk_idx", "reason", "_record", *ORDER)
+
+
 @dataclass(frozen=True)
 class Header:
     """The header line of one or more files and the column names it stands for."""
 
     line: str
     columns: tuple[str, ...]
+    # Why the file could not be read, if it could not.
+    error: str | None = None
 
 
 def parse_header(line: str, sep: str = "\t") -> tuple[str, ...]:
     """Column names of a header line; empty ones are numbered, repeated ones get a suffix."""
-    seen: dict[str, int] = {}
+    seen = dict.fromkeys(ADDED, 1)
     names = []
     for i, raw in enumerate(line.lstrip("\ufeff").split(sep)):
         name = raw or f"Unnamed: {i}"
@@ -59,13 +66,17 @@ def is_blank(line: Column, sep: str = "\t") -> Column:
 
 
 def read_headers(spark: SparkSession, paths: Sequence[str], sep: str = "\t", workers: int = 16) -> dict[str, Header]:
-    """First non-blank line of each file. Each read stops after one line of the first split."""
+    """First non-blank line of each file. Each read stops after one line of the first split.
+
+    A file that cannot be read does not stop the others; its header has the error.
+    """
 
     def first_line(path: str) -> Header:
-        # Without separators in it, a line of white space cannot be a header.
-        row = spark.read.text(path).filter(~is_blank(F.col("value"), sep)).first()
-        line = row.value if row else ""
-        return Header(line, parse_header(line, sep) if row else ())
+        try:
+            row = spark.read.text(path).filter(~is_blank(F.col("value"), sep)).first()
+        except Exception as error:  # noqa: BLE001
+            return Header("", (), f"cannot read: {type(error).__name__}")
+        return Header(row.value, parse_header(row.value, sep)) if row else Header("", (), "no columns to parse from file")
 
     with ThreadPoolExecutor(max_workers=workers) as pool:
         return dict(zip(paths, pool.map(first_line, paths), strict=True))
@@ -189,9 +200,10 @@ def name_fields(rows: DataFrame, columns: Sequence[str], tokens: Iterable[str] =
     """One text column per field; missing fields and null tokens are null."""
     tokens = tuple(tokens)
     keep = [c for c in ("source_file", *ORDER, "pos") if c in rows.columns]
-    fields = [F.get("parts", F.lit(i)).alias(f"_f{i}") for i in range(len(columns))]
-    named = [null_if_token(F.col(f"_f{i}"), tokens).alias(c) for i, c in enumerate(columns)]
-    return rows.select(*keep, *fields).select(*named, *keep)
+    named = [
+        null_if_token(F.get("parts", F.lit(i)), tokens).alias(c) for i, c in enumerate(columns) if c != "source_file"
+    ]
+    return rows.select(*named, *keep)
 
 
 def scan_tsv(
@@ -214,8 +226,8 @@ def scan_tsv(
     headers = headers or read_headers(spark, paths, sep)
     scans = []
     for header, members in group_by_header(headers).items():
-        if not header.columns:
-            continue
+        if header.error:
+            raise ValueError(f"{header.error}: {members[0]}")
         lines = raw_lines(spark, members, name_pattern, sep)
         if positions:
             body = with_positions(lines, stored(split_table(lines, header, sep), "splits"))
@@ -223,8 +235,6 @@ def scan_tsv(
             body = data_lines(lines, header)
         rows = apply_policy(drop_blank(body, sep), len(header.columns), policy)
         scans.append(name_fields(rows, header.columns, tokens))
-    if not scans:
-        raise ValueError("no file has a header line")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
@@ -240,6 +250,8 @@ def line_counts(
     headers = headers or read_headers(spark, list(paths), sep)
     counts = []
     for header, members in group_by_header(headers).items():
+        if header.error:
+            raise ValueError(f"{header.error}: {members[0]}")
         rows = drop_blank(raw_lines(spark, members, name_pattern, sep), sep)
         arity, size = len(header.columns), F.size("parts")
         # The header line itself has the right number of fields: exactly one per physical file.
