@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 from tidemark import constants as C
 
 
-def null_if_token(col: Column, tokens: Iterable[str] = C.NULL_TOKENS) -> Column:
-    """Null for text that means "missing", the text itself otherwise."""
-    return F.when(~col.isin(*tokens), col)
+def null_if_token(col: Column, tokens: Sequence[str] = C.NULL_TOKENS) -> Column:
+    """Null for text that means "missing", the text itself otherwise.
+
+    Longer text than any token is let through without a look at its content.
+    """
+    longest = max(len(t.encode()) for t in tokens)
+    return F.when((F.octet_length(col) > longest) | ~col.isin(*tokens), col)
 
 
 def yes_no(col: Column, yes: str = C.FLAG_TRUE, no: str = C.FLAG_FALSE) -> Column:
@@ -31,8 +35,16 @@ def safe_number(col: Column) -> Column:
 
 def safe_timestamp(col: Column, formats: Sequence[str] = (C.DATE_FORMAT,)) -> Column:
     """Timestamp without zone from text in one of ``formats``, null otherwise."""
-    parsed = [F.try_to_timestamp(col, F.lit(fmt)) for fmt in formats]
-    return (F.coalesce(*parsed) if len(parsed) > 1 else parsed[0]).cast("timestamp_ntz")
+    parsed = [_parsed(col, fmt) for fmt in formats]
+    return F.coalesce(*parsed) if len(parsed) > 1 else parsed[0]
+
+
+def _parsed(col: Column, fmt: str) -> Column:
+    if fmt == C.DATE_FORMAT:
+        # The plain date has a parser of its own, which is faster and takes other spellings too.
+        day = F.regexp_extract(col, r"^\d{4}-\d{2}-\d{2}$", 0).try_cast("date")
+        return day.cast("timestamp_ntz")
+    return F.try_to_timestamp(col, F.lit(fmt)).cast("timestamp_ntz")
 
 
 def category_of(file_name: Column, pattern: str = C.CATEGORY_PATTERN) -> Column:

@@ -6,7 +6,7 @@ file is split over many tasks. Nothing here sorts or shuffles the lines.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
@@ -91,18 +91,25 @@ def group_by_header(headers: Mapping[str, Header]) -> dict[Header, list[str]]:
 
 
 def raw_lines(
-    spark: SparkSession, paths: Sequence[str], name_pattern: str = PLAIN_NAME, sep: str = "\t"
+    spark: SparkSession,
+    paths: Sequence[str],
+    name_pattern: str = PLAIN_NAME,
+    sep: str = "\t",
+    tokens: Sequence[str] = (),
 ) -> DataFrame:
     """Every physical line, its fields (``parts``) and the place it came from.
 
-    The fields are cut in the projection that numbers the lines. Filters are not pushed below
-    a numbering, so each line is split once, however many later conditions look at its fields.
+    The fields are cut in the projection that numbers the lines, and ``tokens`` among them become
+    null there. Filters are not pushed below a numbering, so this is done once per line, however
+    many later conditions look at the fields.
     """
-    name = logical_name(F.col("_metadata.file_path"), name_pattern, encoded=True)
+    parts = F.split(F.col("value"), _literal(sep), -1)
+    if tokens:
+        parts = F.transform(parts, lambda field: null_if_token(field, tokens))
     return spark.read.text(list(paths)).select(
         F.col("value").alias("line"),
-        F.split(F.col("value"), _literal(sep), -1).alias("parts"),
-        name.alias("source_file"),
+        parts.alias("parts"),
+        logical_name(F.col("_metadata.file_path"), name_pattern, encoded=True).alias("source_file"),
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_mid"),
@@ -196,13 +203,10 @@ def bad_rows(rows: DataFrame, arity: int, policy: str = SKIP_LONG) -> DataFrame:
     return rows.filter(wrong).withColumn("n_fields", size)
 
 
-def name_fields(rows: DataFrame, columns: Sequence[str], tokens: Iterable[str] = C.NULL_TOKENS) -> DataFrame:
-    """One text column per field; missing fields and null tokens are null."""
-    tokens = tuple(tokens)
+def name_fields(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One text column per field; missing fields are null."""
     keep = [c for c in ("source_file", *ORDER, "pos") if c in rows.columns]
-    named = [
-        null_if_token(F.get("parts", F.lit(i)), tokens).alias(c) for i, c in enumerate(columns) if c != "source_file"
-    ]
+    named = [F.get("parts", F.lit(i)).alias(c) for i, c in enumerate(columns) if c != "source_file"]
     return rows.select(*named, *keep)
 
 
@@ -213,7 +217,7 @@ def scan_tsv(
     policy: str = SKIP_LONG,
     positions: bool = False,
     sep: str = "\t",
-    tokens: Iterable[str] = C.NULL_TOKENS,
+    tokens: Sequence[str] = C.NULL_TOKENS,
     name_pattern: str = PLAIN_NAME,
     headers: Mapping[str, Header] | None = None,
 ) -> DataFrame:
@@ -228,13 +232,13 @@ def scan_tsv(
     for header, members in group_by_header(headers).items():
         if header.error:
             raise ValueError(f"{header.error}: {members[0]}")
-        lines = raw_lines(spark, members, name_pattern, sep)
+        lines = raw_lines(spark, members, name_pattern, sep, tokens)
         if positions:
             body = with_positions(lines, stored(split_table(lines, header, sep), "splits"))
         else:
             body = data_lines(lines, header)
         rows = apply_policy(drop_blank(body, sep), len(header.columns), policy)
-        scans.append(name_fields(rows, header.columns, tokens))
+        scans.append(name_fields(rows, header.columns))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
