@@ -45,10 +45,11 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[begins[0] : begins[-1]], begins - begins[0]
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
     """A hash of each byte range."""
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * _grown("up", _BASE, len(data)), out=sums[1:])
+    table = mix(_BYTE + np.uint64(seed))
+    np.cumsum(table[data] * _grown("up", _BASE, len(data)), out=sums[1:])
     down = _grown("down", _BASE_INVERSE, len(data) + 1)
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 

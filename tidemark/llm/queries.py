@@ -7,8 +7,10 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import bounded
+from tidemark.llm.frames import bounded, given_id
+from tidemark.llm.lines import line_classes
 from tidemark.llm.phrases import drop_repeated_phrases
+from tidemark.llm.probminhash import near_duplicates
 from tidemark.llm.suffixes import drop_repeated_strings
 
 
@@ -21,13 +23,27 @@ def op6_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op7_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_classes(table(spark, sf_dir, "documents"))
+    return found.select(
+        given_id("doc").alias("doc_id"), F.col("place").alias("line_no"), given_id("first_doc").alias("class_doc_id"),
+        F.col("first_place").alias("class_line_no"),
+    )
+
+
 def op10_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = drop_repeated_strings(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 QUERIES = {
+    "op3_near_duplicates": op3_near_duplicates,
     "op6_repeated_phrases": op6_repeated_phrases,
+    "op7_fuzzy_lines": op7_fuzzy_lines,
     "op10_repeated_strings": op10_repeated_strings,
 }
 ORACLES: dict[str, str] = {}
