@@ -34,6 +34,11 @@ def given_id(column: str) -> Column:
     return F.when(F.col(column) != NO_ID, F.col(column))
 
 
+def content_key(text: Column) -> list[Column]:
+    """``k1`` and ``k2``, 128 bits that stand for a text."""
+    return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit("content"), text).alias("k2")]
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
     """Cut batches into pieces with about ``SLICE_BYTES`` of text; a longer text is a piece of its own."""
     for batch in batches:

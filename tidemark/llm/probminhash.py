@@ -16,12 +16,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import hashing
 from tidemark.llm.components import components
-from tidemark.llm.frames import column, given_id, known_id, longs, map_slices, record, sorted_blocks, values
+from tidemark.llm.frames import column, content_key, given_id, known_id, longs, map_slices, record, sorted_blocks, values
 from tidemark.session import stored
 
 BANDS, ROWS = 32, 6
@@ -105,11 +105,6 @@ def probability_jaccard(x: np.ndarray, wx: np.ndarray, y: np.ndarray, wy: np.nda
     return float((1.0 / (upper / a + lower / b)).sum())
 
 
-def _content(text: Column) -> list[Column]:
-    """128 bits that stand for a text."""
-    return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit("content"), text).alias("k2")]
-
-
 def _texts(rows: DataFrame, words: int, bands: int, in_band: int) -> DataFrame:
     """Each distinct text with words: number, content key, smallest id, registers."""
     size = bands * in_band
@@ -241,7 +236,7 @@ def near_duplicate_classes(
     content key ``c1``, ``c2`` of the row that stands for the class. Texts without words are in no class.
     """
     rows = docs.select(known_id(id_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).cast("string").alias("text"))
-    rows = rows.select("doc", "text", *_content(F.col("text")))
+    rows = rows.select("doc", "text", *content_key(F.col("text")))
     texts = _texts(rows, words, bands, in_band)
 
     def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,7 +298,7 @@ def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     has_words = text.rlike(r"[^\x20\x09-\x0D]")
     keyed = docs.where(has_words).select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), known_id(f"`{id_col}`").alias("doc"), *_content(text)
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), known_id(f"`{id_col}`").alias("doc"), *content_key(text)
     )
     heads = keyed.join(classes, ["k1", "k2"]).where("doc = class_doc and k1 = c1 and k2 = c2")
     heads = heads.groupBy("k1", "k2").agg(F.first("_row").alias("_row"))

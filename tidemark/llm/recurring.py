@@ -12,7 +12,8 @@ A window (13 words, 50 bytes) is found again in four steps, none of which looks
 4. A task takes the passages in blocks of bounded size, locates every window exactly, and compares
    the document of each occurrence with the smallest that has the window.
 
-Identity of a row is its id and the hash of its text, so ids may be null or repeat.
+Copies of a whole text take no part in this: all but those with the smallest id lose every window,
+and a text is looked up once. Texts are told apart by 128 bits, so ids may be null or repeat.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import hashing
-from tidemark.llm.frames import binaries, column, known_id, longs, map_slices, record, sorted_blocks, values
+from tidemark.llm.frames import binaries, column, content_key, known_id, longs, map_slices, record, sorted_blocks, values
 
 # An anchor of more documents than this is hot.
 HOT_DOCUMENTS = 20_000
@@ -92,51 +93,51 @@ def _changes(*arrays: np.ndarray) -> np.ndarray:
 def _anchor_rows(docs: DataFrame, windows: Windows) -> DataFrame:
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         anchor, text, _ = windows.anchors(windows.units(column(batch, "text")))
-        doc = values(batch, "doc")[text]
-        order = np.lexsort((doc, anchor))
-        anchor, doc = anchor[order], doc[order]
-        keep = _changes(anchor, doc)
-        return record(anchor=longs(anchor[keep]), doc=doc[keep])
+        k1 = values(batch, "k1")[text]
+        order = np.lexsort((k1, anchor))
+        anchor, k1 = anchor[order], k1[order]
+        keep = _changes(anchor, k1)
+        return record(anchor=longs(anchor[keep]), k1=k1[keep])
 
-    return map_slices(docs.select("doc", "text"), "text", work, "anchor long, doc long")
+    return map_slices(docs.select("k1", "text"), "text", work, "anchor long, k1 long")
 
 
 def _recurring(rows: DataFrame, hot_documents: int) -> DataFrame:
-    """Rows whose anchor more than one document has. The lowest bit of the anchor says that it is hot."""
+    """Rows whose anchor more than one text has. The lowest bit of the anchor says that it is hot."""
 
-    def flagged(anchor: np.ndarray, doc: np.ndarray, hot: bool | None = None) -> pa.RecordBatch:
+    def flagged(anchor: np.ndarray, k1: np.ndarray, hot: bool | None = None) -> pa.RecordBatch:
         starts = _changes(anchor)
         sizes = np.diff(np.append(starts, len(anchor)))
         if hot is None:
-            lone = np.minimum.reduceat(doc, starts) == np.maximum.reduceat(doc, starts)
+            lone = np.minimum.reduceat(k1, starts) == np.maximum.reduceat(k1, starts)
             bit = (sizes > hot_documents).astype(np.int64)
         else:
             lone, bit = np.zeros(len(starts), bool), np.ones(len(starts), np.int64)
         keep = ~np.repeat(lone, sizes)
-        return record(anchor=(anchor | np.repeat(bit, sizes))[keep], doc=doc[keep])
+        return record(anchor=(anchor | np.repeat(bit, sizes))[keep], k1=k1[keep])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         going_on = None
         for block, open_ in sorted_blocks(batches, "anchor", max(BLOCK_ROWS, hot_documents + 1)):
-            anchor, doc = block.column("anchor").to_numpy(), block.column("doc").to_numpy()
+            anchor, k1 = block.column("anchor").to_numpy(), block.column("k1").to_numpy()
             if going_on is not None:
                 # The key of the block before goes on; it was cut because it is hot.
                 more = int(np.searchsorted(anchor, going_on, "right"))
                 if more:
-                    yield flagged(anchor[:more], doc[:more], True)
-                anchor, doc = anchor[more:], doc[more:]
+                    yield flagged(anchor[:more], k1[:more], True)
+                anchor, k1 = anchor[more:], k1[more:]
                 if not len(anchor):
                     continue
             if open_:
-                yield flagged(anchor, doc, True)
+                yield flagged(anchor, k1, True)
             elif len(anchor):
-                yield flagged(anchor, doc)
+                yield flagged(anchor, k1)
             going_on = anchor[-1] if open_ else None
 
-    return rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "anchor long, doc long")
+    return rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "anchor long, k1 long")
 
 
-def _passages(docs: DataFrame, hits: DataFrame, windows: Windows) -> DataFrame:
+def _passages(joined: DataFrame, windows: Windows) -> DataFrame:
     """The passages around recurring anchors: key of the task, row, place of the first unit, bytes."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
@@ -144,7 +145,7 @@ def _passages(docs: DataFrame, hits: DataFrame, windows: Windows) -> DataFrame:
         own = [np.sort(x.values.to_numpy().view(np.uint64)) if x.is_valid else None for x in listed]
         units = windows.units(column(batch, "text"))
         anchor, text, place = windows.anchors(units)
-        doc, body = values(batch, "doc"), values(batch, "body")
+        doc, k1, k2 = (values(batch, c) for c in ("doc", "k1", "k2"))
         # Windows are in order of text; those of one text are looked up in its list.
         bounds = np.searchsorted(text, np.arange(len(own) + 1))
         keys, at, size, which = [], [], [], []
@@ -173,16 +174,15 @@ def _passages(docs: DataFrame, hits: DataFrame, windows: Windows) -> DataFrame:
             data, begins = hashing.flat(pa.array([passages[i] for i in hot], pa.binary()))
             keys[hot] = hashing.span_hashes(data, begins[:-1], begins[1:]) | np.uint64(1)
         return record(
-            key=longs(keys), doc=doc[which], body=body[which],
+            key=longs(keys), doc=doc[which], k1=k1[which], k2=k2[which],
             at=(at - units.first[which]).astype(np.int32), passage=pa.array(passages, pa.binary()),
         )
 
-    joined = docs.join(hits, "doc")
-    return map_slices(joined, "text", work, "key long, doc long, body long, at int, passage binary")
+    return map_slices(joined, "text", work, "key long, doc long, k1 long, k2 long, at int, passage binary")
 
 
 def _removed(passages: DataFrame, windows: Windows, locate: Locate) -> DataFrame:
-    """Runs of units that a window of an earlier document covers, by row."""
+    """Runs of units that a window of an earlier document covers, by text."""
 
     def spans(block: pa.Table, earlier: dict[bytes, int]) -> tuple[pa.RecordBatch | None, dict[bytes, int]]:
         coded = block.column("passage").combine_chunks().dictionary_encode()
@@ -217,7 +217,7 @@ def _removed(passages: DataFrame, windows: Windows, locate: Locate) -> DataFrame
         end = np.append(begin[1:], len(row)) - 1
         row_of = row[begin]
         made = record(
-            doc=doc[row_of], body=block.column("body").to_numpy()[row_of],
+            k1=block.column("k1").to_numpy()[row_of], k2=block.column("k2").to_numpy()[row_of],
             at=(block.column("at").to_numpy()[row_of] + where[begin]).astype(np.int32),
             size=(where[end] - where[begin] + windows.length).astype(np.int32),
         )
@@ -232,7 +232,7 @@ def _removed(passages: DataFrame, windows: Windows, locate: Locate) -> DataFrame
 
     # In order of document within a key, so that a hot window's first document comes first.
     ordered = passages.repartition("key").sortWithinPartitions("key", "doc")
-    return ordered.mapInArrow(run, "doc long, body long, at int, size int")
+    return ordered.mapInArrow(run, "k1 long, k2 long, at int, size int")
 
 
 def without_later_copies(
@@ -246,10 +246,13 @@ def without_later_copies(
     Texts shorter than a window stay whole. Other columns of ``docs`` are not looked at.
     """
     rows = docs.select(known_id(id_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).cast("string").alias("text"))
-    rows = rows.withColumn("body", F.xxhash64("text"))
-    hits = _recurring(_anchor_rows(rows, windows), hot_documents).groupBy("doc").agg(F.collect_set("anchor").alias("anchors"))
-    spans = _removed(_passages(rows, hits, windows), windows, locate)
-    spans = spans.groupBy("doc", "body").agg(F.collect_set(F.struct("at", "size")).alias("spans"))
+    rows = rows.select("doc", "text", *content_key(F.col("text")))
+    firsts = rows.groupBy("k1", "k2").agg(F.min("doc").alias("first"))
+    hits = _recurring(_anchor_rows(rows, windows), hot_documents).groupBy("k1").agg(F.collect_set("anchor").alias("anchors"))
+    # Both joins deal the rows out by the same keys, so that Spark shuffles the texts once.
+    own = rows.join(firsts.join(hits, "k1"), ["k1", "k2"]).where("doc = first").select("doc", "text", "k1", "k2", "anchors")
+    spans = _removed(_passages(own, windows), windows, locate)
+    spans = spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("at", "size")).alias("spans"))
 
     def finish(batch: pa.RecordBatch) -> pa.RecordBatch:
         data, begins = hashing.flat(column(batch, "text"))
@@ -265,6 +268,10 @@ def without_later_copies(
         at = inner.field("at").to_numpy() + first[owner]
         np.add.at(drop, at, 1)
         np.add.at(drop, at + inner.field("size").to_numpy(), -1)
+        # A copy of an earlier text loses every window.
+        copies = np.flatnonzero((values(batch, "doc") > values(batch, "first")) & (np.diff(first) >= windows.length))
+        np.add.at(drop, first[copies], 1)
+        np.add.at(drop, first[copies + 1], -1)
         gone = np.cumsum(drop)[:-1] > 0
         new_run = gone.copy()
         new_run[1:] &= ~gone[:-1]
@@ -284,6 +291,6 @@ def without_later_copies(
             n_spans=total(new_run).astype(np.int64), kept=kept,
         )
 
-    joined = rows.join(spans, ["doc", "body"], "left").select("doc", "text", "spans")
+    joined = rows.join(firsts.join(spans, ["k1", "k2"], "left"), ["k1", "k2"]).select("doc", "text", "first", "spans")
     schema = "doc long, n_units long, n_removed long, n_spans long, kept binary"
     return map_slices(joined, "text", finish, schema)
