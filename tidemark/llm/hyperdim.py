@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +29,8 @@ HELD_TRIPLES = 200_000
 CACHED_TRIPLES = 40_000
 MATRIX_CELLS = 8_000_000
 _MASK = np.int64((1 << 21) - 1)
-# Cosine below which a text counts as no language at all.
-LEAST_COSINE = 0.25
+# A random text is within three standard deviations of zero, 3 / sqrt(1024): below that a text is no language.
+LEAST_COSINE = 0.1
 
 
 @cache
@@ -197,8 +198,6 @@ def predict_language(text: Column | str, model: Profiles) -> Column:
 
     A text that is null or has no letter is ``und`` with 0; so is every text if no language was learned.
     """
-    import pandas as pd
-
     @F.pandas_udf("lang_pred string, score double")
     def predicted(texts: pd.Series) -> pd.DataFrame:
         answers, scores, held, size = [], [], [], 0

@@ -90,7 +90,7 @@ def fill(shelf: Shelf, gap: int) -> list[Piece]:
 def pack(lengths: Sequence[int], tiers: Sequence[int] = TIERS) -> tuple[list[tuple[int, list[Piece]]], list[Piece]]:
     """Full windows (tier, pieces) over documents of these lengths, and the pieces that remain."""
     shelf, windows, longest = Shelf(tiers[-1]), [], tiers[-1]
-    for doc, n in enumerate(lengths):
+    for doc, n in enumerate(map(int, lengths)):
         whole = n - n % longest
         windows += [(longest, [(doc, at, longest)]) for at in range(0, whole, longest)]
         shelf.put((doc, whole, n - whole))

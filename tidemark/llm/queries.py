@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.frames import bounded, given_id
+from tidemark.llm.hyperdim import learn_profiles, predict_language, remainder
 from tidemark.llm.lines import line_classes
+from tidemark.llm.packing import pack_documents
 from tidemark.llm.phrases import drop_repeated_phrases
 from tidemark.llm.probminhash import near_duplicates
 from tidemark.llm.suffixes import drop_repeated_strings
@@ -18,11 +20,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return bounded(spark).read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def op5_language_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = learn_profiles(docs.where(remainder("doc_id", 3) != 1))
+    found = docs.select(
+        "doc_id", F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"),
+        predict_language(F.col("text"), model).alias("found"),
+    )
+    return found.select("doc_id", "held_out", "found.lang_pred", "found.score")
+
+
 def op6_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = drop_repeated_phrases(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op1_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pack_documents(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step_id"
+    )
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -41,7 +60,9 @@ def op10_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_hierarchical_packing": op1_hierarchical_packing,
     "op3_near_duplicates": op3_near_duplicates,
+    "op5_language_profiles": op5_language_profiles,
     "op6_repeated_phrases": op6_repeated_phrases,
     "op7_fuzzy_lines": op7_fuzzy_lines,
     "op10_repeated_strings": op10_repeated_strings,
