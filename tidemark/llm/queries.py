@@ -7,6 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.compression import learn_toxicity, toxicity
 from tidemark.llm.frames import bounded, given_id
 from tidemark.llm.hyperdim import learn_profiles, predict_language, remainder
 from tidemark.llm.lines import line_classes
@@ -54,6 +55,15 @@ def op7_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = learn_toxicity(docs, labels.where(remainder("doc_id", 5) != 0))
+    found = docs.select(
+        "doc_id", F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"), toxicity("text", model).alias("score")
+    )
+    return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op10_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = drop_repeated_strings(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -65,6 +75,7 @@ QUERIES = {
     "op5_language_profiles": op5_language_profiles,
     "op6_repeated_phrases": op6_repeated_phrases,
     "op7_fuzzy_lines": op7_fuzzy_lines,
+    "op9_compression_toxicity": op9_compression_toxicity,
     "op10_repeated_strings": op10_repeated_strings,
 }
 ORACLES: dict[str, str] = {}
