@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -37,6 +38,20 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that they need not have it installed."""
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        package = os.path.dirname(os.path.abspath(__file__))
+        folder = tempfile.mkdtemp(prefix="tidemark-code-")
+        name = os.path.join(folder, "tidemark-code")
+        spark.sparkContext.addPyFile(shutil.make_archive(name, "zip", os.path.dirname(package), os.path.basename(package)))
+        _shipped.add(application)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 
