@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import ship_package
+
 # What a Python worker handles at once. They bound memory, not results.
 SLICE_BYTES = 1 << 20
 BATCH_ROWS = 2000
@@ -18,7 +20,8 @@ NO_ID = (1 << 63) - 1
 
 
 def bounded(spark: SparkSession) -> SparkSession:
-    """Small Arrow batches, so that a worker's memory does not depend on the length of the texts."""
+    """Small Arrow batches, so that a worker's memory does not depend on the length of the texts; workers get this package."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark

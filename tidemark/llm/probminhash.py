@@ -6,8 +6,9 @@ in a register with the probability Jaccard similarity of their weighted shingles
 process is a function of the shingle alone and ends once it is later than every register.
 
 Registers are banded. A bucket sends each member with the bucket's first one and with the one
-before, never all pairs. These candidates are verified exactly and united. What then still shares
-a bucket without being united is compared by whole signatures, in blocks, and verified as well.
+before, never all pairs. These candidates are verified exactly and united. Members of larger buckets
+that are not united by then are compared with each other inside tasks of bounded size, and only
+what proves similar is sent on.
 """
 
 from __future__ import annotations
@@ -30,6 +31,10 @@ THRESHOLD = 0.8
 # Signatures of similar pairs agree this much but for one pair in 1e9 (six standard deviations below the threshold).
 SIGNATURE_LEAST = 0.62
 BLOCK_ROWS = 50_000
+# Members of a bucket that one task compares; larger buckets are dealt out as pairs of blocks.
+BLOCK_MEMBERS = 2_000
+# The lowest bits of a bucket's number say which band it is of.
+_BAND_BITS = np.uint64(63)
 _ROUND = np.uint64(0xD1B54A32D192ED03)
 
 
@@ -82,7 +87,7 @@ def band_hashes(won: np.ndarray, bands: int, rows: int) -> np.ndarray:
     out = np.zeros((len(won), bands), np.uint64) + np.arange(bands, dtype=np.uint64)
     for k in range(rows):
         out = hashing.mix(out * _ROUND + won[:, k : bands * rows : rows])
-    return out
+    return (out & ~_BAND_BITS) | np.arange(bands, dtype=np.uint64)
 
 
 def probability_jaccard(x: np.ndarray, wx: np.ndarray, y: np.ndarray, wy: np.ndarray) -> float:
@@ -183,7 +188,7 @@ def _verified(pairs: DataFrame, shingles: DataFrame, threshold: float) -> DataFr
 
 
 def _shingles(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """Weighted shingles of the wanted texts, as sorted unsigned numbers and doubles."""
+    """Weighted shingles of the wanted texts, as sorted unsigned numbers and doubles, and 16 bits of each register."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         made, text, weight = weighted_shingles(column(batch, "lower"), words)
@@ -193,36 +198,64 @@ def _shingles(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             id=column(batch, "id"),
             elements=pa.array([made[a:b].tobytes() for a, b in parts], pa.binary()),
             weights=pa.array([weight[a:b].tobytes() for a, b in parts], pa.binary()),
+            sign=pa.array([_numbers(x, np.uint64).astype(np.uint16).tobytes() for x in column(batch, "won")], pa.binary()),
         )
 
-    one = rows.join(wanted, ["k1", "k2", "doc"]).select("id", F.lower("text").alias("lower"))
-    made = map_slices(one, "lower", work, "id long, elements binary, weights binary")
+    one = rows.join(wanted, ["k1", "k2", "doc"]).select("id", "won", F.lower("text").alias("lower"))
+    made = map_slices(one, "lower", work, "id long, elements binary, weights binary, sign binary")
     return stored(made.dropDuplicates(["id"]), "shingles")
 
 
-def _across(members: DataFrame, label: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs in one bucket, not united so far, whose signatures agree enough. Compared in blocks."""
+def _numbers(value: pa.BinaryScalar, kind: type) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), kind)
+
+
+def _across(
+    members: DataFrame, label: DataFrame, shingles: DataFrame, threshold: float, bands: int, in_band: int,
+    block_members: int = BLOCK_MEMBERS,
+) -> DataFrame:
+    """Links between members of one bucket that are not united so far.
+
+    Buckets of two or three have nothing left: their leader and their chain are all pairs. A pair is
+    looked at in the first band it shares.
+    """
     named = members.select("bucket", "id").join(label.select(F.col("node").alias("id"), "root"), "id", "left")
     named = named.withColumn("root", F.coalesce("root", "id"))
-    open_ = named.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("bucket")
-    rest = named.join(open_, "bucket").join(texts.select("id", "won"), "id")
+    open_ = named.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
+    open_ = open_.where("lo < hi and n > 3").select("bucket", F.ceil(F.col("n") / block_members).cast("int").alias("blocks"))
+    dealt = named.join(open_, "bucket").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    # A block meets every block, itself included, in a task of their own.
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select(
+        F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("meeting"), "bucket", "own", "id", "root",
+        (F.col("own") == F.col("other")).alias("same"),
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, _ in sorted_blocks(batches, "bucket", 4096, lambda _: False):
-            bucket, ident, root = (block.column(c).to_numpy() for c in ("bucket", "id", "root"))
-            won = np.stack([np.frombuffer(x.as_buffer(), np.uint64) for x in block.column("won").combine_chunks()])
-            sign = (won & np.uint64(0xFFFF)).astype(np.uint16)
-            start = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-            for lo, hi in zip(start, np.append(start[1:], len(bucket))):
+        for block, _ in sorted_blocks(batches, "meeting", 1000, lambda _: False):
+            meeting, bucket, own, ident, root, same = (
+                block.column(c).to_numpy() for c in ("meeting", "bucket", "own", "id", "root", "same")
+            )
+            sign = np.stack([_numbers(x, np.uint16) for x in block.column("sign")])
+            elements = [_numbers(x, np.uint64) for x in block.column("elements")]
+            weights = [_numbers(x, np.float64) for x in block.column("weights")]
+            start = np.flatnonzero(np.append(True, meeting[1:] != meeting[:-1]))
+            a, b = [], []
+            for lo, hi in zip(start, np.append(start[1:], len(meeting))):
+                band = int(np.uint64(bucket[lo].view(np.uint64) & _BAND_BITS))
                 for i in range(lo, hi - 1):
                     later = np.arange(i + 1, hi)
-                    later = later[root[later] != root[i]]
-                    later = later[(sign[later] == sign[i]).mean(axis=1) >= SIGNATURE_LEAST]
-                    if len(later):
-                        x, y = np.full(len(later), ident[i]), ident[later]
-                        yield record(a=np.minimum(x, y), b=np.maximum(x, y))
-
-    ordered = rest.select("bucket", "id", "root", "won").repartition("bucket").sortWithinPartitions("bucket")
+                    later = later[(root[later] != root[i]) & (same[i] | (own[later] != own[i]))]
+                    equal = sign[later] == sign[i]
+                    shared = equal.reshape(-1, bands, in_band).all(axis=2).argmax(axis=1) == band
+                    for j in later[shared & (equal.mean(axis=1) >= SIGNATURE_LEAST)]:
+                        if probability_jaccard(elements[i], weights[i], elements[j], weights[j]) >= threshold - 1e-12:
+                            a.append(min(ident[i], ident[j]))
+                            b.append(max(ident[i], ident[j]))
+            if a:
+                yield record(a=np.array(a, np.int64), b=np.array(b, np.int64))
+
+    ordered = dealt.join(shingles, "id").repartition("meeting").sortWithinPartitions("meeting")
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -246,7 +279,7 @@ def near_duplicate_classes(
             yield record(bucket=longs(made.ravel()), id=np.repeat(values(batch, "id"), bands))
 
     members = stored(bucket_links(texts.select("id", "won").mapInArrow(banded, "bucket long, id long")), "buckets")
-    wanted = texts.join(members.select("id").distinct(), "id").select("k1", "k2", "doc", "id")
+    wanted = texts.join(members.select("id").distinct(), "id").select("k1", "k2", "doc", "id", "won")
     shingles = _shingles(rows, wanted, words)
     # First each text with one leader; then the other candidates that this has not united.
     nearest = members.where("id != leader").groupBy("id").agg(F.min("leader").alias("a"))
@@ -256,7 +289,7 @@ def near_duplicate_classes(
     more = lead.union(chain).where("a != b").distinct()
     links = links.union(stored(_verified(_apart(more, label), shingles, threshold), "links"))
     label = components(links)
-    rest = stored(_verified(_across(members, label, texts), shingles, threshold), "links")
+    rest = stored(_across(members, label, shingles, threshold, bands, in_band), "links")
     label = components(links.union(rest))
     named = texts.select("k1", "k2", "doc", "id").join(label.select(F.col("node").alias("id"), "root"), "id", "left")
     named = named.withColumn("root", F.coalesce("root", "id"))
