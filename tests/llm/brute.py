@@ -98,12 +98,10 @@ def near_duplicates(docs, threshold=0.8):
 
 def line_classes(docs, threshold=0.8, size=8, min_bytes=40):
     """Per long line: id, place, id and place of the first of its component. Ids are distinct and known."""
-    import re
-
     at = []
     for i, text in docs:
         for p, line in enumerate((text or "").split("\n")):
-            line = re.sub(r"\s+", " ", line.lower()).strip()
+            line = line.lower().strip(" \t\r\v\f")
             if len(line.encode()) >= min_bytes:
                 at.append((i, p, line))
     lines = sorted({x[2] for x in at})

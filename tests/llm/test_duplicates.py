@@ -7,7 +7,8 @@ import pytest
 from tests.llm import brute
 from tidemark.llm.components import components
 from tidemark.llm.frames import bounded
-from tidemark.llm.lines import drop_repeated_lines, line_classes
+from tidemark.llm import hashing
+from tidemark.llm.lines import drop_repeated_lines, line_classes, set_registers
 from tidemark.llm.probminhash import near_duplicates, one_of_each_class, probability_jaccard, registers
 from tidemark.llm.queries import op3_near_duplicates, op7_fuzzy_lines
 
@@ -52,6 +53,12 @@ def test_registers_estimate_probability_jaccard():
     assert fast == pytest.approx(exact, rel=1e-9)
 
 
+def test_set_registers_estimate_jaccard():
+    x, y = hashing.mix(np.arange(30, dtype=np.uint64)), hashing.mix(np.arange(6, 36, dtype=np.uint64))
+    won = set_registers(np.concatenate([x, y]), np.repeat([0, 1], 30), 2, 8192)
+    assert abs((won[0] == won[1]).mean() - 24 / 36) < 0.03
+
+
 def test_components(spark):
     pick = random.Random(3)
     edges = [(pick.randrange(300), pick.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(1000, 1200)]

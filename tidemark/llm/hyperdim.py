@@ -204,7 +204,7 @@ def predict_language(text: Column | str, model: Profiles) -> Column:
         for t in [*texts, None]:
             held.append(t)
             size += len(t or "")
-            if size > 1 << 20 or len(held) > 2000:
+            if size > 1 << 19 or len(held) > 2000:
                 a, s = _predict(held, model)
                 answers, scores, held, size = answers + a, [*scores, *s], [], 0
         if held:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import hashing
 from tidemark.llm.components import components
 from tidemark.llm.frames import column, given_id, known_id, longs, map_slices, record, values
-from tidemark.llm.probminhash import band_hashes, bucket_links, registers
+from tidemark.llm.probminhash import band_hashes, bucket_links
 from tidemark.session import stored
 
 SHINGLE_BYTES = 8
@@ -32,30 +32,54 @@ _SECOND_SEED = 0x5DEECE66D
 
 def _lines(batch: pa.RecordBatch, min_bytes: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Lines of ``min_bytes`` or more in normal form, the text and the place of each."""
-    split = pc.split_pattern(pc.cast(column(batch, "text"), pa.large_string()), "\n")
+    split = pc.split_pattern(pc.cast(column(batch, "lower"), pa.large_string()), "\n")
     size = np.asarray(pc.list_value_length(split))
     text = np.repeat(np.arange(len(size)), size)
     place = np.arange(len(text)) - np.repeat(np.cumsum(size) - size, size)
-    normal = pc.utf8_trim_whitespace(pc.replace_substring_regex(pc.utf8_lower(split.flatten()), r"\s+", " "))
+    normal = pc.ascii_trim_whitespace(split.flatten())
     long_ = np.asarray(pc.binary_length(normal)) >= min_bytes
     return normal.filter(pa.array(long_)), text[long_], place[long_]
 
 
-def _keys(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def _key(lines: pa.Array, seed: int = 0) -> np.ndarray:
     data, begins = hashing.flat(lines)
-    one = hashing.span_hashes(data, begins[:-1], begins[1:])
-    return longs(one), longs(hashing.span_hashes(data, begins[:-1], begins[1:], _SECOND_SEED))
+    return longs(hashing.span_hashes(data, begins[:-1], begins[1:], seed))
+
+
+def set_registers(elements: np.ndarray, owner: np.ndarray, owners: int, size: int) -> np.ndarray:
+    """MinHash registers of sets, a row per owner, with one hash per element and round.
+
+    An element goes to one register at random, and a register keeps the smallest hash. Registers
+    that got none are filled in further rounds with new hashes, so that any two sets agree in a
+    register with the probability of their Jaccard similarity. Every owner has elements.
+    """
+    none = np.uint64(0xFFFFFFFFFFFFFFFF)
+    won = np.full(owners * size, none)
+    turn = 0
+    while len(elements):
+        turn = (turn + 0xD1B54A32D192ED03) & 0xFFFFFFFFFFFFFFFF
+        drawn = hashing.mix(elements + np.uint64(turn))
+        slot = owner * size + ((drawn >> np.uint64(40)) * np.uint64(size) >> np.uint64(24)).astype(np.int64)
+        if turn != 0xD1B54A32D192ED03:
+            fresh = won[slot] == none
+            drawn, slot = drawn[fresh], slot[fresh]
+        now = np.full(len(won), none) if turn != 0xD1B54A32D192ED03 else won
+        np.minimum.at(now, slot, hashing.mix(drawn))
+        won = np.minimum(won, now)
+        alive = (won.reshape(owners, size) == none).any(axis=1)[owner]
+        elements, owner = elements[alive], owner[alive]
+    return won.reshape(owners, size)
 
 
 def _occurrences(rows: DataFrame, min_bytes: int) -> DataFrame:
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         lines, text, place = _lines(batch, min_bytes)
-        h1, h2 = _keys(lines)
         return record(
-            doc=values(batch, "doc")[text], body=values(batch, "body")[text], place=place.astype(np.int32), h1=h1, h2=h2
+            doc=values(batch, "doc")[text], body=values(batch, "body")[text], place=place.astype(np.int32),
+            h1=_key(lines), h2=_key(lines, _SECOND_SEED),
         )
 
-    return map_slices(rows.select("doc", "body", "text"), "text", work, "doc long, body long, place int, h1 long, h2 long")
+    return map_slices(rows.select("doc", "body", "lower"), "lower", work, "doc long, body long, place int, h1 long, h2 long")
 
 
 def _buckets(rows: DataFrame, min_bytes: int, shingle: int, bands: int, in_band: int) -> DataFrame:
@@ -63,16 +87,16 @@ def _buckets(rows: DataFrame, min_bytes: int, shingle: int, bands: int, in_band:
         lines = _lines(batch, min_bytes)[0].unique()
         if not len(lines):
             return None
-        ident, _ = _keys(lines)
+        ident = _key(lines)
         data, begins = hashing.flat(lines)
         made = hashing.byte_shingles(data, shingle)
         line = np.repeat(np.arange(len(lines)), np.diff(begins))[: len(made)]
         inside = np.arange(len(made)) + shingle <= begins[line + 1]
         made, line = made[inside], line[inside]
-        won = registers(made, line, np.ones(len(made)), len(lines), bands * in_band)
+        won = set_registers(made, line, len(lines), bands * in_band)
         return record(bucket=longs(band_hashes(won, bands, in_band).ravel()), id=np.repeat(ident, bands))
 
-    return map_slices(rows.select("text"), "text", work, "bucket long, id long")
+    return map_slices(rows.select("lower"), "lower", work, "bucket long, id long")
 
 
 def shingle_jaccard(a: str, b: str, size: int) -> float:
@@ -89,7 +113,7 @@ def _similar(rows: DataFrame, pairs: DataFrame, min_bytes: int, shingle: int, th
 
     def texts(batch: pa.RecordBatch) -> pa.RecordBatch:
         lines = _lines(batch, min_bytes)[0].unique()
-        return record(id=_keys(lines)[0], line=lines.cast(pa.string()))
+        return record(id=_key(lines), line=lines.cast(pa.string()))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,7 +122,7 @@ def _similar(rows: DataFrame, pairs: DataFrame, min_bytes: int, shingle: int, th
             yield record(a=values(batch, "a")[keep], b=values(batch, "b")[keep])
 
     wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "id")
-    all_lines = map_slices(rows.select("text"), "text", texts, "id long, line string")
+    all_lines = map_slices(rows.select("lower"), "lower", texts, "id long, line string")
     lines = stored(all_lines.join(wanted, "id", "left_semi").dropDuplicates(["id"]), "lines")
     joined = pairs.join(lines.select(F.col("id").alias("a"), F.col("line").alias("x")), "a")
     joined = joined.join(lines.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
@@ -113,15 +137,15 @@ def line_classes(
     ``first_doc``, ``first_body``, ``first_place``.
 
     ``doc`` is the id, or the largest long for null; ``body`` tells apart rows that share an id.
-    Lines are in lower case with white space collapsed. A candidate that shares a bucket is compared
+    Lines are compared in lower case, without white space at their ends. A candidate that shares a bucket is compared
     with the bucket's first line and with the one before it.
     """
     rows = docs.select(known_id(id_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).cast("string").alias("text"))
-    rows = rows.withColumn("body", F.xxhash64("text"))
+    rows = rows.select("doc", F.xxhash64("text").alias("body"), F.lower("text").alias("lower"))
     members = stored(bucket_links(_buckets(rows, min_bytes, shingle, bands, in_band)), "buckets")
     pairs = members.select(F.col("leader").alias("a"), F.col("id").alias("b")).union(members.select("before", "id"))
     label = components(_similar(rows, stored(pairs.where("a != b").distinct(), "pairs"), min_bytes, shingle, threshold))
-    lines = _occurrences(rows, min_bytes)
+    lines = stored(_occurrences(rows, min_bytes), "occurrences")
     # Copies first: one row per distinct line, then one per component.
     copies = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc", "place", "body")).alias("first"))
     named = copies.join(label.select(F.col("node").alias("h1"), "root"), "h1", "left").withColumn("root", F.coalesce("root", "h1"))
