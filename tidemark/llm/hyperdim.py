@@ -221,6 +221,13 @@ def identify_languages(docs: DataFrame, model: Profiles, id_col: str = "doc_id",
     return found.select(id_col, "_found.lang_pred", "_found.score")
 
 
+def keep_languages(docs: DataFrame, model: Profiles, text_col: str = "text", least_cosine: float = LEAST_COSINE) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text is in a learned language: it has letters, and its cosine
+    is not within the noise of random vectors."""
+    found = predict_language(F.col(f"`{text_col}`").cast("string"), model)
+    return docs.where((found.getField("lang_pred") != UNKNOWN) & (found.getField("score") >= least_cosine))
+
+
 def remainder(id_col: str, parts: int) -> Column:
     """The fold of a document: a checksum of its id as text."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % parts

@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.compression import learn_toxicity, toxicity
+from tidemark.llm.editmatch import benchmark_matches
 from tidemark.llm.frames import bounded, given_id
 from tidemark.llm.hyperdim import learn_profiles, predict_language, remainder
 from tidemark.llm.lines import line_classes
+from tidemark.llm.multiindex import nearest_neighbours
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.phrases import drop_repeated_phrases
 from tidemark.llm.probminhash import near_duplicates
+from tidemark.llm.separators import token_counts
 from tidemark.llm.suffixes import drop_repeated_strings
 
 
@@ -21,6 +24,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return bounded(spark).read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def op4_multi_index_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op5_language_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = learn_profiles(docs.where(remainder("doc_id", 3) != 1))
@@ -43,6 +50,10 @@ def op1_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_benchmark_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -55,6 +66,10 @@ def op7_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents")).select("doc_id", "n_tokens")
+
+
 def op9_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = learn_toxicity(docs, labels.where(remainder("doc_id", 5) != 0))
@@ -71,10 +86,13 @@ def op10_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_hierarchical_packing": op1_hierarchical_packing,
+    "op2_benchmark_edits": op2_benchmark_edits,
     "op3_near_duplicates": op3_near_duplicates,
+    "op4_multi_index_search": op4_multi_index_search,
     "op5_language_profiles": op5_language_profiles,
     "op6_repeated_phrases": op6_repeated_phrases,
     "op7_fuzzy_lines": op7_fuzzy_lines,
+    "op8_separator_scan": op8_separator_scan,
     "op9_compression_toxicity": op9_compression_toxicity,
     "op10_repeated_strings": op10_repeated_strings,
 }
