@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import multiindex
-from tidemark.llm.editmatch import benchmark_matches, best_distance, item_masks, without_benchmark
+from tidemark.llm.editmatch import begins_nearly, benchmark_matches, best_distance, item_masks, without_benchmark
 from tidemark.llm.frames import bounded
 from tidemark.llm.multiindex import Shard, nearest_neighbours
 from tidemark.llm.queries import op2_benchmark_edits, op4_multi_index_search, op8_separator_scan
@@ -107,6 +107,25 @@ def test_bit_parallel_distance():
         assert best_distance(item_masks(item), len(item), text) == distance_by_table(item, text)
 
 
+def test_begins_nearly():
+    pick = random.Random(8)
+    for _ in range(3000):
+        piece = "".join(pick.choices("ab", k=pick.randrange(1, 6)))
+        text = "".join(pick.choices("ab", k=pick.randrange(0, 9)))
+        edits = min(distance_whole(piece, text[:n]) for n in range(len(text) + 1))
+        assert begins_nearly("xx" + text, 2, piece) == (edits <= 1)
+
+
+def distance_whole(a, b):
+    row = list(range(len(b) + 1))
+    for i, c in enumerate(a, 1):
+        new = [i]
+        for j, d in enumerate(b, 1):
+            new.append(min(row[j - 1] + (c != d), row[j] + 1, new[-1] + 1))
+        row = new
+    return row[-1]
+
+
 def test_edit_matches_of_odd_rows(spark, monkeypatch):
     pick = random.Random(5)
     word = lambda: "".join(pick.choices("abcdefgh", k=pick.randrange(2, 8)))

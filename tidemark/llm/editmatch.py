@@ -2,8 +2,10 @@
 
 A match with at most ``e`` edits leaves one of any ``e + 1`` pieces of the item untouched. An
 automaton over all pieces finds their exact hits, and around each hit Myers' bit-parallel algorithm
-computes the edit distance of the item to the best part of the document. Before that, counting
-shared letter groups drops hits that cannot be within the budget.
+computes the edit distance of the item to the best part of the document. Two exact conditions drop
+most chance hits before that. Counted round the item, errors less pieces are below zero, so from one
+of the untouched pieces on all running sums are below zero too: the piece behind it has one edit at
+most. And a part within the budget shares enough letter groups with the item.
 """
 
 from __future__ import annotations
@@ -51,6 +53,17 @@ def best_distance(masks: dict[str, int], length: int, text: str) -> int:
     return best
 
 
+def begins_nearly(text: str, at: int, piece: str) -> bool:
+    """Whether the text goes on at ``at`` with the piece, but for one edit at most."""
+    if text.startswith(piece, at):
+        return True
+    i, most = 0, min(len(piece), len(text) - at)
+    while i < most and piece[i] == text[at + i]:
+        i += 1
+    rest = piece[i + 1 :]
+    return text.startswith(rest, at + i + 1) or text.startswith(rest, at + i) or text.startswith(piece[i:], at + i + 1)
+
+
 def item_masks(item: str) -> dict[str, int]:
     masks: dict[str, int] = {}
     for i, c in enumerate(item):
@@ -80,10 +93,11 @@ class Items:
 class _Finder:
     def __init__(self, items: Items):
         self.items = items
-        places: dict[str, list[tuple[int, int]]] = {}
+        places: dict[str, list[tuple[int, int, str | None]]] = {}
         for n, text in enumerate(items.texts):
-            for at, piece in pieces(text, items.errors(n)):
-                places.setdefault(piece, []).append((n, at))
+            cut = pieces(text, items.errors(n))
+            for (at, piece), (_, behind) in zip(cut, [*cut[1:], (0, None)]):
+                places.setdefault(piece, []).append((n, at, behind))
         self.automaton = ahocorasick.Automaton()
         for piece, where in places.items():
             self.automaton.add_word(piece, (len(piece), where))
@@ -110,7 +124,9 @@ class _Finder:
         hits: dict[int, list[int]] = {}
         if len(self.automaton):
             for end, (size, where) in self.automaton.iter(text):
-                for n, at in where:
+                for n, at, behind in where:
+                    if behind is not None and not begins_nearly(text, end + 1, behind):
+                        continue
                     hits.setdefault(n, []).append(end + 1 - size - at)
         found = []
         for n, starts in hits.items():
