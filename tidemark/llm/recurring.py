@@ -249,8 +249,9 @@ def without_later_copies(
     rows = rows.select("doc", "text", *content_key(F.col("text")))
     firsts = rows.groupBy("k1", "k2").agg(F.min("doc").alias("first"))
     hits = _recurring(_anchor_rows(rows, windows), hot_documents).groupBy("k1").agg(F.collect_set("anchor").alias("anchors"))
-    # Both joins deal the rows out by the same keys, so that Spark shuffles the texts once.
-    own = rows.join(firsts.join(hits, "k1"), ["k1", "k2"]).where("doc = first").select("doc", "text", "k1", "k2", "anchors")
+    # Both joins deal the rows out by the same keys, so that Spark shuffles the texts once. No id is below
+    # the first; an equality would make the id a third key.
+    own = rows.join(firsts.join(hits, "k1"), ["k1", "k2"]).where("doc <= first").select("doc", "text", "k1", "k2", "anchors")
     spans = _removed(_passages(own, windows), windows, locate)
     spans = spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("at", "size")).alias("spans"))
 
