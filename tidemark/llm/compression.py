@@ -142,19 +142,21 @@ def learn_toxicity(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
     sample_texts: int = SAMPLE_TEXTS, sample_chars: int = SAMPLE_CHARS,
 ) -> Model | None:
-    """Learn from labelled documents: ``sample_texts`` of each class at most, those with the smallest hash of
-    the id, none longer than ``sample_chars``. Null or repeated ids and null labels are left out.
-    None if either class has fewer than four texts.
+    """Learn from labelled documents: those of ``sample_texts`` ids of each class at most, the ids with the smallest
+    hash, no text longer than ``sample_chars``. Null ids, null labels, ids with both labels and null texts are
+    left out. None if either class has fewer than four texts.
     """
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
     known = known.groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("_toxic"), F.min(label_col).alias("_least"))
     known = known.where("_toxic = _least").select("_id", "_toxic")
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).where("_text is not null")
-    joined = texts.where(F.length("_text") <= sample_chars).join(known, "_id").withColumn("_order", F.xxhash64("_id"))
     count = {r["_toxic"]: r["n"] for r in known.groupBy("_toxic").agg(F.count("*").alias("n")).collect()}
     sets = []
     for label in (1, 0):
-        rows = joined.where(F.col("_toxic") == label).orderBy("_order", "_id").limit(sample_texts).select("_text").collect()
+        # At most so many ids, so that they can be sent to where the texts are.
+        ids = known.where(F.col("_toxic") == label).select("_id").orderBy(F.xxhash64("_id"), "_id").limit(sample_texts)
+        rows = texts.where(F.length("_text") <= sample_chars).join(F.broadcast(ids), "_id").dropDuplicates(["_id"])
+        rows = rows.orderBy(F.xxhash64("_id"), "_id").select("_text").collect()
         sets.append([normal(r["_text"]) for r in rows])
     if min(map(len, sets)) < 4:
         return None
