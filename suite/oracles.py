@@ -133,7 +133,7 @@ DAMPED = RATINGS + """, means AS (
   SELECT product_category, sum(rating_sum) / sum(n_reviews) AS category_rating FROM ratings GROUP BY product_category),
 damped AS (
   SELECT product_category, product_id, n_reviews,
-    round((5.0::DOUBLE * category_rating + rating_sum) / (5.0::DOUBLE + n_reviews), 6) AS damped_rating
+    (5.0::DOUBLE * category_rating + rating_sum) / (5.0::DOUBLE + n_reviews) AS damped_rating
   FROM ratings JOIN means USING (product_category)),
 ranked AS (
   SELECT *, row_number() OVER (
@@ -142,7 +142,7 @@ ranked AS (
 EVENTS = """ev AS (
   SELECT 'file_' || user_id AS file_name, CASE WHEN event_type <> 'signup' THEN event_type <> 'error' END AS processed, ts
   FROM events), latest AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY file_name ORDER BY ts DESC, processed DESC NULLS LAST) AS place FROM ev)
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY file_name ORDER BY ts DESC, processed IS NULL DESC, processed DESC) AS place FROM ev)
   WHERE place = 1 AND processed IS NOT NULL),
 pending AS (
   SELECT DISTINCT 'file_' || user_id AS source_file FROM events
@@ -218,7 +218,9 @@ def oracle_sql(text_lexicon, part_lexicon) -> dict[str, str]:
             SELECT source_file, reason, CAST({RECORD} AS VARCHAR) AS record FROM checked WHERE reason IS NOT NULL
             UNION ALL SELECT source_file, 'duplicate', CAST({RECORD} AS VARCHAR) FROM copies WHERE place > 1
             UNION ALL SELECT source_file, 'missing columns: [''review_headline'']', CAST({BROKEN_RECORD} AS VARCHAR)
-              FROM scanned WHERE NOT ({GOOD})""",
+              FROM scanned WHERE NOT ({GOOD})
+            UNION ALL SELECT source_file, 'too_many_fields', CAST(to_json(struct_pack(
+                line := concat_ws(chr(9), {FIELDS}, 'extra'))) AS VARCHAR) FROM lines WHERE is_long AND {GOOD}""",
         "lineage_records": f"""WITH {PER_CHUNK} SELECT source_file, {OBJECT} AS output_parquet, category,
             count(*) AS row_count, chunk_idx FROM per_chunk GROUP BY source_file, category, chunk_idx""",
         "compact_files": f"WITH {TYPED} SELECT {SHOWN}, seq FROM typed",
@@ -288,12 +290,14 @@ def oracle_sql(text_lexicon, part_lexicon) -> dict[str, str]:
         "manifest_list": f"WITH {EVENTS} SELECT file_name FROM latest",
         "file_failures": f"""WITH {LINES} SELECT DISTINCT source_file, 'missing columns: [''review_headline'']' AS error_message
             FROM lines WHERE NOT ({GOOD})""",
+        "dedup_across_runs": f"""WITH {RUN} SELECT source_file, count(*) AS n_rows, sum(star_rating) AS sum_rating
+            FROM run GROUP BY source_file""",
         "incremental_ingest": f"WITH {RUN} SELECT source_file, count(*) AS n_rows FROM run GROUP BY source_file",
         "rating_vs_popularity": f"""WITH {RATINGS} SELECT product_category, product_id, n_reviews, n_verified,
             round(rating_sum / n_reviews, 6) AS avg_rating FROM ratings""",
         "rating_popularity_correlation": f"""WITH {RATINGS} SELECT product_category, count(*) AS n_products,
             round(corr(rating_sum / n_reviews, CAST(n_reviews AS DOUBLE)), 6) AS correlation FROM ratings GROUP BY product_category""",
-        "best_products": f"""WITH {DAMPED} SELECT product_category, product_id, n_reviews, damped_rating,
+        "best_products": f"""WITH {DAMPED} SELECT product_category, product_id, n_reviews, round(damped_rating, 6) AS damped_rating,
             CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 10""",
         "suggest_products": f"""WITH {DAMPED}, per AS (
               SELECT customer_id, product_category, count(*) AS n, avg(star_rating) AS rating FROM clean
@@ -306,7 +310,7 @@ def oracle_sql(text_lexicon, part_lexicon) -> dict[str, str]:
               FROM favourite f JOIN ranked r USING (product_category)
               WHERE NOT EXISTS (SELECT 1 FROM clean c WHERE c.customer_id = f.customer_id
                 AND c.product_category = r.product_category AND c.product_id = r.product_id))
-            SELECT customer_id, CAST(place AS INTEGER) AS place, product_category, product_id, damped_rating FROM free WHERE place <= 5""",
+            SELECT customer_id, CAST(place AS INTEGER) AS place, product_category, product_id, round(damped_rating, 6) AS damped_rating FROM free WHERE place <= 5""",
         "sentiment_score": f"""WITH {scores("documents", "doc_id", "text", text_lexicon.positive, text_lexicon.negative)}
             SELECT doc_id, {label} AS label, round(score, 6) AS score FROM scored""",
         "product_sentiment": f"""WITH {CLEAN}, {scores("clean", "product_category, product_id", "review_body", part_lexicon.positive, part_lexicon.negative)}
@@ -318,11 +322,11 @@ def oracle_sql(text_lexicon, part_lexicon) -> dict[str, str]:
               FROM t WHERE len(tokens) > 0)
             SELECT doc_id, CAST(i AS INTEGER) AS passage_no, array_to_string(tokens[i * 96 + 1 : i * 96 + 128], ' ') AS passage FROM w""",
         "nearest_vectors": """WITH q AS (SELECT label AS query, arg_min(embedding, vec_id) AS v FROM embeddings GROUP BY label),
-            s AS (SELECT query, vec_id, round(
+            s AS (SELECT query, vec_id,
                 list_dot_product(CAST(embedding AS DOUBLE[]), CAST(v AS DOUBLE[])) /
                 sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) /
-                sqrt(list_dot_product(CAST(v AS DOUBLE[]), CAST(v AS DOUBLE[]))), 6) AS similarity
+                sqrt(list_dot_product(CAST(v AS DOUBLE[]), CAST(v AS DOUBLE[]))) AS similarity
               FROM embeddings, q),
             r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY similarity DESC, vec_id) AS rank FROM s)
-            SELECT query, vec_id, similarity, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 10""",
+            SELECT query, vec_id, round(similarity, 6) AS similarity, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 10""",
     }

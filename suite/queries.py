@@ -464,8 +464,10 @@ def _events(spark, sf):
     kind = F.col("event_type")
     return D.table(spark, sf, "events").select(
         F.concat(F.lit("file_"), F.col("user_id").cast("string")).alias("file_name"),
+        F.lit(None).cast("string").alias("path"),
         F.when(kind != "signup", kind != "error").alias("processed"),
         F.col("ts").cast("timestamp").alias("updated_at"),
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("seq"),
     )
 
 
@@ -516,13 +518,30 @@ def incremental_ingest(spark, sf):
     def make():
         config = D.run_config(spark, "stream")
         for _ in range(2):  # the second start finds nothing new
-            start_ingest(spark, D.dump(spark, sf), config).awaitTermination()
+            start_ingest(spark, D.dump(spark, sf), config, max_files=3).awaitTermination()
         return config
 
     config = D.once(spark, sf, "stream", make)
     return read_dataset(spark, config.clean_path).groupBy("source_file").agg(F.count("*").alias("n_rows"))
 
 
+@query
+def dedup_across_runs(spark, sf):
+    """Two runs over halves of the dump, with one run id, store what one run over all of it stores."""
+
+    def make():
+        config = D.run_config(spark, "halves")
+        files = sorted(D.dump_paths(spark, sf).items(), key=lambda x: (x[1], x[0]))
+        for half in (files[: len(files) // 2], files[len(files) // 2 :]):
+            ingest_files(spark, dict(half), config)
+        return config
+
+    config = D.once(spark, sf, "halves", make)
+    return read_dataset(spark, config.clean_path).groupBy("source_file").agg(
+        F.count("*").alias("n_rows"), F.sum("star_rating").alias("sum_rating")
+    )
+
+
 # Stated goals
 
 

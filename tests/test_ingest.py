@@ -1,5 +1,6 @@
 import gzip
 import json
+import os
 from dataclasses import replace
 from datetime import datetime, timedelta
 
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.reviews import COLUMNS, KEPT, plain, text
-from tidemark.plans.ingest import ALL, BYTES, FILES, IngestConfig, ingest, show_summary
+from tidemark.plans.ingest import ALL, FILES, WHOLE, IngestConfig, ingest, show_summary
 from tidemark.sinks import tables as sinks
 from tidemark.sources.parquet import read_category, read_dataset, read_first_files
 from tidemark.state import manifest
@@ -37,6 +38,11 @@ def table(spark, config, name):
     return spark.read.parquet(config.path(name))
 
 
+def customer(record):
+    """The customer of a record of fields, or of a line that was skipped."""
+    return record["customer_id"] if "customer_id" in record else record["line"].split("\t")[1]
+
+
 def test_run(spark, source, config):
     result = ingest(spark, str(source), config)
     assert result.failed == {"amazon_reviews_us_Toys_v1_00.tsv": "missing columns: ['review_body']"}
@@ -62,9 +68,9 @@ def test_run(spark, source, config):
     rejects = table(spark, config, "quarantine")
     by_file = {}
     for r in rejects.collect():
-        by_file.setdefault(r.source_file, []).append((r.reason, json.loads(r.record)["customer_id"]))
+        by_file.setdefault(r.source_file, []).append((r.reason, customer(json.loads(r.record))))
     assert sorted(by_file["amazon_reviews_us_Books_v1_00.tsv"]) == sorted(
-        [("rating", "2"), ("rating", "8"), ("votes", "3"), ("votes", "14"), ("null_text", "4"), ("duplicate", "7"), ("duplicate", "11")]
+        [("rating", "2"), ("rating", "8"), ("votes", "3"), ("votes", "14"), ("null_text", "4"), ("duplicate", "7"), ("duplicate", "11"), ("too_many_fields", "6")]
     )
     assert len(by_file["amazon_reviews_us_Toys_v1_00.tsv"]) == 4
     # A rejected row keeps the text it was read with.
@@ -133,9 +139,9 @@ def test_unreadable_file_does_not_stop_the_others(spark, tmp_path, config):
     assert table(spark, config, "state/metrics").collect()[0].failed_rows == 0
 
 
-def test_byte_chunks_read_once(spark, source, config):
+def test_whole_files_read_once(spark, source, config):
     """The single-pass run keeps the same rows."""
-    ingest(spark, str(source), replace(config, chunks=BYTES, chunk_bytes=500))
+    ingest(spark, str(source), replace(config, chunks=WHOLE))
     stored = read_dataset(spark, config.clean_path)
     assert stored.count() == 36
     assert stored.filter("source_file LIKE '%Books_v1_00%'").count() == len(KEPT)
@@ -156,6 +162,86 @@ def test_stream(spark, source, config):
     assert batches == [0, 1] and read_dataset(spark, config.clean_path).count() == 43
 
 
+def parts(folder, *bodies):
+    """Files of one logical name, in folders of their own."""
+    for i, body in enumerate(bodies):
+        (folder / f"dump=a.tsv{'' if i < 2 else i}" / f"p{i}").mkdir(parents=True)
+        (folder / f"dump=a.tsv{'' if i < 2 else i}" / f"p{i}" / "part.txt").write_text(body)
+
+
+PARTED = {"suffix": ".txt", "recursive": True, "name_pattern": r"dump=([^/]+)/"}
+
+
+@pytest.mark.parametrize("max_files", [1, 10])
+def test_stream_takes_all_parts_once(spark, tmp_path, config, max_files):
+    parts(tmp_path / "in", text(plain(5)), text(plain(5, 5)), text(plain(5) + plain(2, 50)))
+    old = tmp_path / "in" / "dump=a.tsv" / "p0" / "part.txt"
+    os.utime(old, (1_000_000, 1_000_000))
+    config = replace(config, **PARTED)
+    start_ingest(spark, str(tmp_path / "in"), config, max_files=max_files).awaitTermination()
+    stored = read_dataset(spark, config.clean_path)
+    # The third file repeats the keys of the first.
+    assert stored.count() == 12 and stored.select("review_id").distinct().count() == 12
+    ingest(spark, str(tmp_path / "in"), replace(config, root=config.root + "-batch"))
+    batch = read_dataset(spark, config.root + "-batch/bronze/reviews")
+    key = ("source_file", "review_id", "customer_id")
+    assert sorted(map(tuple, batch.select(*key).collect())) == sorted(map(tuple, stored.select(*key).collect()))
+
+
+def test_later_part_and_old_file_are_taken(spark, tmp_path, config):
+    folder, config = tmp_path / "in", replace(config, **PARTED)
+    parts(folder, text(plain(5)))
+    assert ingest(spark, str(folder), config).processed == ("a.tsv",)
+    (folder / "dump=a.tsv" / "later").mkdir()
+    (folder / "dump=a.tsv" / "later" / "part.txt").write_text(text(plain(8)))
+    os.utime(folder / "dump=a.tsv" / "later" / "part.txt", (1_000_000, 1_000_000))
+    # The same run id: the side tables keep what the first call wrote.
+    assert ingest(spark, str(folder), config).processed == ("a.tsv",)
+    assert read_dataset(spark, config.clean_path).count() == 8
+    assert table(spark, config, "quarantine").filter("reason = 'duplicate'").count() == 5
+    assert table(spark, config, "state/lineage").agg(F.sum("row_count")).first()[0] == 8
+    metrics = table(spark, config, "state/metrics").first()
+    assert (metrics.processed_files, metrics.processed_rows) == (2, 8)
+
+
+def test_failed_file_of_a_stream_is_tried_again(spark, tmp_path, config):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "good.tsv").write_text(text(plain(5)))
+    (folder / "bad.tsv").write_text(text(plain(5, 100), [c for c in COLUMNS if c != "review_body"] + ["z"]))
+    assert set(start_ingest(spark, str(folder), config).awaitTermination().failed) == {"bad.tsv"}
+    (folder / "bad.tsv").write_text(text(plain(5, 100)))
+    assert start_ingest(spark, str(folder), config).awaitTermination().processed == ("bad.tsv",)
+    assert read_dataset(spark, config.clean_path).count() == 10
+
+
+def test_rerun_replaces_a_file_by_nothing_and_in_other_months(spark, tmp_path, config):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a[1].tsv").write_text(text(plain(5)))
+    (folder / "b.tsv").write_text(text(plain(3, 100)))
+    ingest(spark, str(folder), config)
+    # A reset at the same logical time holds, and a rerun may have an earlier one.
+    manifest.reset(spark, config.path("state/manifest"), ["a[1].tsv"], AS_OF)
+    ingest(spark, str(folder), replace(config, as_of=AS_OF - timedelta(days=60)))
+    stored = read_dataset(spark, config.clean_path)
+    assert stored.count() == 8 and {r.month for r in stored.select("month").distinct().collect()} == {"01", "11"}
+    assert ingest(spark, str(folder), config).processed == ()
+    (folder / "a[1].tsv").write_text(text([(*r[:2], "1", *r[3:]) for r in plain(5)]))
+    manifest.reset(spark, config.path("state/manifest"), ["a[1].tsv"], AS_OF)
+    ingest(spark, str(folder), config)
+    assert read_dataset(spark, config.clean_path).count() == 3
+    assert table(spark, config, "quarantine").filter("reason = 'rating'").count() == 5
+
+
+def test_date_formats(spark, tmp_path, config):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.tsv").write_text(text([(*r[:-1], "08/31/2015") for r in plain(2)]))
+    ingest(spark, str(folder), replace(config, date_formats=("yyyy-MM-dd", "MM/dd/yyyy")))
+    assert {str(r[0]) for r in read_dataset(spark, config.clean_path).select("review_date").collect()} == {"2015-08-31 00:00:00"}
+
+
 def test_manifest(spark, tmp_path):
     path = str(tmp_path / "m")
     assert manifest.load(spark, path).count() == 0

@@ -27,7 +27,8 @@ def column(spark, values, expression, kind="string"):
 
 def test_numbers(spark):
     texts = ["5", " 5 ", "4.5", "1e1", "+5", "5.", ".5", "5d", "5f", "NAN", "1_0", "0x10", "", "abc", None, "-3", "1e400"]
-    want = [5.0, 5.0, 4.5, 10.0, 5.0, 5.0, 0.5, None, None, None, None, None, None, None, None, -3.0, None]
+    want = [5.0, 5.0, 4.5, 10.0, 5.0, 5.0, 0.5, None, None, None, None, None, None, None, None, -3.0, float("inf")]
+    assert column(spark, ["1e250", "9" * 300], S.safe_number) == [1e250, float("9" * 300)]
     assert column(spark, texts, S.safe_number) == want
     assert column(spark, ["inf", "-Infinity"], S.safe_number) == [float("inf"), float("-inf")]
 

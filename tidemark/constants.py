@@ -29,7 +29,7 @@ CATEGORY_PATTERN = r"amazon_reviews_us_([A-Za-z0-9_\-]+)_v"
 UNKNOWN_CATEGORY = "Unknown"
 CHUNK_ROWS = 200_000
 COMPRESSION = "snappy"
-LAYOUT = ("year", "month", "category", "source_file")
+LAYOUT = ("year", "month", "category", "source_file", "file_id")
 DATASET_KEY = "AMAZON_DATASET_FULLY_INGESTED"
 
 # The known categories.
@@ -45,9 +45,5 @@ CATEGORIES = (
 )
 
 # A number as the numeric cast accepts it (Spark's own cast would also take '5d' and '5f').
-# The digits are bounded so that the value is finite; larger numbers count as unparsable.
-NUMBER_PATTERN = (
-    r"^\s*[+-]?(?:\d{1,100}\.?\d*|\.\d+)(?:[eE](?:[+-]?0*\d{1,2}|\+?0*1\d\d|-\d+))?\s*$"
-    r"|^[+-]?(?i:inf|infinity)$"
-)
+NUMBER_PATTERN = r"^\s*[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\s*$|^[+-]?(?i:inf|infinity)$"
 DATE_FORMAT = "yyyy-MM-dd"

@@ -34,9 +34,9 @@ def with_chunk(df: DataFrame, chunk_rows: int = C.CHUNK_ROWS) -> DataFrame:
     return df.withColumn("chunk_idx", chunk_of(F.col("pos"), chunk_rows))
 
 
-def with_block_chunk(df: DataFrame, chunk_bytes: int) -> DataFrame:
-    """Add the index of the part of its file a row was read from, by bytes. Needs no positions."""
-    return df.withColumn("chunk_idx", F.floor(F.col("_block") / F.lit(chunk_bytes)).cast("int"))
+def with_file_chunk(df: DataFrame) -> DataFrame:
+    """Every file is one chunk. Needs no positions."""
+    return df.withColumn("chunk_idx", F.lit(0))
 
 
 def audit(df: DataFrame, run_id: str, run_at: datetime) -> DataFrame:

@@ -41,13 +41,13 @@ def rating_popularity_correlation(reviews: DataFrame) -> DataFrame:
 
 
 def damped(ratings: DataFrame, weight: float = 5.0) -> DataFrame:
-    """Average rating pulled towards that of the category by ``weight`` reviews."""
+    """Average rating pulled towards that of the category by ``weight`` reviews; not rounded, so that ranks are exact."""
     categories = ratings.groupBy("product_category").agg(
         (F.sum("rating_sum") / F.sum("n_reviews")).alias("category_rating")
     )
     mean = (F.lit(weight) * F.col("category_rating") + F.col("rating_sum")) / (F.lit(weight) + F.col("n_reviews"))
     return ratings.join(categories, "product_category").select(
-        "product_category", "product_id", "n_reviews", F.round(mean, 6).alias("damped_rating")
+        "product_category", "product_id", "n_reviews", mean.alias("damped_rating")
     )
 
 
@@ -59,7 +59,7 @@ def best_first() -> list[Column]:
 def best_products(reviews: DataFrame, k: int = 10, weight: float = 5.0) -> DataFrame:
     """The ``k`` best products of each category; each task sends at most ``k`` per category."""
     ranked = damped(product_ratings(reviews), weight).withColumn("rank", F.row_number().over(W.partitionBy("product_category").orderBy(*best_first())))
-    return ranked.filter(F.col("rank") <= k)
+    return ranked.filter(F.col("rank") <= k).withColumn("damped_rating", F.round("damped_rating", 6))
 
 
 def baskets(reviews: DataFrame) -> DataFrame:
@@ -118,7 +118,7 @@ def suggest_products(reviews: DataFrame, k: int = 5, weight: float = 5.0) -> Dat
     place = F.row_number().over(W.partitionBy("customer_id").orderBy("rank"))
     chosen = free.withColumn("place", place).filter(F.col("place") <= k)
     return chosen.join(ranked, ["product_category", "rank"]).select(
-        "customer_id", "place", "product_category", "product_id", "damped_rating"
+        "customer_id", "place", "product_category", "product_id", F.round("damped_rating", 6).alias("damped_rating")
     )
 
 

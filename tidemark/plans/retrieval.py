@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-import json
-import math
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Query vectors travel inside the plan; this many at most in one pass over the corpus.
-MAX_QUERIES = 256
+from tidemark.session import ship_package
+
+# Similarities that are held at once, vectors times queries.
+CELLS = 4_000_000
 
 
 def passages(df: DataFrame, key: str, text: str, size: int = 128, step: int = 96) -> DataFrame:
@@ -27,9 +28,24 @@ def passages(df: DataFrame, key: str, text: str, size: int = 128, step: int = 96
     return split.select(key, F.posexplode(windows).alias("passage_no", "passage"))
 
 
-def _dot(a: Column, b: Column) -> Column:
-    products = F.zip_with(a, b, lambda x, y: x * y)
-    return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
+def _unit(values: Sequence[float]) -> np.ndarray:
+    vector = np.asarray(values, float)
+    length = np.sqrt(np.square(vector).sum())
+    return vector / length if length else vector
+
+
+def _best(similarity: np.ndarray, keys: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Query numbers and rows of the ``k`` largest of each query (a row each); ties go to the smaller key."""
+    queries, rows = [], []
+    for q, own in enumerate(similarity):
+        if len(own) > k:
+            near = np.flatnonzero(own >= np.partition(own, len(own) - k)[len(own) - k])
+        else:
+            near = np.arange(len(own))
+        order = near[np.lexsort((keys[near], -own[near]))][:k]
+        queries.append(np.full(len(order), q))
+        rows.append(order)
+    return np.concatenate(queries), np.concatenate(rows)
 
 
 def nearest(
@@ -37,33 +53,40 @@ def nearest(
 ) -> DataFrame:
     """The ``k`` nearest rows of the corpus for each query vector, by cosine.
 
-    Exact: every row is compared with every query. Each task keeps ``k`` rows per query
-    before anything is shuffled. Queries beyond ``MAX_QUERIES`` are taken in several passes.
+    Exact: every row is compared with every query, in one pass over the corpus for any number of
+    queries, by multiplying blocks of vectors with the matrix of queries. A task sends ``k`` rows
+    per query and block. Ranks follow the whole value; it is rounded for display. Rows whose vector
+    is null, zero, of another length or holds nulls take no part.
     """
-    items = list(queries.items())
-    parts = [_nearest(corpus, key, vector, items[i : i + MAX_QUERIES], k) for i in range(0, len(items), MAX_QUERIES)]
-    return reduce(DataFrame.unionByName, parts)
+    spark = corpus.sparkSession
+    ship_package(spark)
+    names = list(queries)
+    kind = "BIGINT" if all(isinstance(name, int) for name in names) else "STRING"
+    wanted = spark.sparkContext.broadcast(np.stack([_unit(queries[name]) for name in names]))
+    key_type = corpus.schema[key].dataType.simpleString()
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units = wanted.value
+        step = max(1, CELLS // len(units))
+        for batch in batches:
+            keys = batch.column(0)
+            matrix = np.asarray(batch.column(1).flatten(), float).reshape(-1, units.shape[1])
+            length = np.sqrt(np.square(matrix).sum(axis=1))
+            for a in range(0, len(matrix), step):
+                live = a + np.flatnonzero(length[a : a + step] > 0)
+                if not len(live):
+                    continue
+                order = keys.to_numpy(zero_copy_only=False)[live]
+                query, row = _best(units @ (matrix[live] / length[live, None]).T, order, k)
+                value = np.einsum("ij,ij->i", units[query], matrix[live[row]]) / length[live[row]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([names[q] for q in query]), keys.take(pa.array(live[row])), pa.array(value)], ["query", key, "similarity"]
+                )
 
-def _nearest(
-    corpus: DataFrame, key: str, vector: str, items: Sequence[tuple[object, Sequence[float]]], k: int
-) -> DataFrame:
-    kind = "BIGINT" if all(isinstance(name, int) for name, _ in items) else "STRING"
-    units = [{"query": name, "unit": _unit(values)} for name, values in items]
-    # One literal, folded when the plan is made.
-    wanted = F.from_json(F.lit(json.dumps(units)), f"ARRAY<STRUCT<query: {kind}, unit: ARRAY<DOUBLE>>>")
-    own = F.col("_v")
-    compared = F.transform(wanted, lambda q: F.struct(q["query"].alias("query"), _dot(own, q["unit"]).alias("dot")))
-    scored = (
-        corpus.select(F.col(key), F.transform(F.col(vector), lambda x: x.cast("double")).alias("_v"))
-        .select(key, F.sqrt(_dot(own, own)).alias("_length"), F.explode(compared).alias("_q"))
-        .filter("_length > 0")
-        .select(F.col("_q.query").alias("query"), key, F.round(F.col("_q.dot") / F.col("_length"), 6).alias("similarity"))
-    )
+    whole = F.col(vector).cast("array<double>")
+    usable = (F.size(vector) == wanted.value.shape[1]) & ~F.exists(whole, lambda x: x.isNull())
+    rows = corpus.where(usable).select(F.col(key), whole.alias("_v"))
+    found = rows.mapInArrow(run, f"query {kind}, `{key}` {key_type}, similarity DOUBLE")
     window = W.partitionBy("query").orderBy(F.desc("similarity"), key)
-    return scored.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
-
-
-def _unit(values: Sequence[float]) -> list[float]:
-    length = math.sqrt(sum(float(v) ** 2 for v in values))
-    return [float(v) / length if length else 0.0 for v in values]
+    ranked = found.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
+    return ranked.withColumn("similarity", F.round("similarity", 6))

@@ -71,6 +71,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), "tidemark", f"{name}-{uuid.uuid4().hex}")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a path of any file system that Spark reaches; nothing happens if it does not exist."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that a glob pattern fits."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
+    return [status.getPath().toString() for status in found or ()]
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write once under the shared folder and read back: a cut in the lineage that outlives executors."""
     spark = df.sparkSession

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +24,20 @@ def logical_name(path: Column, pattern: str = PLAIN_NAME, *, encoded: bool = Fal
     return F.when(F.contains(name, F.lit("%")), decoded).otherwise(name)
 
 
+def file_id(path: Column, *, encoded: bool = False) -> Column:
+    """16 hex digits that stand for the physical file, however its path is written."""
+    plain = F.regexp_replace(path, r"^([a-z][a-z0-9+.-]*):/+", "$1:/")
+    if encoded:
+        decoded = F.url_decode(F.replace(plain, F.lit("+"), F.lit("%2B")))
+        plain = F.when(F.contains(plain, F.lit("%")), decoded).otherwise(plain)
+    return F.lower(F.lpad(F.hex(F.xxhash64(plain)), 16, "0"))
+
+
+def literal(path: str) -> str:
+    """A path for readers that take patterns, which stands for itself."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 def list_files(
     spark: SparkSession,
     root: str | Sequence[str],

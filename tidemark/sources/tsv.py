@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tidemark import constants as C
 from tidemark.functions.scalars import null_if_token
 from tidemark.session import broadcast_if_small, stored
-from tidemark.sources.files import PLAIN_NAME, logical_name
+from tidemark.sources.files import PLAIN_NAME, file_id, literal, logical_name
 
 SKIP_LONG = "skip_long"  # drop rows with too many fields, pad rows with too few
 STRICT = "strict"  # drop every row with a wrong number of fields
@@ -29,13 +29,13 @@ POLICIES = (SKIP_LONG, STRICT, FAIL)
 ORDER = ("_path", "_block", "_mid")
 # The same, for scans that count lines.
 POSITION = ("_path", "pos")
-# A split table with up to this many rows (about 100 bytes each) is broadcast.
-BROADCAST_SPLITS = 500_000
+# A split table with up to this many rows (about 150 bytes each, one per 128 MB of input) is broadcast.
+BROADCAST_SPLITS = 1_500_000
 
 
 # Columns a scan adds. A field called source_file gives way to the added column; a field with
 # one of the other names gets a suffix.
-ADDED = ("pos", "chunk_idx", "reason", "_record", *ORDER)
+ADDED = ("pos", "chunk_idx", "reason", "file_id", "_record", *ORDER)
 
 
 @dataclass(frozen=True)
@@ -73,7 +73,7 @@ def read_headers(spark: SparkSession, paths: Sequence[str], sep: str = "\t", wor
 
     def first_line(path: str) -> Header:
         try:
-            row = spark.read.text(path).filter(~is_blank(F.col("value"), sep)).first()
+            row = spark.read.text(literal(path)).filter(~is_blank(F.col("value"), sep)).first()
         except Exception as error:  # noqa: BLE001
             return Header("", (), f"cannot read: {type(error).__name__}")
         return Header(row.value, parse_header(row.value, sep)) if row else Header("", (), "no columns to parse from file")
@@ -106,10 +106,11 @@ def raw_lines(
     parts = F.split(F.col("value"), _literal(sep), -1)
     if tokens:
         parts = F.transform(parts, lambda field: null_if_token(field, tokens))
-    return spark.read.text(list(paths)).select(
+    return spark.read.text([literal(p) for p in paths]).select(
         F.col("value").alias("line"),
         parts.alias("parts"),
         logical_name(F.col("_metadata.file_path"), name_pattern, encoded=True).alias("source_file"),
+        file_id(F.col("_metadata.file_path"), encoded=True).alias("file_id"),
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_mid"),
@@ -126,7 +127,7 @@ def split_table(lines: DataFrame, header: Header, sep: str = "\t") -> DataFrame:
     This reads the files once more, but keeps a few numbers per split (one row per
     ``spark.sql.files.maxPartitionBytes`` of input), so the running sum over one file is small.
     """
-    counts = lines.groupBy("source_file", "_path", "_block").agg(
+    counts = lines.groupBy("source_file", "file_id", "_path", "_block").agg(
         F.min("_mid").alias("first_mid"),
         F.count("*").alias("n_lines"),
         F.min(F.when(~is_blank(F.col("line"), sep) & (F.col("line") == header.line), F.col("_mid"))).alias("found"),
@@ -137,7 +138,12 @@ def split_table(lines: DataFrame, header: Header, sep: str = "\t") -> DataFrame:
     placed = counts.withColumn("before", before)
     # The first line that equals the header is the header.
     header_at = F.min(F.col("before") + F.col("found") - F.col("first_mid")).over(whole_file)
-    return placed.withColumn("header_at", header_at).drop("found")
+    return placed.withColumn("header_at", header_at).drop("found").withColumn("_split", _split())
+
+
+def _split() -> Column:
+    """A number for a split. Two splits with one number make the counts of lines fail below."""
+    return F.xxhash64("_path", "_block")
 
 
 def with_positions(lines: DataFrame, splits: DataFrame) -> DataFrame:
@@ -152,10 +158,12 @@ def with_positions(lines: DataFrame, splits: DataFrame) -> DataFrame:
         F.raise_error(F.lit("the files or their splits changed between two reads")).cast("long")
     )
     pos = F.col("before") + checked - F.col("header_at") - 1
-    # The name of a file is worked out once per split, not once per line.
+    # Names are worked out once per split, not once per line.
+    placed = splits.drop("_path", "_block")
     return (
-        lines.drop("source_file")
-        .join(broadcast_if_small(splits, BROADCAST_SPLITS), ["_path", "_block"])
+        lines.drop("source_file", "file_id")
+        .withColumn("_split", _split())
+        .join(broadcast_if_small(placed, BROADCAST_SPLITS), "_split")
         .withColumn("pos", pos)
         .filter("pos >= 0")
         .select(*lines.columns, "pos")
@@ -165,18 +173,18 @@ def with_positions(lines: DataFrame, splits: DataFrame) -> DataFrame:
 def chunks_of(splits: DataFrame, chunk_rows: int = C.CHUNK_ROWS) -> DataFrame:
     """Every chunk of every file, those without a surviving row too. A file has at least one."""
     lines = F.sum("n_lines") - F.max("header_at") - 1
-    files = splits.groupBy("source_file", "_path").agg(lines.alias("n"))
+    files = splits.groupBy("source_file", "file_id", "_path").agg(lines.alias("n"))
     last = F.greatest(F.ceil(F.col("n") / chunk_rows) - 1, F.lit(0)).cast("int")
-    return files.select("source_file", F.explode(F.sequence(F.lit(0), last)).alias("chunk_idx")).distinct()
+    return files.select("source_file", "file_id", F.explode(F.sequence(F.lit(0), last)).alias("chunk_idx")).distinct()
 
 
 def data_lines(lines: DataFrame, header: Header) -> DataFrame:
-    """Drop the header by its text, in the first split of a file only. Reads the files once.
+    """Drop the header by its text, wherever it stands. Reads the files once.
 
-    A data line equal to the header, in that split, goes with it: it repeats column names and
-    so never passes the rating rule. Use :func:`with_positions` where such a line must stay.
+    A line that repeats the header goes too, in every split alike. Use :func:`with_positions` where
+    such a line must stay.
     """
-    return lines.filter(~((F.col("_block") == 0) & (F.col("line") == header.line)))
+    return lines.filter(F.col("line") != header.line)
 
 
 def drop_blank(lines: DataFrame, sep: str = "\t") -> DataFrame:
@@ -205,7 +213,7 @@ def bad_rows(rows: DataFrame, arity: int, policy: str = SKIP_LONG) -> DataFrame:
 
 def name_fields(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One text column per field; missing fields are null."""
-    keep = [c for c in ("source_file", *ORDER, "pos") if c in rows.columns]
+    keep = [c for c in ("source_file", "file_id", *ORDER, "pos") if c in rows.columns]
     named = [F.get("parts", F.lit(i)).alias(c) for i, c in enumerate(columns) if c != "source_file"]
     return rows.select(*named, *keep)
 
@@ -220,11 +228,13 @@ def scan_tsv(
     tokens: Sequence[str] = C.NULL_TOKENS,
     name_pattern: str = PLAIN_NAME,
     headers: Mapping[str, Header] | None = None,
+    repeated_headers: bool = True,
 ) -> DataFrame:
-    """Delimited files as text columns plus ``source_file`` and the order columns.
+    """Delimited files as text columns plus ``source_file``, ``file_id`` and the order columns.
 
-    ``positions`` adds ``pos`` at the price of a second, counting read. Files with different
-    headers are aligned by column name.
+    The header is dropped by its place, which a counting read finds; ``positions`` adds ``pos``.
+    ``repeated_headers=False`` drops every line that equals the header and reads the files once.
+    Files with different headers are aligned by column name.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     headers = headers or read_headers(spark, paths, sep)
@@ -233,8 +243,9 @@ def scan_tsv(
         if header.error:
             raise ValueError(f"{header.error}: {members[0]}")
         lines = raw_lines(spark, members, name_pattern, sep, tokens)
-        if positions:
+        if positions or repeated_headers:
             body = with_positions(lines, stored(split_table(lines, header, sep), "splits"))
+            body = body if positions else body.drop("pos")
         else:
             body = data_lines(lines, header)
         rows = apply_policy(drop_blank(body, sep), len(header.columns), policy)

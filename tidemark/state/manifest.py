@@ -1,10 +1,13 @@
 """Which files have been processed, as a table of events. The latest event of a file counts.
 
-Events are only ever appended, so writers do not overwrite each other.
+Events are only ever appended, so writers do not overwrite each other. A file is known by its path;
+events without one, as of a dataset, by their name. Which event is the latest follows from ``seq``,
+the clock of the writer when it was appended, and not from ``updated_at``, the logical time of a run.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -16,7 +19,7 @@ from tidemark import constants as C
 from tidemark.operators.observe import LINEAGE_SCHEMA
 
 # ``processed`` is null for an event that forgets the file.
-SCHEMA = "file_name STRING, processed BOOLEAN, updated_at TIMESTAMP"
+SCHEMA = "file_name STRING, path STRING, processed BOOLEAN, updated_at TIMESTAMP, seq BIGINT"
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -36,20 +39,25 @@ def load(spark: SparkSession, path: str) -> DataFrame:
 
 def latest(events: DataFrame) -> DataFrame:
     """Current state: the last event of each file, forgotten files left out."""
+    # Of events at one moment, the one that forgets the file counts.
+    order = F.struct("seq", F.col("processed").isNull().alias("forgets"), "updated_at", "processed")
     return (
-        events.groupBy("file_name")
-        .agg(F.max(F.struct("updated_at", "processed")).alias("last"))
-        .select("file_name", F.col("last.processed").alias("processed"), F.col("last.updated_at").alias("updated_at"))
+        events.groupBy("file_name", "path")
+        .agg(F.max(order).alias("last"))
+        .select("file_name", "path", F.col("last.processed").alias("processed"), F.col("last.updated_at").alias("updated_at"))
         .filter("processed IS NOT NULL")
     )
 
 
 def marks(files: DataFrame, at: datetime, processed: bool | None = True) -> DataFrame:
-    """Events for ``source_file`` values."""
+    """Events for the rows of a file table: ``source_file`` and, if it has one, ``path``."""
+    path = F.col("path") if "path" in files.columns else F.lit(None).cast("string")
     return files.select(
         F.col("source_file").alias("file_name"),
+        path.alias("path"),
         F.lit(processed).cast("boolean").alias("processed"),
         F.lit(at).cast("timestamp").alias("updated_at"),
+        F.lit(time.time_ns()).alias("seq"),
     ).distinct()
 
 
@@ -66,14 +74,17 @@ def mark_processed(spark: SparkSession, path: str, names: Sequence[str], at: dat
 
 
 def reset(spark: SparkSession, path: str, names: Sequence[str], at: datetime) -> None:
-    """Forget files, so that the next run takes them again."""
-    append(marks(_names(spark, names), at, None), path)
+    """Forget files by name, so that the next run takes them again, all parts of a name."""
+    known = load(spark, path).join(_names(spark, names), F.col("file_name") == F.col("source_file"))
+    append(marks(known.select("source_file", "path"), at, None), path)
 
 
 def pending(inventory: DataFrame, events: DataFrame) -> DataFrame:
-    """Files of the inventory that have not been processed."""
-    done = latest(events).filter("processed").select(F.col("file_name").alias("source_file"))
-    return inventory.join(done, "source_file", "left_anti")
+    """Files of the inventory that have not been processed, by path where it has one."""
+    done = latest(events).filter("processed")
+    if "path" in inventory.columns:
+        return inventory.join(done.select("path"), "path", "left_anti")
+    return inventory.join(done.select(F.col("file_name").alias("source_file")), "source_file", "left_anti")
 
 
 def known_files(events: DataFrame) -> DataFrame:
@@ -100,8 +111,10 @@ def read_manifest_json(spark: SparkSession, path: str, at: datetime) -> DataFram
     entries = F.explode(F.from_json("value", "map<string, struct<processed: boolean>>"))
     return text.select(entries.alias("file_name", "state")).select(
         "file_name",
+        F.lit(None).cast("string").alias("path"),
         F.coalesce("state.processed", F.lit(False)).alias("processed"),
         F.lit(at).cast("timestamp").alias("updated_at"),
+        F.lit(time.time_ns()).alias("seq"),
     )
 
 
