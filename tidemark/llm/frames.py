@@ -14,7 +14,7 @@ from tidemark.session import ship_package
 
 # What a Python worker handles at once. They bound memory, not results.
 SLICE_BYTES = 1 << 19
-BATCH_ROWS = 2000
+BATCH_ROWS = 1000
 BATCH_BYTES = 16 << 20
 NO_ID = (1 << 63) - 1
 

@@ -25,9 +25,9 @@ SEED = 20_240_203
 UNKNOWN = "und"
 # A text's triples have this total weight in its language's profile; whole numbers add up alike in any order.
 TEXT_WEIGHT = 1 << 20
-HELD_TRIPLES = 200_000
-CACHED_TRIPLES = 40_000
-MATRIX_CELLS = 8_000_000
+HELD_TRIPLES = 100_000
+CACHED_TRIPLES = 12_000
+MATRIX_CELLS = 1_500_000
 _MASK = np.int64((1 << 21) - 1)
 # A random text is within three standard deviations of zero, 3 / sqrt(1024): below that a text is no language.
 LEAST_COSINE = 0.1
@@ -130,9 +130,9 @@ def learn_profiles(
                 weights = np.zeros(len(triples), np.int64)
                 np.add.at(weights, at, np.concatenate([w for _, w in parts]))
                 total = sums.setdefault(lang, np.zeros(dimensions, np.int64))
-                for a in range(0, len(triples), 4096):
-                    vectors = triple_vectors(triples[a : a + 4096], dimensions, seed)
-                    total += weights[a : a + 4096] @ vectors.astype(np.int64)
+                for a in range(0, len(triples), 1024):
+                    vectors = triple_vectors(triples[a : a + 1024], dimensions, seed)
+                    total += weights[a : a + 1024] @ vectors.astype(np.int64)
             held.clear()
 
         for batch in slices(batches, "text"):
@@ -204,7 +204,7 @@ def predict_language(text: Column | str, model: Profiles) -> Column:
         for t in [*texts, None]:
             held.append(t)
             size += len(t or "")
-            if size > 1 << 19 or len(held) > 2000:
+            if size > 1 << 17 or len(held) > 1000:
                 a, s = _predict(held, model)
                 answers, scores, held, size = answers + a, [*scores, *s], [], 0
         if held:

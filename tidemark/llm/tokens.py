@@ -14,7 +14,7 @@ from tidemark.llm import hashing
 
 WORD_MODEL = public_tokenizers.path("word_bpe_49k.json")
 # Distinct pieces that a worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
