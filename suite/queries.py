@@ -23,7 +23,7 @@ from tidemark.plans.ingest import ingest_files
 from tidemark.session import scratch_path
 from tidemark.sinks import tables as K
 from tidemark.sources import tsv
-from tidemark.sources.categories import default_categories
+from tidemark.sources.categories import default_categories, read_categories
 from tidemark.sources.files import list_files
 from tidemark.sources.parquet import read_category, read_dataset, read_first_files
 from tidemark.state import manifest
@@ -364,17 +364,25 @@ def filter_not_null(spark, sf):
 
 @query
 def required_columns(spark, sf):
-    names = D.dump_paths(spark, sf)
-    rows = [(names[p], c) for p, h in D.dump_headers(spark, sf).items() for c in h.columns]
-    headers = spark.createDataFrame(rows, "source_file STRING, column_name STRING")
+    headers = tsv.header_rows(spark, D.dump(spark, sf), D.DUMP_NAME)
     return missing_by_group(headers, "source_file", "column_name", C.REQUIRED_COLUMNS)
 
 
 @query
 def category_membership(spark, sf):
     reviews = D.reviews(spark, sf).withColumn("category", F.initcap("product_category"))
-    known = [r.category for r in default_categories(spark, ("Economy", "Small", *C.CATEGORIES)).collect()]
-    return unknown_categories(reviews, "category", known)
+
+
+    def make():
+        # A list of categories as a configuration file has it, two of the table's own among them.
+        path = scratch_path(spark, "categories")
+        own = D.table(spark, sf, "part").select(F.initcap("p_type").alias("category")).distinct()
+        listed = own.filter("category IN ('Economy', 'Small')").union(default_categories(spark))
+        listed.select(F.concat(F.lit("  - "), "category")).coalesce(1).write.text(path)
+        return path
+
+    known = read_categories(spark, D.once(spark, sf, "categories", make))
+    return unknown_categories(reviews, "category", [r.category for r in known.collect()])
 
 
 @query

@@ -89,7 +89,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept._stored_at = path
+    return kept
+
+
+def discard(df: DataFrame) -> None:
+    """Delete what :func:`stored` wrote for this table; nothing may read it any more."""
+    if path := getattr(df, "_stored_at", None):
+        remove(df.sparkSession, path)
 
 
 def broadcast_if_small(table: DataFrame, rows: int) -> DataFrame:

@@ -82,6 +82,19 @@ def read_headers(spark: SparkSession, paths: Sequence[str], sep: str = "\t", wor
         return dict(zip(paths, pool.map(first_line, paths), strict=True))
 
 
+def header_rows(spark: SparkSession, folder: str, name_pattern: str = PLAIN_NAME, sep: str = "\t") -> DataFrame:
+    """Column names of all files below a folder: ``source_file``, ``column_name``. One job, whatever the number of files."""
+    text = spark.read.option("recursiveFileLookup", "true").text(folder).select(
+        "value", F.col("_metadata.file_path").alias("_path"), F.monotonically_increasing_id().alias("_mid"),
+        F.col("_metadata.file_block_start").alias("_block"),
+    )
+    first = text.filter(~is_blank(F.col("value"), sep)).groupBy("_path").agg(
+        F.min_by("value", F.struct("_block", "_mid")).alias("line")
+    )
+    names = F.split(F.regexp_replace("line", "^\ufeff", ""), _literal(sep), -1)
+    return first.select(logical_name(F.col("_path"), name_pattern, encoded=True).alias("source_file"), F.explode(names).alias("column_name"))
+
+
 def group_by_header(headers: Mapping[str, Header]) -> dict[Header, list[str]]:
     """Files that share a header are scanned together; the number of scans is that of layouts."""
     groups: dict[Header, list[str]] = {}
