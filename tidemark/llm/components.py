@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.frames import column, record
-from tidemark.session import stored
+from tidemark.session import discard, stored
 
 BLOCK_EDGES = 200_000
 
@@ -76,7 +76,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     named = edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).where("a != b")
     current, before = stored(named.mapInArrow(_contract, "a long, b long"), "edges"), None
     while True:
-        current = stored(_small_star(_large_star(current)), "stars")
+        last, current = current, stored(_small_star(_large_star(current)), "stars")
+        discard(last)
         now = tuple(current.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
         if now == before:
             return current.select(F.col("a").alias("node"), F.col("b").alias("root"))

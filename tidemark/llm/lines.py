@@ -7,7 +7,7 @@ component the first line in order of document and place stays.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,13 +18,15 @@ from pyspark.sql import functions as F
 from tidemark.llm import hashing
 from tidemark.llm.components import components
 from tidemark.llm.frames import column, given_id, known_id, longs, map_slices, record, values
-from tidemark.llm.probminhash import band_hashes, bucket_links
+from tidemark.llm.probminhash import band_hashes, bucket_links, links_across, meetings
 from tidemark.session import stored
 
 SHINGLE_BYTES = 8
 # A pair at the threshold shares a band with a probability of 0.995.
 BANDS, ROWS = 10, 4
 THRESHOLD = 0.8
+# Registers of a similar pair agree this much but for one pair in a million (five standard deviations below).
+SIGNATURE_LEAST = 0.48
 # Shorter lines (headings, bullets, closings) repeat by nature and are never taken out.
 MIN_BYTES = 40
 _SECOND_SEED = 0x5DEECE66D
@@ -71,6 +73,15 @@ def set_registers(elements: np.ndarray, owner: np.ndarray, owners: int, size: in
     return won.reshape(owners, size)
 
 
+def _shingles(lines: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all ``size``-byte strings and the line of each."""
+    data, begins = hashing.flat(lines)
+    made = hashing.byte_shingles(data, size)
+    line = np.repeat(np.arange(len(lines)), np.diff(begins))[: len(made)]
+    inside = np.arange(len(made)) + size <= begins[line + 1]
+    return made[inside], line[inside]
+
+
 def _occurrences(rows: DataFrame, min_bytes: int) -> DataFrame:
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         lines, text, place = _lines(batch, min_bytes)
@@ -88,11 +99,7 @@ def _buckets(rows: DataFrame, min_bytes: int, shingle: int, bands: int, in_band:
         if not len(lines):
             return None
         ident = _key(lines)
-        data, begins = hashing.flat(lines)
-        made = hashing.byte_shingles(data, shingle)
-        line = np.repeat(np.arange(len(lines)), np.diff(begins))[: len(made)]
-        inside = np.arange(len(made)) + shingle <= begins[line + 1]
-        made, line = made[inside], line[inside]
+        made, line = _shingles(lines, shingle)
         won = set_registers(made, line, len(lines), bands * in_band)
         return record(bucket=longs(band_hashes(won, bands, in_band).ravel()), id=np.repeat(ident, bands))
 
@@ -108,27 +115,46 @@ def shingle_jaccard(a: str, b: str, size: int) -> float:
     return shared / (len(x) + len(y) - shared) if shared else 0.0
 
 
-def _similar(rows: DataFrame, pairs: DataFrame, min_bytes: int, shingle: int, threshold: float) -> DataFrame:
-    """The pairs that are similar enough, by the text of their lines."""
+def _line_texts(rows: DataFrame, members: DataFrame, min_bytes: int) -> DataFrame:
+    """The text of every line that shares a bucket."""
 
     def texts(batch: pa.RecordBatch) -> pa.RecordBatch:
         lines = _lines(batch, min_bytes)[0].unique()
         return record(id=_key(lines), line=lines.cast(pa.string()))
 
+    all_lines = map_slices(rows.select("lower"), "lower", texts, "id long, line string")
+    return stored(all_lines.join(members.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]), "lines")
+
+
+def _similar(pairs: DataFrame, lines: DataFrame, shingle: int, threshold: float) -> DataFrame:
+    """The pairs that are similar enough, by the text of their lines."""
+
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = column(batch, "x").to_pylist(), column(batch, "y").to_pylist()
             keep = np.array([shingle_jaccard(p, q, shingle) >= threshold for p, q in zip(x, y)], bool)
             yield record(a=values(batch, "a")[keep], b=values(batch, "b")[keep])
 
-    wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "id")
-    all_lines = map_slices(rows.select("lower"), "lower", texts, "id long, line string")
-    lines = stored(all_lines.join(wanted, "id", "left_semi").dropDuplicates(["id"]), "lines")
     joined = pairs.join(lines.select(F.col("id").alias("a"), F.col("line").alias("x")), "a")
     joined = joined.join(lines.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
     return joined.mapInArrow(verify, "a long, b long")
 
 
+def _across(
+    members: DataFrame, label: DataFrame, lines: DataFrame, shingle: int, threshold: float, bands: int, in_band: int
+) -> DataFrame:
+    """Links that leaders and chains of the buckets have not shown."""
+
+    def judge(block: pa.Table) -> tuple[np.ndarray, Callable[[int, int], bool]]:
+        texts = block.column("line").combine_chunks()
+        made, line = _shingles(texts, shingle)
+        plain = texts.to_pylist()
+        sign = set_registers(made, line, len(plain), bands * in_band)
+        return sign, lambda i, j: shingle_jaccard(plain[i], plain[j], shingle) >= threshold
+
+    return links_across(meetings(members, label).join(lines, "id"), judge, bands, in_band, SIGNATURE_LEAST)
+
+
 def line_classes(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_BYTES,
     threshold: float = THRESHOLD, min_bytes: int = MIN_BYTES, bands: int = BANDS, in_band: int = ROWS,
@@ -137,14 +163,17 @@ def line_classes(
     ``first_doc``, ``first_body``, ``first_place``.
 
     ``doc`` is the id, or the largest long for null; ``body`` tells apart rows that share an id.
-    Lines are compared in lower case, without white space at their ends. A candidate that shares a bucket is compared
-    with the bucket's first line and with the one before it.
+    Lines are compared in lower case, without white space at their ends. Lines that share a bucket are
+    compared with its first line and with the one before; those of different components then with each other.
     """
     rows = docs.select(known_id(id_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).cast("string").alias("text"))
     rows = rows.select("doc", F.xxhash64("text").alias("body"), F.lower("text").alias("lower"))
     members = stored(bucket_links(_buckets(rows, min_bytes, shingle, bands, in_band)), "buckets")
     pairs = members.select(F.col("leader").alias("a"), F.col("id").alias("b")).union(members.select("before", "id"))
-    label = components(_similar(rows, stored(pairs.where("a != b").distinct(), "pairs"), min_bytes, shingle, threshold))
+    texts = _line_texts(rows, members, min_bytes)
+    links = stored(_similar(pairs.where("a != b").distinct(), texts, shingle, threshold), "links")
+    rest = stored(_across(members, components(links), texts, shingle, threshold, bands, in_band), "links")
+    label = components(links.union(rest))
     lines = stored(_occurrences(rows, min_bytes), "occurrences")
     # Copies first: one row per distinct line, then one per component.
     copies = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc", "place", "body")).alias("first"))

@@ -13,7 +13,7 @@ what proves similar is sent on.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -210,14 +210,10 @@ def _numbers(value: pa.BinaryScalar, kind: type) -> np.ndarray:
     return np.frombuffer(value.as_buffer(), kind)
 
 
-def _across(
-    members: DataFrame, label: DataFrame, shingles: DataFrame, threshold: float, bands: int, in_band: int,
-    block_members: int = BLOCK_MEMBERS,
-) -> DataFrame:
-    """Links between members of one bucket that are not united so far.
+def meetings(members: DataFrame, label: DataFrame, block_members: int = BLOCK_MEMBERS) -> DataFrame:
+    """Members of buckets that are not united so far, dealt out as meetings of two blocks of a bucket.
 
-    Buckets of two or three have nothing left: their leader and their chain are all pairs. A pair is
-    looked at in the first band it shares.
+    Buckets of two or three have nothing left: their leader and their chain are all pairs.
     """
     named = members.select("bucket", "id").join(label.select(F.col("node").alias("id"), "root"), "id", "left")
     named = named.withColumn("root", F.coalesce("root", "id"))
@@ -226,39 +222,61 @@ def _across(
     dealt = named.join(open_, "bucket").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     # A block meets every block, itself included, in a task of their own.
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select(
+    return dealt.select(
         F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("meeting"), "bucket", "own", "id", "root",
         (F.col("own") == F.col("other")).alias("same"),
     )
 
+
+# Gets a block of a meeting: registers of each row, and a test of two rows by their places.
+Judge = Callable[[pa.Table], tuple[np.ndarray, Callable[[int, int], bool]]]
+
+
+def links_across(dealt: DataFrame, judge: Judge, bands: int, in_band: int, least: float) -> DataFrame:
+    """Links between members of one bucket with different roots. Tasks compare; only links are sent on.
+
+    A pair is looked at in the first band it shares, and tested if ``least`` of its registers agree.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, _ in sorted_blocks(batches, "meeting", 1000, lambda _: False):
             meeting, bucket, own, ident, root, same = (
                 block.column(c).to_numpy() for c in ("meeting", "bucket", "own", "id", "root", "same")
             )
-            sign = np.stack([_numbers(x, np.uint16) for x in block.column("sign")])
-            elements = [_numbers(x, np.uint64) for x in block.column("elements")]
-            weights = [_numbers(x, np.float64) for x in block.column("weights")]
+            sign, alike = judge(block)
             start = np.flatnonzero(np.append(True, meeting[1:] != meeting[:-1]))
             a, b = [], []
             for lo, hi in zip(start, np.append(start[1:], len(meeting))):
-                band = int(np.uint64(bucket[lo].view(np.uint64) & _BAND_BITS))
+                band = int(bucket[lo].view(np.uint64) & _BAND_BITS)
                 for i in range(lo, hi - 1):
                     later = np.arange(i + 1, hi)
                     later = later[(root[later] != root[i]) & (same[i] | (own[later] != own[i]))]
                     equal = sign[later] == sign[i]
                     shared = equal.reshape(-1, bands, in_band).all(axis=2).argmax(axis=1) == band
-                    for j in later[shared & (equal.mean(axis=1) >= SIGNATURE_LEAST)]:
-                        if probability_jaccard(elements[i], weights[i], elements[j], weights[j]) >= threshold - 1e-12:
+                    for j in later[shared & (equal.mean(axis=1) >= least)].tolist():
+                        if alike(i, j):
                             a.append(min(ident[i], ident[j]))
                             b.append(max(ident[i], ident[j]))
             if a:
                 yield record(a=np.array(a, np.int64), b=np.array(b, np.int64))
 
-    ordered = dealt.join(shingles, "id").repartition("meeting").sortWithinPartitions("meeting")
+    ordered = dealt.repartition("meeting").sortWithinPartitions("meeting")
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
+def _across(members: DataFrame, label: DataFrame, shingles: DataFrame, threshold: float, bands: int, in_band: int) -> DataFrame:
+    def judge(block: pa.Table) -> tuple[np.ndarray, Callable[[int, int], bool]]:
+        elements = [_numbers(x, np.uint64) for x in block.column("elements")]
+        weights = [_numbers(x, np.float64) for x in block.column("weights")]
+
+        def alike(i: int, j: int) -> bool:
+            return probability_jaccard(elements[i], weights[i], elements[j], weights[j]) >= threshold - 1e-12
+
+        return np.stack([_numbers(x, np.uint16) for x in block.column("sign")]), alike
+
+    return links_across(meetings(members, label).join(shingles, "id"), judge, bands, in_band, SIGNATURE_LEAST)
+
+
 def near_duplicate_classes(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS,
     threshold: float = THRESHOLD, bands: int = BANDS, in_band: int = ROWS,
