@@ -91,3 +91,11 @@ def test_suffix_array(letters, size):
     for a, b, n in zip(order, order[1:], shared[1:]):
         x, y = raw[a:], raw[b:]
         assert n == min(64, next((k for k, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y))))
+
+
+@pytest.mark.parametrize("name", ["op6_repeated_phrases", "op10_repeated_strings"])
+def test_sql(spark, sf, name):
+    from tools.check import compare, database
+
+    status, said = compare(spark, database(sf), sf, name)
+    assert status == "ok" and "types" not in said, said

@@ -96,4 +96,40 @@ QUERIES = {
     "op9_compression_toxicity": op9_compression_toxicity,
     "op10_repeated_strings": op10_repeated_strings,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_repeated_phrases": r"""WITH split AS (
+          SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        places AS (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM split WHERE len(words) >= 13),
+        windows AS (SELECT doc_id, i, array_to_string(words[i : i + 12], ' ') AS phrase FROM places),
+        firsts AS (SELECT phrase, min(doc_id) AS first FROM windows GROUP BY phrase),
+        gone AS (SELECT DISTINCT doc_id, i + k AS i FROM windows JOIN firsts USING (phrase), range(13) AS r(k) WHERE first < doc_id),
+        kept AS (
+          SELECT doc_id, i, word, g.i IS NOT NULL AS lost
+          FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM split) LEFT JOIN gone g USING (doc_id, i)),
+        made AS (
+          SELECT doc_id, count(*) AS n_words, count(*) FILTER (lost) AS n_removed,
+            coalesce(string_agg(word, ' ' ORDER BY i) FILTER (NOT lost), '') AS kept FROM kept GROUP BY doc_id)
+        SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM documents LEFT JOIN made USING (doc_id)""",
+    "op10_repeated_strings": r"""WITH bytes AS (
+          SELECT doc_id, hex(encode(coalesce(text, ''))) AS hexed, strlen(coalesce(text, '')) AS n FROM documents),
+        windows AS (
+          SELECT doc_id, i, substr(hexed, 2 * i + 1, 100) AS piece
+          FROM (SELECT doc_id, hexed, unnest(range(0, n - 49)) AS i FROM bytes WHERE n >= 50)),
+        firsts AS (SELECT piece, min(doc_id) AS first FROM windows GROUP BY piece),
+        late AS (SELECT doc_id, i FROM windows JOIN firsts USING (piece) WHERE first < doc_id),
+        runs AS (
+          SELECT doc_id, min(i) AS a, max(i) + 49 AS b FROM (
+            SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (
+              SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS fresh FROM late))
+          GROUP BY doc_id, run),
+        cuts AS (
+          SELECT doc_id, count(*) AS n_spans, sum(b - a + 1) AS n_removed, list(a ORDER BY a) AS begins, list(b ORDER BY a) AS ends
+          FROM runs GROUP BY doc_id)
+        SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+          sha256(unhex(CASE WHEN n_spans IS NULL THEN hexed ELSE array_to_string(list_transform(range(1, n_spans + 2), lambda j:
+            substr(hexed, 2 * CASE WHEN j = 1 THEN 0 ELSE ends[j - 1] + 1 END + 1,
+              2 * (CASE WHEN j = n_spans + 1 THEN n ELSE begins[j] END - CASE WHEN j = 1 THEN 0 ELSE ends[j - 1] + 1 END))), '') END))
+            AS kept_sha256
+        FROM bytes LEFT JOIN cuts USING (doc_id)""",
+}
