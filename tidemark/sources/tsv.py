@@ -35,7 +35,7 @@ BROADCAST_SPLITS = 1_500_000
 
 # Columns a scan adds. A field called source_file gives way to the added column; a field with
 # one of the other names gets a suffix.
-ADDED = ("pos", "chunk_idx", "reason", "file_id", "_record", *ORDER)
+ADDED = ("pos", "chunk_idx", "reason", "file_id", "_record", "_line", *ORDER)
 
 
 @dataclass(frozen=True)
@@ -217,6 +217,15 @@ def apply_policy(rows: DataFrame, arity: int, policy: str = SKIP_LONG) -> DataFr
     raise ValueError(f"policy must be one of {POLICIES}")
 
 
+def misfit(arity: int, policy: str = SKIP_LONG) -> Column:
+    """Why the policy leaves a line out, null if it does not."""
+    if policy not in POLICIES:
+        raise ValueError(f"policy must be one of {POLICIES}")
+    long_, short = F.size("parts") > arity, F.size("parts") < arity
+    reason = F.when(long_, "too_many_fields")
+    return reason.when(short, "too_few_fields") if policy == STRICT else reason
+
+
 def bad_rows(rows: DataFrame, arity: int, policy: str = SKIP_LONG) -> DataFrame:
     """The rows a policy leaves out, for a handler of the caller's own."""
     size = F.size("parts")
@@ -226,7 +235,7 @@ def bad_rows(rows: DataFrame, arity: int, policy: str = SKIP_LONG) -> DataFrame:
 
 def name_fields(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One text column per field; missing fields are null."""
-    keep = [c for c in ("source_file", "file_id", *ORDER, "pos") if c in rows.columns]
+    keep = [c for c in ("source_file", "file_id", *ORDER, "pos", "reason", "_line") if c in rows.columns]
     named = [F.get("parts", F.lit(i)).alias(c) for i, c in enumerate(columns) if c != "source_file"]
     return rows.select(*named, *keep)
 
