@@ -223,7 +223,9 @@ def identify_languages(docs: DataFrame, model: Profiles, id_col: str = "doc_id",
 
 def keep_languages(docs: DataFrame, model: Profiles, text_col: str = "text", least_cosine: float = LEAST_COSINE) -> DataFrame:
     """The rows of ``docs``, all columns, whose text is in a learned language: it has letters, and its cosine
-    is not within the noise of random vectors."""
+    is not within the noise of random vectors. If no language was learned, only texts without letters go."""
+    if not model.languages:
+        return docs.where(F.col(f"`{text_col}`").cast("string").rlike(r"\p{L}"))
     found = predict_language(F.col(f"`{text_col}`").cast("string"), model)
     return docs.where((found.getField("lang_pred") != UNKNOWN) & (found.getField("score") >= least_cosine))
 

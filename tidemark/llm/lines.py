@@ -207,6 +207,4 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     kept = F.array_join(F.filter(whole, lambda line, i: ~F.array_contains(F.col("gone"), i)), "\n")
     text_now = F.when(F.col("gone").isNull(), F.col("_row").getField(text_col)).otherwise(kept)
     columns = [text_now.alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in docs.columns]
-    return joined.select(*columns, F.col("gone").isNotNull().alias("_cut")).where(
-        ~F.col("_cut") | F.col(f"`{text_col}`").rlike(r"\S")
-    ).drop("_cut")
+    return joined.where(F.col("gone").isNull() | kept.rlike(r"\S")).select(*columns)
