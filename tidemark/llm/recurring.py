@@ -33,7 +33,8 @@ from tidemark.llm.frames import binaries, column, content_key, known_id, longs,
 # An anchor of more documents than this is hot.
 HOT_DOCUMENTS = 20_000
 BLOCK_ROWS = 20_000
-_EVEN = np.uint64((1 << 64) - 2)
+# Anchors have 48 bits, the lowest of them free: they choose candidates only, and small numbers shuffle better.
+_ANCHOR_BITS = np.uint64((1 << 48) - 2)
 
 # Gets distinct passages and the smallest document of each. For every window that recurs among
 # them: index of the passage, place in it, and smallest document that has the window.
@@ -58,7 +59,7 @@ class Windows:
 
     def anchors(self, units: Units) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Anchor, text and place of every window."""
-        smallest = hashing.sliding_min(units.shingles & _EVEN, self.length - self.anchor + 1)
+        smallest = hashing.sliding_min(units.shingles & _ANCHOR_BITS, self.length - self.anchor + 1)
         text = np.searchsorted(units.first, np.arange(len(smallest)), "right") - 1
         inside = np.arange(len(smallest)) + self.length <= units.first[text + 1]
         place = np.flatnonzero(inside)
@@ -97,9 +98,9 @@ def _anchor_rows(docs: DataFrame, windows: Windows) -> DataFrame:
         order = np.lexsort((k1, anchor))
         anchor, k1 = anchor[order], k1[order]
         keep = _changes(anchor, k1)
-        return record(anchor=longs(anchor[keep]), k1=k1[keep])
+        return record(k1=k1[keep], anchor=longs(anchor[keep]))
 
-    return map_slices(docs.select("k1", "text"), "text", work, "anchor long, k1 long")
+    return map_slices(docs.select("k1", "text"), "text", work, "k1 long, anchor long")
 
 
 def _recurring(rows: DataFrame, hot_documents: int) -> DataFrame:
@@ -145,7 +146,7 @@ def _passages(joined: DataFrame, windows: Windows) -> DataFrame:
         own = [np.sort(x.values.to_numpy().view(np.uint64)) if x.is_valid else None for x in listed]
         units = windows.units(column(batch, "text"))
         anchor, text, place = windows.anchors(units)
-        doc, k1, k2 = (values(batch, c) for c in ("doc", "k1", "k2"))
+        doc, k1 = values(batch, "doc"), values(batch, "k1")
         # Windows are in order of text; those of one text are looked up in its list.
         bounds = np.searchsorted(text, np.arange(len(own) + 1))
         keys, at, size, which = [], [], [], []
@@ -174,11 +175,11 @@ def _passages(joined: DataFrame, windows: Windows) -> DataFrame:
             data, begins = hashing.flat(pa.array([passages[i] for i in hot], pa.binary()))
             keys[hot] = hashing.span_hashes(data, begins[:-1], begins[1:]) | np.uint64(1)
         return record(
-            key=longs(keys), doc=doc[which], k1=k1[which], k2=k2[which],
+            key=longs(keys), doc=doc[which], k1=k1[which],
             at=(at - units.first[which]).astype(np.int32), passage=pa.array(passages, pa.binary()),
         )
 
-    return map_slices(joined, "text", work, "key long, doc long, k1 long, k2 long, at int, passage binary")
+    return map_slices(joined, "text", work, "key long, doc long, k1 long, at int, passage binary")
 
 
 def _removed(passages: DataFrame, windows: Windows, locate: Locate) -> DataFrame:
@@ -217,7 +218,7 @@ def _removed(passages: DataFrame, windows: Windows, locate: Locate) -> DataFrame
         end = np.append(begin[1:], len(row)) - 1
         row_of = row[begin]
         made = record(
-            k1=block.column("k1").to_numpy()[row_of], k2=block.column("k2").to_numpy()[row_of],
+            k1=block.column("k1").to_numpy()[row_of], first=doc[row_of],
             at=(block.column("at").to_numpy()[row_of] + where[begin]).astype(np.int32),
             size=(where[end] - where[begin] + windows.length).astype(np.int32),
         )
@@ -232,7 +233,7 @@ def _removed(passages: DataFrame, windows: Windows, locate: Locate) -> DataFrame
 
     # In order of document within a key, so that a hot window's first document comes first.
     ordered = passages.repartition("key").sortWithinPartitions("key", "doc")
-    return ordered.mapInArrow(run, "k1 long, k2 long, at int, size int")
+    return ordered.mapInArrow(run, "k1 long, first long, at int, size int")
 
 
 def without_later_copies(
@@ -253,7 +254,8 @@ def without_later_copies(
     # the first; an equality would make the id a third key.
     own = rows.join(firsts.join(hits, "k1"), ["k1", "k2"]).where("doc <= first").select("doc", "text", "k1", "k2", "anchors")
     spans = _removed(_passages(own, windows), windows, locate)
-    spans = spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("at", "size")).alias("spans"))
+    # A text is known by 64 bits and its smallest id.
+    spans = spans.groupBy("k1", "first").agg(F.collect_set(F.struct("at", "size")).alias("spans"))
 
     def finish(batch: pa.RecordBatch) -> pa.RecordBatch:
         data, begins = hashing.flat(column(batch, "text"))
@@ -292,6 +294,6 @@ def without_later_copies(
             n_spans=total(new_run).astype(np.int64), kept=kept,
         )
 
-    joined = rows.join(firsts.join(spans, ["k1", "k2"], "left"), ["k1", "k2"]).select("doc", "text", "first", "spans")
+    joined = rows.join(firsts.join(spans, ["k1", "first"], "left"), ["k1", "k2"]).select("doc", "text", "first", "spans")
     schema = "doc long, n_units long, n_removed long, n_spans long, kept binary"
     return map_slices(joined, "text", finish, schema)

@@ -33,13 +33,29 @@ def smaller_than_next(text: np.ndarray) -> np.ndarray:
     return small
 
 
+def _order(words: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
+    """Order of places by the ``depth`` bytes from there on: by sixteen first, the rest among equals only."""
+    order = np.lexsort((words[at + 8], words[at]))
+    at = at[order]
+    group = np.ones(len(at), bool)
+    group[1:] = (words[at[1:]] != words[at[:-1]]) | (words[at[1:] + 8] != words[at[:-1] + 8])
+    alone = group.copy()
+    alone[:-1] &= group[1:]
+    tied = np.flatnonzero(~alone)
+    if len(tied):
+        rest = at[tied]
+        keys = [words[rest + k] for k in range(16, depth, 8)][::-1] + [np.cumsum(group)[tied]]
+        order[tied] = order[tied][np.lexsort(keys)]
+    return order
+
+
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     """Places of all suffixes, in order of their first ``depth`` bytes at least."""
     n = len(text)
     small = smaller_than_next(text)
     direct = np.flatnonzero(small)
     words = np.append(hashing.byte_words(text), np.zeros(depth + 8, np.uint64))
-    direct = direct[np.lexsort([words[direct + k] for k in range(0, depth, 8)][::-1])]
+    direct = direct[_order(words, direct, depth)]
     first = text[direct]
     edges = np.searchsorted(first, np.arange(257))
     # Per bucket: the induced suffixes in the order in which the scan meets them.
