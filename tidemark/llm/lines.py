@@ -148,9 +148,17 @@ def _across(
     def judge(block: pa.Table) -> tuple[np.ndarray, Callable[[int, int], bool]]:
         texts = block.column("line").combine_chunks()
         made, line = _shingles(texts, shingle)
-        plain = texts.to_pylist()
-        sign = set_registers(made, line, len(plain), bands * in_band)
-        return sign, lambda i, j: shingle_jaccard(plain[i], plain[j], shingle) >= threshold
+        sign = set_registers(made, line, len(texts), bands * in_band)
+        # The hash of eight bytes is one to one, so these sets are the strings themselves.
+        cut = np.searchsorted(line, np.arange(len(texts) + 1))
+        sets = [np.unique(made[a:b]) for a, b in zip(cut, cut[1:])]
+
+        def alike(i: int, j: int) -> bool:
+            x, y = sets[i], sets[j]
+            shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+            return shared / (len(x) + len(y) - shared) >= threshold
+
+        return sign, alike
 
     return links_across(meetings(members, label).join(lines, "id"), judge, bands, in_band, SIGNATURE_LEAST)
 
