@@ -110,3 +110,15 @@ def test_lines_of_odd_rows(spark):
 def test_lines_of_the_table(spark, sf):
     docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     assert Counter(tuple(r) for r in op7_fuzzy_lines(spark, sf).collect()) == Counter(brute.line_classes(docs))
+
+
+def test_short_lines_have_classes(spark):
+    rows = [(3, "Yes\n\n \t\na"), (2, " yes \nSee also:\n\u7b2c\u4e00\u7ae0"), (5, "a\nSEE ALSO:\nno"), (6, "\u7b2c\u4e00\u7ae0\n" + LONG % "long")]
+    got = sorted((r.doc, r.place, r.first_doc, r.first_place) for r in line_classes(frame(spark, rows)).collect())
+    assert got == [
+        (2, 0, 2, 0), (2, 1, 2, 1), (2, 2, 2, 2), (3, 0, 2, 0), (3, 3, 3, 3), (5, 0, 3, 3), (5, 1, 2, 1), (5, 2, 5, 2), (6, 0, 2, 2), (6, 1, 6, 1),
+    ]
+    assert {r.doc_id: r.text for r in drop_repeated_lines(frame(spark, rows)).collect()} == dict(rows)
+    assert {r.doc_id: r.text for r in drop_repeated_lines(frame(spark, rows), stay_bytes=0).collect()} == {
+        2: rows[1][1], 3: "\n \t\na", 5: "no", 6: LONG % "long",
+    }

@@ -27,20 +27,20 @@ BANDS, ROWS = 10, 4
 THRESHOLD = 0.8
 # Registers of a similar pair agree this much but for one pair in a million (five standard deviations below).
 SIGNATURE_LEAST = 0.48
-# Shorter lines (headings, bullets, closings) repeat by nature and are never taken out.
-MIN_BYTES = 40
+# A rule of the stage, not of the classes: it leaves headings, bullets and closings below this in place.
+STAY_BYTES = 40
 _SECOND_SEED = 0x5DEECE66D
 
 
-def _lines(batch: pa.RecordBatch, min_bytes: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """Lines of ``min_bytes`` or more in normal form, the text and the place of each."""
+def _lines(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Lines in normal form that are not blank, the text and the place of each."""
     split = pc.split_pattern(pc.cast(column(batch, "lower"), pa.large_string()), "\n")
     size = np.asarray(pc.list_value_length(split))
     text = np.repeat(np.arange(len(size)), size)
     place = np.arange(len(text)) - np.repeat(np.cumsum(size) - size, size)
     normal = pc.ascii_trim_whitespace(split.flatten())
-    long_ = np.asarray(pc.binary_length(normal)) >= min_bytes
-    return normal.filter(pa.array(long_)), text[long_], place[long_]
+    full = np.asarray(pc.binary_length(normal)) > 0
+    return normal.filter(pa.array(full)), text[full], place[full]
 
 
 def _key(lines: pa.Array, seed: int = 0) -> np.ndarray:
@@ -82,20 +82,23 @@ def _shingles(lines: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     return made[inside], line[inside]
 
 
-def _occurrences(rows: DataFrame, min_bytes: int) -> DataFrame:
+def _occurrences(rows: DataFrame) -> DataFrame:
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        lines, text, place = _lines(batch, min_bytes)
+        lines, text, place = _lines(batch)
         return record(
             doc=values(batch, "doc")[text], body=values(batch, "body")[text], place=place.astype(np.int32),
-            h1=_key(lines), h2=_key(lines, _SECOND_SEED),
+            bytes=np.asarray(pc.binary_length(lines)).astype(np.int32), h1=_key(lines), h2=_key(lines, _SECOND_SEED),
         )
 
-    return map_slices(rows.select("doc", "body", "lower"), "lower", work, "doc long, body long, place int, h1 long, h2 long")
+    return map_slices(rows.select("doc", "body", "lower"), "lower", work, "doc long, body long, place int, bytes int, h1 long, h2 long")
 
 
-def _buckets(rows: DataFrame, min_bytes: int, shingle: int, bands: int, in_band: int) -> DataFrame:
+def _buckets(rows: DataFrame, shingle: int, bands: int, in_band: int) -> DataFrame:
+    """Lines without a whole shingle are in no bucket: only their copies are like them."""
+
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        lines = _lines(batch, min_bytes)[0].unique()
+        lines = _lines(batch)[0].unique()
+        lines = lines.filter(pc.greater_equal(pc.binary_length(lines), shingle))
         if not len(lines):
             return None
         ident = _key(lines)
@@ -115,11 +118,11 @@ def shingle_jaccard(a: str, b: str, size: int) -> float:
     return shared / (len(x) + len(y) - shared) if shared else 0.0
 
 
-def _line_texts(rows: DataFrame, members: DataFrame, min_bytes: int) -> DataFrame:
+def _line_texts(rows: DataFrame, members: DataFrame) -> DataFrame:
     """The text of every line that shares a bucket."""
 
     def texts(batch: pa.RecordBatch) -> pa.RecordBatch:
-        lines = _lines(batch, min_bytes)[0].unique()
+        lines = _lines(batch)[0].unique()
         return record(id=_key(lines), line=lines.cast(pa.string()))
 
     all_lines = map_slices(rows.select("lower"), "lower", texts, "id long, line string")
@@ -165,24 +168,25 @@ def _across(
 
 def line_classes(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_BYTES,
-    threshold: float = THRESHOLD, min_bytes: int = MIN_BYTES, bands: int = BANDS, in_band: int = ROWS,
+    threshold: float = THRESHOLD, bands: int = BANDS, in_band: int = ROWS,
 ) -> DataFrame:
-    """One row per line of ``min_bytes`` or more: ``doc``, ``body``, ``place``, and the line that stays:
-    ``first_doc``, ``first_body``, ``first_place``.
+    """One row per line that is not blank: ``doc``, ``body``, ``place``, its length in ``bytes``, and the line that
+    stays: ``first_doc``, ``first_body``, ``first_place``.
 
     ``doc`` is the id, or the largest long for null; ``body`` tells apart rows that share an id.
     Lines are compared in lower case, without white space at their ends. Lines that share a bucket are
     compared with its first line and with the one before; those of different components then with each other.
+    Copies are one class at any length; lines too short for a shingle are compared in no other way.
     """
     rows = docs.select(known_id(id_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).cast("string").alias("text"))
     rows = rows.select("doc", F.xxhash64("text").alias("body"), F.lower("text").alias("lower"))
-    members = stored(bucket_links(_buckets(rows, min_bytes, shingle, bands, in_band)), "buckets")
+    members = stored(bucket_links(_buckets(rows, shingle, bands, in_band)), "buckets")
     pairs = members.select(F.col("leader").alias("a"), F.col("id").alias("b")).union(members.select("before", "id"))
-    texts = _line_texts(rows, members, min_bytes)
+    texts = _line_texts(rows, members)
     links = stored(_similar(pairs.where("a != b").distinct(), texts, shingle, threshold), "links")
     rest = stored(_across(members, components(links), texts, shingle, threshold, bands, in_band), "links")
     label = components(links.union(rest))
-    lines = stored(_occurrences(rows, min_bytes), "occurrences")
+    lines = stored(_occurrences(rows), "occurrences")
     # Copies first: one row per distinct line, then one per component.
     copies = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc", "place", "body")).alias("first"))
     named = copies.join(label.select(F.col("node").alias("h1"), "root"), "h1", "left").withColumn("root", F.coalesce("root", "h1"))
@@ -190,20 +194,23 @@ def line_classes(
     named = named.join(heads, "root").select("h1", "h2", "head")
     found = lines.join(named, ["h1", "h2"])
     return found.select(
-        "doc", "body", "place", F.col("head.doc").alias("first_doc"), F.col("head.body").alias("first_body"),
+        "doc", "body", "place", "bytes", F.col("head.doc").alias("first_doc"), F.col("head.body").alias("first_body"),
         F.col("head.place").alias("first_place"),
     )
 
 
-def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def drop_repeated_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stay_bytes: int = STAY_BYTES, **options
+) -> DataFrame:
     """``docs`` with all columns, each line of a component taken out but the first one.
 
-    Lines shorter than ``min_bytes`` stay. A document that loses all its lines of that length and
+    Lines shorter than ``stay_bytes`` stay, repeated or not: headings, bullets and closings repeat by nature, and a
+    text without them reads worse. ``stay_bytes=0`` takes them out too. A document that loses lines and
     keeps nothing but white space goes; others stay, also empty or null ones. Rows that repeat an
     id and text are the same line: all of them keep it.
     """
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    gone = line_classes(docs, id_col, text_col, **options).where(
+    gone = line_classes(docs, id_col, text_col, **options).where(F.col("bytes") >= stay_bytes).where(
         ~((F.col("doc") == F.col("first_doc")) & (F.col("body") == F.col("first_body")) & (F.col("place") == F.col("first_place")))
     )
     gone = gone.groupBy("doc", "body").agg(F.collect_set("place").alias("gone"))
