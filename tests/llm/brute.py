@@ -126,3 +126,29 @@ def line_classes(docs, threshold=0.8, size=8, min_bytes=40):
     for i, p, line in at:
         first[root[line]] = min(first.get(root[line], (i, p)), (i, p))
     return [(i, p, *first[root[line]]) for i, p, line in at]
+
+
+def all_line_classes(docs, size=4):
+    """Per line that is not blank: id, place, id and place of the first of its component, by strings of ``size``
+    letters. Lines without one have only copies."""
+    at = [(i, p, line.lower().strip(" \t\r\v\f")) for i, text in docs for p, line in enumerate((text or "").split("\n"))]
+    at = [x for x in at if x[2]]
+    lines = sorted({x[2] for x in at})
+    sets = [{x[k : k + size] for k in range(len(x) - size + 1)} for x in lines]
+    where = {}
+    for n, s in enumerate(sets):
+        for k in s:
+            where.setdefault(k, []).append(n)
+    links = []
+    for n, s in enumerate(sets):
+        hits = {}
+        for k in s:
+            for m in where[k]:
+                if m > n:
+                    hits[m] = hits.get(m, 0) + 1
+        links += [(n, m) for m, c in hits.items() if c / (len(s) + len(sets[m]) - c) >= 0.8]
+    root = dict(zip(lines, components(len(lines), links)))
+    first = {}
+    for i, p, line in at:
+        first[root[line]] = min(first.get(root[line], (i, p)), (i, p))
+    return [(i, p, *first[root[line]]) for i, p, line in at]

@@ -122,3 +122,26 @@ def test_short_lines_have_classes(spark):
     assert {r.doc_id: r.text for r in drop_repeated_lines(frame(spark, rows), stay_bytes=0).collect()} == {
         2: rows[1][1], 3: "\n \t\na", 5: "no", 6: LONG % "long",
     }
+
+
+def test_all_lines_of_the_table(spark, sf):
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    assert Counter(tuple(r) for r in op7_fuzzy_lines(spark, sf).collect()) == Counter(brute.all_line_classes(docs))
+
+
+def test_lines_with_one_changed_letter(spark):
+    pick = random.Random(5)
+    letters = {"latin": "abcdefghijklmnopqrstuvwxyz0123456789", "greek": "".join(map(chr, range(0x3B1, 0x3CA))), "han": "".join(map(chr, range(0x4E00, 0x4F00)))}
+    rows = []
+    for alphabet in letters.values():
+        for n in range(40, 81):
+            # No string of four letters twice, so that the similarity is (n - 7) / (n + 1).
+            while len({(line := "".join(pick.choices(alphabet, k=n)))[k : k + 4] for k in range(n - 3)}) < n - 3:
+                pass
+            at = n // 2
+            other = line[:at] + next(c for c in alphabet if c != line[at]) + line[at + 1 :]
+            rows += [(len(rows), line), (len(rows) + 1, other)]
+    got = {r.doc: r.first_doc for r in line_classes(frame(spark, rows)).collect()}
+    want = {i: j for i, _, j, _ in brute.all_line_classes(rows)}
+    assert want == {i: i - i % 2 for i in range(len(rows))}
+    assert sum(got[i] != want[i] for i in want) <= 0.02 * len(want)

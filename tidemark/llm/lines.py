@@ -21,14 +21,19 @@ from tidemark.llm.frames import column, given_id, known_id, longs, map_slices, r
 from tidemark.llm.probminhash import band_hashes, bucket_links, links_across, meetings
 from tidemark.session import stored
 
-SHINGLE_BYTES = 8
-# A pair at the threshold shares a band with a probability of 0.995.
-BANDS, ROWS = 10, 4
+# In letters, not bytes. One changed letter takes four strings from each set, which 36 different strings bear.
+SHINGLE_LETTERS = 4
+# A pair at the threshold shares a band with a probability of 0.995. Strings this short are shared by chance, so bands are
+# of more rows: pairs of strangers that meet are about as many as with strings of eight bytes in bands of four.
+BANDS, ROWS = 23, 7
 THRESHOLD = 0.8
 # Registers of a similar pair agree this much but for one pair in a million (five standard deviations below).
-SIGNATURE_LEAST = 0.48
+SIGNATURE_LEAST = 0.64
 # A rule of the stage, not of the classes: it leaves headings, bullets and closings below this in place.
 STAY_BYTES = 40
+LOOKS = 8
+# Lines whose registers are made at once: bounds memory, not results.
+BLOCK_LINES = 2_048
 _SECOND_SEED = 0x5DEECE66D
 
 
@@ -49,37 +54,44 @@ def _key(lines: pa.Array, seed: int = 0) -> np.ndarray:
 
 
 def set_registers(elements: np.ndarray, owner: np.ndarray, owners: int, size: int) -> np.ndarray:
-    """MinHash registers of sets, a row per owner, with one hash per element and round.
+    """MinHash registers of sets, a row per owner, with one hash per element.
 
-    An element goes to one register at random, and a register keeps the smallest hash. Registers
-    that got none are filled in further rounds with new hashes, so that any two sets agree in a
-    register with the probability of their Jaccard similarity. Every owner has elements.
+    An element goes to one register at random, and a register keeps the smallest hash. One that got none
+    takes the hash of another one, in an order of its own; if that is empty as well some times, all elements are
+    hashed for it. So any two sets agree in a register with the probability of their Jaccard similarity.
+    Every owner has elements.
     """
     none = np.uint64(0xFFFFFFFFFFFFFFFF)
-    won = np.full(owners * size, none)
-    turn = 0
-    while len(elements):
-        turn = (turn + 0xD1B54A32D192ED03) & 0xFFFFFFFFFFFFFFFF
-        drawn = hashing.mix(elements + np.uint64(turn))
-        slot = owner * size + ((drawn >> np.uint64(40)) * np.uint64(size) >> np.uint64(24)).astype(np.int64)
-        if turn != 0xD1B54A32D192ED03:
-            fresh = won[slot] == none
-            drawn, slot = drawn[fresh], slot[fresh]
-        now = np.full(len(won), none) if turn != 0xD1B54A32D192ED03 else won
-        np.minimum.at(now, slot, hashing.mix(drawn))
-        won = np.minimum(won, now)
-        alive = (won.reshape(owners, size) == none).any(axis=1)[owner]
-        elements, owner = elements[alive], owner[alive]
+    drawn = hashing.mix(elements + np.uint64(0xD1B54A32D192ED03))
+    slot = owner * size + ((drawn >> np.uint64(40)) * np.uint64(size) >> np.uint64(24)).astype(np.int64)
+    own = np.full(owners * size, none)
+    np.minimum.at(own, slot, drawn * np.uint64(0x9E3779B97F4A7C15))
+    won = own.copy()
+    empty = np.flatnonzero(own == none)
+    for turn in range(LOOKS):
+        other = (hashing.mix(np.arange(size) + np.int64((turn + 1) << 32)) % np.uint64(size)).astype(np.int64)
+        at = empty % size
+        won[empty] = own[empty - at + other[at]]
+        empty = empty[won[empty] == none]
+    # Few elements would take very many looks.
+    begins = np.searchsorted(empty, np.arange(owners + 1) * size)
+    times = np.diff(begins)[owner]
+    slot = empty[np.repeat(begins[owner] - np.cumsum(times) + times, times) + np.arange(times.sum())]
+    drawn = np.repeat(hashing.mix(elements), times) + (slot % size + 1).astype(np.uint64) * np.uint64(0xA24BAED4963EE407)
+    np.minimum.at(won, slot, hashing.mix(drawn))
     return won.reshape(owners, size)
 
 
 def _shingles(lines: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all ``size``-byte strings and the line of each."""
+    """Hashes of all strings of ``size`` letters and the line of each."""
     data, begins = hashing.flat(lines)
-    made = hashing.byte_shingles(data, size)
-    line = np.repeat(np.arange(len(lines)), np.diff(begins))[: len(made)]
-    inside = np.arange(len(made)) + size <= begins[line + 1]
-    return made[inside], line[inside]
+    # Every byte but those that go on with a letter of UTF-8 starts one.
+    letters = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+    starts, ends = letters[:-size], letters[size:]
+    first = np.searchsorted(letters, begins)
+    line = np.repeat(np.arange(len(lines)), np.diff(first))[: len(starts)]
+    inside = ends <= begins[line + 1]
+    return hashing.span_hashes(data, starts[inside], ends[inside]), line[inside]
 
 
 def _occurrences(rows: DataFrame) -> DataFrame:
@@ -98,22 +110,24 @@ def _buckets(rows: DataFrame, shingle: int, bands: int, in_band: int) -> DataFra
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         lines = _lines(batch)[0].unique()
-        lines = lines.filter(pc.greater_equal(pc.binary_length(lines), shingle))
+        lines = lines.filter(pc.greater_equal(pc.utf8_length(lines), shingle))
         if not len(lines):
             return None
-        ident = _key(lines)
-        made, line = _shingles(lines, shingle)
-        won = set_registers(made, line, len(lines), bands * in_band)
-        return record(bucket=longs(band_hashes(won, bands, in_band).ravel()), id=np.repeat(ident, bands))
+        buckets = []
+        for a in range(0, len(lines), BLOCK_LINES):
+            block = lines.slice(a, BLOCK_LINES)
+            made, line = _shingles(block, shingle)
+            won = set_registers(made, line, len(block), bands * in_band)
+            buckets.append(longs(band_hashes(won, bands, in_band).ravel()))
+        return record(bucket=np.concatenate(buckets), id=np.repeat(_key(lines), bands))
 
     return map_slices(rows.select("lower"), "lower", work, "bucket long, id long")
 
 
 def shingle_jaccard(a: str, b: str, size: int) -> float:
-    """Jaccard similarity of the sets of ``size``-byte strings in two lines."""
-    x, y = a.encode(), b.encode()
-    x = {x[i : i + size] for i in range(len(x) - size + 1)}
-    y = {y[i : i + size] for i in range(len(y) - size + 1)}
+    """Jaccard similarity of the sets of strings of ``size`` letters in two lines."""
+    x = {a[i : i + size] for i in range(len(a) - size + 1)}
+    y = {b[i : i + size] for i in range(len(b) - size + 1)}
     shared = len(x & y)
     return shared / (len(x) + len(y) - shared) if shared else 0.0
 
@@ -152,7 +166,7 @@ def _across(
         texts = block.column("line").combine_chunks()
         made, line = _shingles(texts, shingle)
         sign = set_registers(made, line, len(texts), bands * in_band)
-        # The hash of eight bytes is one to one, so these sets are the strings themselves.
+        # Hashes of 64 bits stand for the strings.
         cut = np.searchsorted(line, np.arange(len(texts) + 1))
         sets = [np.unique(made[a:b]) for a, b in zip(cut, cut[1:])]
 
@@ -167,7 +181,7 @@ def _across(
 
 
 def line_classes(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_BYTES,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_LETTERS,
     threshold: float = THRESHOLD, bands: int = BANDS, in_band: int = ROWS,
 ) -> DataFrame:
     """One row per line that is not blank: ``doc``, ``body``, ``place``, its length in ``bytes``, and the line that
