@@ -17,7 +17,7 @@ from tidemark.session import stored
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labelled ones teach; those without letters or like none of them go."""
+    """Documents with a language; those without letters go. None goes for a small cosine, as short clean ones have that too."""
     docs = _ready(spark, docs)
     return keep_languages(docs, learn_profiles(docs.where(remainder("doc_id", 3) != 1)))
 

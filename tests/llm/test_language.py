@@ -2,7 +2,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tidemark.llm.frames import bounded
-from tidemark.llm.hyperdim import identify_languages, learn_profiles, letter_triples, triple_vectors
+from tidemark.llm.hyperdim import identify_languages, keep_languages, learn_profiles, letter_triples, remainder, triple_vectors
 from tidemark.llm.queries import op5_language_profiles
 
 
@@ -40,3 +40,13 @@ def test_held_out_accuracy(spark, sf):
     joined = found.where("held_out").join(docs, "doc_id")
     assert joined.agg(F.avg((F.col("lang_pred") == F.col("lang")).cast("int"))).first()[0] > 0.98
     joined.groupBy("lang", "lang_pred").agg(F.count("*"), F.min("score"), F.avg("score")).show()
+
+
+def test_labelled_documents_stay(spark):
+    docs = bounded(spark).read.parquet("/root/testdata/sf0.1/documents.parquet").where("lang is not null")
+    model = learn_profiles(docs.where(remainder("doc_id", 3) != 1))
+    clean = docs.where(r"length(text) < 200 and text rlike '\\p{L}'").select("doc_id", "text")
+    low = [r.doc_id for r in identify_languages(clean, model).where("score < 0.1").collect()]
+    assert low
+    kept = {r.doc_id for r in keep_languages(clean, model).collect()}
+    assert kept == {r.doc_id for r in clean.collect()}

@@ -29,8 +29,6 @@ HELD_TRIPLES = 100_000
 CACHED_TRIPLES = 12_000
 MATRIX_CELLS = 1_500_000
 _MASK = np.int64((1 << 21) - 1)
-# A random text is within three standard deviations of zero, 3 / sqrt(1024): below that a text is no language.
-LEAST_COSINE = 0.1
 
 
 @cache
@@ -221,13 +219,18 @@ def identify_languages(docs: DataFrame, model: Profiles, id_col: str = "doc_id",
     return found.select(id_col, "_found.lang_pred", "_found.score")
 
 
-def keep_languages(docs: DataFrame, model: Profiles, text_col: str = "text", least_cosine: float = LEAST_COSINE) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text is in a learned language: it has letters, and its cosine
-    is not within the noise of random vectors. If no language was learned, only texts without letters go."""
+def keep_languages(docs: DataFrame, model: Profiles, text_col: str = "text", least_cosine: float | None = None) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a language: all but those that are ``und``, without letters.
+    If no language was learned, only texts without letters go as well.
+
+    The cosine of a short clean text can be as small as that of noise, so it rejects nothing unless ``least_cosine``
+    is given; a text in a language that was not learned stays.
+    """
     if not model.languages:
         return docs.where(F.col(f"`{text_col}`").cast("string").rlike(r"\p{L}"))
     found = predict_language(F.col(f"`{text_col}`").cast("string"), model)
-    return docs.where((found.getField("lang_pred") != UNKNOWN) & (found.getField("score") >= least_cosine))
+    kept = found.getField("lang_pred") != UNKNOWN
+    return docs.where(kept if least_cosine is None else kept & (found.getField("score") >= least_cosine))
 
 
 def remainder(id_col: str, parts: int) -> Column:
