@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.compression import learn_toxicity, toxicity
 from tidemark.llm.editmatch import benchmark_matches
+from tidemark.llm.fingerprints import exact_classes
 from tidemark.llm.frames import bounded, given_id
 from tidemark.llm.hyperdim import learn_profiles, predict_language, remainder
+from tidemark.llm.lexical import ranked_documents
 from tidemark.llm.lines import line_classes
 from tidemark.llm.multiindex import nearest_neighbours
+from tidemark.llm.negatives import hard_negatives
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.phrases import drop_repeated_phrases
 from tidemark.llm.probminhash import near_duplicates
@@ -84,6 +87,21 @@ def op10_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op12_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.col("sha256").alias("text_sha256"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_hierarchical_packing": op1_hierarchical_packing,
     "op2_benchmark_edits": op2_benchmark_edits,
@@ -95,6 +113,9 @@ QUERIES = {
     "op8_separator_scan": op8_separator_scan,
     "op9_compression_toxicity": op9_compression_toxicity,
     "op10_repeated_strings": op10_repeated_strings,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_exact_copies": op12_exact_copies,
+    "op13_lexical_search": op13_lexical_search,
 }
 ORACLES: dict[str, str] = {
     "op6_repeated_phrases": r"""WITH split AS (
@@ -132,4 +153,46 @@ ORACLES: dict[str, str] = {
               2 * (CASE WHEN j = n_spans + 1 THEN n ELSE begins[j] END - CASE WHEN j = 1 THEN 0 ELSE ends[j - 1] + 1 END))), '') END))
             AS kept_sha256
         FROM bytes LEFT JOIN cuts USING (doc_id)""",
+    "op11_hard_negatives": r"""WITH good AS (
+          SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+          FROM embeddings
+          WHERE label IS NOT NULL AND embedding IS NOT NULL AND vec_id IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        pairs AS (
+          SELECT a.vec_id AS anchor_id, b.vec_id AS id, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score, a.label = b.label AS same
+          FROM good a JOIN good b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+        positives AS (
+          SELECT anchor_id, id AS positive_id, score AS positive_score FROM pairs WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+        SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, id AS negative_id, positive_score, score AS negative_score
+        FROM positives JOIN pairs USING (anchor_id)
+        WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+        QUALIFY row_number() OVER w <= 10""",
+    "op12_exact_copies": r"""WITH plain AS (
+          SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents)
+        SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept,
+          sha256(body) AS text_sha256
+        FROM plain WINDOW w AS (PARTITION BY body)""",
+    "op13_lexical_search": r"""WITH split AS (
+          SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+        tf AS (SELECT doc_id, term, count(*) AS tf FROM split GROUP BY doc_id, term),
+        sizes AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id),
+        corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM sizes),
+        weights AS (
+          SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+          FROM tf, corpus GROUP BY term),
+        wanted AS (
+          SELECT item_id, term, count(*) AS times FROM (
+            SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY item_id, term),
+        scored AS (
+          SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // total)))) AS BIGINT) AS score
+          FROM wanted JOIN tf USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id), corpus
+          GROUP BY item_id, doc_id)
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+        FROM scored WHERE score > 0
+        QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 20""",
 }
