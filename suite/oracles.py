@@ -292,6 +292,16 @@ def oracle_sql(text_lexicon, part_lexicon) -> dict[str, str]:
             FROM lines WHERE NOT ({GOOD})""",
         "dedup_across_runs": f"""WITH {RUN} SELECT source_file, count(*) AS n_rows, sum(star_rating) AS sum_rating
             FROM run GROUP BY source_file""",
+        "dedup_any_order": f"""WITH {RUN} SELECT source_file, count(*) AS n_rows, sum(star_rating) AS sum_rating
+            FROM run GROUP BY source_file""",
+        "dedup_replaced_files": f"""WITH {KEPT} SELECT DISTINCT
+            CASE WHEN CAST(product_id AS BIGINT) % 3 = 0 THEN 'amazon_reviews_us_A_v1_00.tsv' ELSE 'amazon_reviews_us_B_v1_00.tsv' END AS source_file,
+            review_id FROM kept
+            -- A key of both files stays with the first one.
+            QUALIFY row_number() OVER (PARTITION BY review_id ORDER BY CAST(product_id AS BIGINT) % 3 <> 0) = 1""",
+        "manifest_snapshot": """WITH last AS (
+              SELECT 'file_' || user_id AS file_name, max_by(event_type, event_type) AS kind FROM events GROUP BY user_id)
+            SELECT file_name, kind <> 'error' AS processed FROM last WHERE kind <> 'signup'""",
         "incremental_ingest": f"WITH {RUN} SELECT source_file, count(*) AS n_rows FROM run GROUP BY source_file",
         "rating_vs_popularity": f"""WITH {RATINGS} SELECT product_category, product_id, n_reviews, n_verified,
             round(rating_sum / n_reviews, 6) AS avg_rating FROM ratings""",

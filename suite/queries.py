@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from tidemark.operators.rules import InRange, NotAbove, Present, keep, with_reas
 from tidemark.operators.tables import head, union_parts
 from tidemark.plans import products as P
 from tidemark.plans import retrieval as R
-from tidemark.plans.ingest import ingest_files
+from tidemark.plans.ingest import ingest_files, retire_files
 from tidemark.session import scratch_path
 from tidemark.sinks import tables as K
 from tidemark.sources import tsv
@@ -550,6 +551,61 @@ def dedup_across_runs(spark, sf):
     )
 
 
+@query
+def dedup_any_order(spark, sf):
+    """The later half of the dump first, then the earlier one: as one run over all of it."""
+
+    def make():
+        config = D.run_config(spark, "halves-back")
+        files = sorted(D.dump_paths(spark, sf).items(), key=lambda x: (x[1], x[0]))
+        for half in (files[len(files) // 2 :], files[: len(files) // 2]):
+            ingest_files(spark, dict(half), config)
+        return config
+
+    config = D.once(spark, sf, "halves-back", make)
+    return read_dataset(spark, config.clean_path).groupBy("source_file").agg(
+        F.count("*").alias("n_rows"), F.sum("star_rating").alias("sum_rating")
+    )
+
+
+@query
+def dedup_replaced_files(spark, sf):
+    """File A holds the keys of two thirds of the products, B of another two; A is replaced by a third, so B gets some back."""
+
+    def make():
+        config, folder = D.run_config(spark, "replaced"), scratch_path(spark, "replaced-dump")
+        old = D.part_dump(spark, sf, os.path.join(folder, "1"), "amazon_reviews_us_A_v1_00.tsv", (0, 1))
+        other = D.part_dump(spark, sf, os.path.join(folder, "3"), "amazon_reviews_us_B_v1_00.tsv", (1, 2))
+        ingest_files(spark, D.part_paths(spark, old, other), config)
+        new = D.part_dump(spark, sf, os.path.join(folder, "2"), "amazon_reviews_us_A_v1_00.tsv", (0,))
+        retire_files(spark, list(D.part_paths(spark, old)), config)
+        ingest_files(spark, D.part_paths(spark, new), config)
+        return config
+
+    config = D.once(spark, sf, "replaced", make)
+    return read_dataset(spark, config.clean_path).select("source_file", "review_id")
+
+
+@query
+def manifest_snapshot(spark, sf):
+    """State read from snapshots and the commits behind them, after a commit per kind of event."""
+
+    def make():
+        path = scratch_path(spark, "log")
+        events = D.table(spark, sf, "events")
+        kinds = [r.event_type for r in events.select("event_type").distinct().orderBy("event_type").collect()]
+        for kind in kinds:
+            files = events.where(F.col("event_type") == kind)
+            names = files.select(F.concat(F.lit("file_"), F.col("user_id").cast("string")).alias("source_file")).distinct()
+            manifest.append(manifest.marks(names, D.AS_OF, None if kind == "signup" else kind != "error"), path)
+            if kind == kinds[len(kinds) // 2]:
+                manifest.snapshot(spark, path)
+        return path
+
+    path = D.once(spark, sf, "log", make)
+    return manifest.latest(manifest.load(spark, path)).select("file_name", "processed")
+
+
 # Stated goals
 
 

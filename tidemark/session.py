@@ -6,6 +6,8 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,11 +79,27 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def matching(spark: SparkSession, pattern: str) -> list[str]:
-    """The paths that a glob pattern fits."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
-    return [status.getPath().toString() for status in found or ()]
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder, none if there is no folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in system.listStatus(target)] if system.exists(target) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The content of a small file."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def remove_all(spark: SparkSession, paths: Iterable[str], workers: int = 16) -> int:
+    """Delete many paths, a bounded number at a time."""
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        return sum(1 for _ in pool.map(lambda path: remove(spark, path), paths))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -12,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import constants as C
-from tidemark.session import matching, remove
+from tidemark.session import remove_all
 
 QUARANTINE_SCHEMA = "source_file STRING, reason STRING, failed_at TIMESTAMP, record STRING"
 
@@ -37,29 +35,15 @@ def write_partitioned(
     )
 
 
-def _folder(spark: SparkSession, column: str, value: str, *, glob: bool = False) -> str:
+def _folder(spark: SparkSession, column: str, value: str) -> str:
     """Name of an output partition, as Spark writes it."""
-    name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
-    return f"{column}=" + (re.sub(r"([\\\[\]{}*?,])", r"\\\1", name) if glob else name)
-
-
-def clear_files(spark: SparkSession, root: str, files: Iterable[tuple[str, str, str]], workers: int = 16) -> None:
-    """Take what is stored of some files (category, source file, file id) out of a table, whatever month it is in."""
-
-    def clear(file: tuple[str, str, str]) -> None:
-        parts = [_folder(spark, c, v, glob=True) for c, v in zip(("category", "source_file", "file_id"), file)]
-        for path in matching(spark, "/".join([root, "year=*", "month=*", *parts])):
-            remove(spark, path)
-
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-        list(pool.map(clear, files))
+    return f"{column}=" + spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
 
 
 def clear_run(spark: SparkSession, root: str, run_id: str, file_ids: Iterable[str], workers: int = 16) -> None:
     """Take the rows of some files out of one run's side table."""
     base = f"{root}/{_folder(spark, 'run_id', run_id)}/"
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-        list(pool.map(lambda i: remove(spark, base + f"file_id={i}"), file_ids))
+    remove_all(spark, (f"{base}file_id={i}" for i in file_ids), workers)
 
 
 def write_files(df: DataFrame, root: str, run_id: str) -> None:
@@ -119,7 +103,7 @@ def absent_categories(sample: DataFrame, root: str) -> DataFrame:
 def quarantine(rejects: DataFrame, failed_at: datetime, record: str = "_record") -> DataFrame:
     """Rejected rows: where they came from, why, when, and the row as JSON text."""
     return rejects.select(
-        *[c for c in ("file_id",) if c in rejects.columns],
+        *[c for c in ("file_id", "claim") if c in rejects.columns],
         "source_file",
         "reason",
         F.lit(failed_at).cast("timestamp").alias("failed_at"),

@@ -2,28 +2,51 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.sources.files import list_files
-
+from tidemark.state import attempts
 
 PARTITION_TYPES = {
     "year": T.IntegerType(),
     "month": T.StringType(),
     "category": T.StringType(),
     "source_file": T.StringType(),
+    "file_id": T.StringType(),
+    "attempt": T.StringType(),
 }
 
 
 def read_dataset(spark: SparkSession, root: str) -> DataFrame:
-    """A partitioned dataset; partition values keep their text, so month ``01`` stays ``01``."""
+    """A partitioned dataset; partition values keep their text, so month ``01`` stays ``01``.
+
+    Of a table whose files are published in attempts the live rows are read, as of this moment.
+    """
+    rows = _typed(spark, root)
+    if "attempt" not in rows.columns:
+        return rows
+    return attempts.live_rows(rows, attempts.live(spark, root)).drop("attempt")
+
+
+def _typed(spark: SparkSession, root: str) -> DataFrame:
     found = spark.read.parquet(root).schema
     typed = [T.StructField(f.name, PARTITION_TYPES.get(f.name, f.dataType), True) for f in found]
     return spark.read.schema(T.StructType(typed)).parquet(root)
 
 
+def read_attempts(spark: SparkSession, root: str, live: DataFrame) -> DataFrame | None:
+    """The rows of a table that belong to the attempts given; None if nothing is stored."""
+    try:
+        return attempts.live_rows(_typed(spark, root), live).drop("attempt")
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def read_category(spark: SparkSession, root: str, category: str) -> DataFrame:
     """The parts of one category; only that partition is read. No row is an error."""
     df = read_dataset(spark, root).filter(F.col("category") == category)

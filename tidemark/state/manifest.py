@@ -1,8 +1,8 @@
 """Which files have been processed, as a table of events. The latest event of a file counts.
 
 Events are only ever appended, so writers do not overwrite each other. A file is known by its path;
-events without one, as of a dataset, by their name. Which event is the latest follows from ``seq``,
-the clock of the writer when it was appended, and not from ``updated_at``, the logical time of a run.
+events without one, as of a dataset, by their name. Which event is the latest follows from ``seq``: the
+version of the log that has it, and neither the clock of the writer nor ``updated_at``, the logical time of a run.
 """
 
 from __future__ import annotations
@@ -17,9 +17,13 @@ from pyspark.sql import functions as F
 
 from tidemark import constants as C
 from tidemark.operators.observe import LINEAGE_SCHEMA
+from tidemark.state import versions
 
 # ``processed`` is null for an event that forgets the file.
-SCHEMA = "file_name STRING, path STRING, processed BOOLEAN, updated_at TIMESTAMP, seq BIGINT"
+LOGGED = "file_name STRING, path STRING, processed BOOLEAN, updated_at TIMESTAMP"
+SCHEMA = f"{LOGGED}, seq BIGINT"
+# Events of before there was a log have a clock as ``seq``; all versions come behind.
+FIRST_VERSION = 1 << 62
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -32,9 +36,23 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
         raise
 
 
-def load(spark: SparkSession, path: str) -> DataFrame:
-    """All events."""
-    return read_or_empty(spark, path, SCHEMA)
+def load(spark: SparkSession, path: str, *, snapshots: bool = True) -> DataFrame:
+    """The events that tell the current state; without ``snapshots`` all there have been."""
+    logged = versions.read(spark, path, LOGGED, snapshots=snapshots)
+    older = read_or_empty(spark, path, SCHEMA)
+    return older.unionByName(logged.withColumn("seq", F.lit(FIRST_VERSION) + F.col("version")).drop("version"))
+
+
+def _last_logged(events: DataFrame) -> DataFrame:
+    """Of each file the event that counts, with its version; also of forgotten files."""
+    order = F.struct("version", F.col("processed").isNull().alias("forgets"), "updated_at", "processed")
+    last = events.groupBy("file_name", "path").agg(F.max(order).alias("last"))
+    return last.select("file_name", "path", "last.processed", "last.updated_at", "last.version")
+
+
+def snapshot(spark: SparkSession, path: str) -> int:
+    """Keep the current state, so that readers need not open older commits; returns the version it stands for."""
+    return versions.snapshot(spark, path, LOGGED, _last_logged)
 
 
 def latest(events: DataFrame) -> DataFrame:
@@ -61,8 +79,11 @@ def marks(files: DataFrame, at: datetime, processed: bool | None = True) -> Data
     ).distinct()
 
 
-def append(events: DataFrame, path: str) -> None:
-    events.write.mode("append").parquet(path)
+def append(events: DataFrame, path: str) -> int:
+    """Commit events as the next version, which is returned."""
+    spark = events.sparkSession
+    columns = [c.split()[0] for c in LOGGED.split(", ")]
+    return versions.commit(spark, path, events.select(*columns), latest=_last_logged)
 
 
 def _names(spark: SparkSession, names: Sequence[str]) -> DataFrame:
