@@ -71,6 +71,43 @@ PLACED = KEPT + """, placed AS (SELECT *, row_number() OVER (
     PARTITION BY review_id ORDER BY seq, product_id, customer_id) AS place FROM kept)"""
 CLEAN = PLACED + ", clean AS (SELECT * FROM placed WHERE place = 1)"
 
+
+
+def learned_terms(text: str) -> str:
+    words = f"regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}'']+')"
+    return f"list_distinct(list_concat({words}, list_transform(range(1, len({words})), lambda i: {words}[i] || ' ' || {words}[i + 1])))"
+
+
+def learned_model(source: str, key: str, text: str, rating: str, condition: str) -> str:
+    """Weights of terms and the weight of having none."""
+    good = f"CASE WHEN {rating} >= 4 THEN 1 WHEN {rating} <= 2 THEN 0 END"
+    return f"""labelled AS (SELECT {key}, {text} AS body, {good} AS good FROM {source} WHERE {condition} AND {good} IS NOT NULL AND {text} IS NOT NULL),
+      term_counts AS (
+        SELECT term, sum(good) AS good, sum(1 - good) AS bad FROM (SELECT good, unnest({learned_terms("body")}) AS term FROM labelled)
+        GROUP BY term HAVING count(*) >= 2),
+      term_totals AS (SELECT sum(good) + 1.0 * count(*) AS good, sum(bad) + 1.0 * count(*) AS bad FROM term_counts),
+      weights AS (
+        SELECT term, CAST(round(1000000 * ln(((c.good + 1.0) / t.good) / ((c.bad + 1.0) / t.bad))) AS BIGINT) AS weight
+        FROM term_counts c, term_totals t),
+      prior AS (SELECT CAST(round(1000000 * ln((sum(good) + 1.0) / (sum(1 - good) + 1.0))) AS BIGINT) AS p FROM labelled)"""
+
+
+def learned_scores(source: str, key: str, text: str) -> str:
+    return f"""found AS (SELECT {key}, unnest({learned_terms(text)}) AS term FROM {source} WHERE {text} IS NOT NULL),
+      hits AS (SELECT {key}, CAST(sum(weight) AS BIGINT) AS s FROM found JOIN weights USING (term) GROUP BY {key}),
+      scored AS (
+        SELECT {key}, coalesce(s, 0) + p AS score, CAST(greatest(least(floor((coalesce(s, 0) + p) / 2000000), 9), -10) AS INTEGER) AS bin
+        FROM {source} LEFT JOIN hits USING ({key}), prior WHERE {text} IS NOT NULL)"""
+
+
+# Documents rated by their quality, in three parts.
+LEARNED = f"""rated AS (
+    SELECT doc_id, text, 1 + 4 * quality AS stars, doc_id % 5 AS part FROM documents JOIN labels USING (doc_id)),
+  {learned_model("rated", "doc_id", "text", "stars", "part > 1")}, {learned_scores("documents", "doc_id", "text")},
+  shares AS (
+    SELECT bin, count(*) AS n, CAST(sum((stars > 3)::INT) AS BIGINT) AS n_good, (sum((stars > 3)::INT) + 1) / (count(*) + 2) AS probability
+    FROM rated JOIN scored USING (doc_id) WHERE part = 1 GROUP BY bin)"""
+
 # Lines of the dump, with the place each has in its file.
 LINES = RAW + f""", named AS (
   SELECT *, 'amazon_reviews_us_' || product_category || '_v1_' ||
@@ -292,6 +329,46 @@ def oracle_sql(text_lexicon, part_lexicon) -> dict[str, str]:
             FROM lines WHERE NOT ({GOOD})""",
         "dedup_across_runs": f"""WITH {RUN} SELECT source_file, count(*) AS n_rows, sum(star_rating) AS sum_rating
             FROM run GROUP BY source_file""",
+        "sentiment_learned": f"""WITH {LEARNED}
+            SELECT doc_id, scored.score, round(coalesce(probability, CASE WHEN scored.score > 0 THEN 2 / 3 WHEN scored.score < 0 THEN 1 / 3 ELSE 0.5 END), 6) AS probability
+            FROM scored LEFT JOIN shares ON shares.bin = scored.bin""",
+        "sentiment_calibration": f"WITH {LEARNED} SELECT bin, n, n_good, round(probability, 6) AS probability FROM shares",
+        "product_sentiment_learned": f"""WITH {CLEAN}, {learned_model("clean", "review_id", "review_body", "star_rating", "TRUE")}, {learned_scores("clean", "review_id", "review_body")}
+            SELECT product_category, product_id, count(*) AS n_reviews, CAST(sum(score) AS BIGINT) AS sum_score, CAST(count_if(score > 0) AS BIGINT) AS n_good
+            FROM clean JOIN scored USING (review_id) GROUP BY product_category, product_id""",
+        "nearest_passages": """WITH split AS (
+              SELECT doc_id, list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '') AS tokens FROM documents),
+            places AS (
+              SELECT doc_id, tokens, unnest(range(0, 1 + CAST(greatest(ceil((len(tokens) - 128) / 96.0), 0) AS BIGINT))) AS passage_no
+              FROM split WHERE len(tokens) > 0),
+            words AS (
+              SELECT doc_id, passage_no, unnest(regexp_extract_all(lower(array_to_string(tokens[passage_no * 96 + 1 : passage_no * 96 + 128], ' ')), '[\\p{L}\\p{N}]+')) AS term
+              FROM places),
+            tf AS (SELECT doc_id, passage_no, term, count(*) AS tf FROM words GROUP BY ALL),
+            sizes AS (SELECT doc_id, passage_no, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY ALL),
+            corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM sizes),
+            weights AS (
+              SELECT term, CAST(floor(1000 * ln(1 + (any_value(docs) - count(*) + 0.5) / (count(*) + 0.5))) AS BIGINT) AS w FROM tf, corpus GROUP BY term),
+            wanted AS (
+              SELECT item_id, term, count(*) AS times FROM (
+                SELECT item_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS term FROM benchmark) GROUP BY ALL),
+            scored AS (
+              SELECT item_id, doc_id, passage_no,
+                CAST(sum(times * w * ((2200000 * tf) // (1000 * tf + (12 * (250 + (750 * n * docs) // total)) // 10))) AS BIGINT) AS score
+              FROM wanted JOIN tf USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id, passage_no), corpus GROUP BY ALL)
+            SELECT item_id, doc_id, CAST(passage_no AS INTEGER) AS passage_no, score,
+              CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, passage_no) AS INTEGER) AS rank
+            FROM scored WHERE score > 0
+            QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, passage_no) <= 10""",
+        "bought_together": f"""WITH {CLEAN}, lines AS (SELECT DISTINCT customer_id, product_id FROM clean),
+            pairs AS (
+              SELECT a.product_id AS item, b.product_id AS other, count(*) AS together
+              FROM lines a JOIN lines b ON a.customer_id = b.customer_id AND a.product_id <> b.product_id GROUP BY ALL HAVING count(*) >= 2)
+            SELECT item, other, together, CAST(row_number() OVER (PARTITION BY item ORDER BY together DESC, other) AS INTEGER) AS rank
+            FROM pairs QUALIFY row_number() OVER (PARTITION BY item ORDER BY together DESC, other) <= 5""",
+        "scan_quoted": f"""WITH {RAW} SELECT review_id, product_id, seq,
+              CASE WHEN part % 3 = 0 THEN review_body || chr(10) || '"said"' || chr(9) || 'so' WHEN review_body <> '' THEN review_body END AS review_body
+            FROM raw""",
         "dedup_any_order": f"""WITH {RUN} SELECT source_file, count(*) AS n_rows, sum(star_rating) AS sum_rating
             FROM run GROUP BY source_file""",
         "dedup_replaced_files": f"""WITH {KEPT} SELECT DISTINCT

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from suite import derived as D
 from tidemark import constants as C
+from tidemark.functions import learned
 from tidemark.functions import scalars as S
 from tidemark.functions.sentiment import Lexicon, with_sentiment
 from tidemark.operators import observe
@@ -20,12 +21,16 @@ from tidemark.operators.rules import InRange, NotAbove, Present, keep, with_reas
 from tidemark.operators.tables import head, union_parts
 from tidemark.plans import products as P
 from tidemark.plans import retrieval as R
+from tidemark.plans.baskets import bought_together as together
 from tidemark.plans.ingest import ingest_files, retire_files
-from tidemark.session import scratch_path
+from tidemark.plans.passage_index import build_index
+from tidemark.plans.passage_index import nearest_passages as find_passages
+from tidemark.session import scratch_path, stored
 from tidemark.sinks import tables as K
 from tidemark.sources import tsv
 from tidemark.sources.categories import default_categories, read_categories
 from tidemark.sources.files import list_files
+from tidemark.sources.quoted import scan_quoted as read_quoted
 from tidemark.sources.parquet import read_category, read_dataset, read_first_files
 from tidemark.state import manifest
 from tidemark.streaming.incremental import start_ingest
@@ -655,3 +660,71 @@ def nearest_vectors(spark, sf):
     firsts = corpus.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("v")).collect()
     found = R.nearest(corpus, "vec_id", "embedding", {r.label: r.v for r in firsts}, k=10)
     return found.withColumn("query", F.col("query").cast("int"))
+
+
+def _rated_documents(spark, sf):
+    """Documents with a rating of five stars or one, by their quality, and three parts to learn, calibrate and look."""
+    rated = D.table(spark, sf, "documents").join(D.table(spark, sf, "labels"), "doc_id")
+    stars = (1 + 4 * F.col("quality")).alias("stars")
+    part = F.pmod(F.col("doc_id"), F.lit(5))
+    return rated.select("doc_id", "text", stars, F.when(part > 1, "learn").when(part == 1, "calibrate").otherwise("look").alias("part"))
+
+
+def _learned(spark, sf):
+    def make():
+        rows = _rated_documents(spark, sf)
+        model = learned.fit(rows.where("part = 'learn'"), "doc_id", "text", "stars")
+        return learned.calibrate(rows.where("part = 'calibrate'"), "doc_id", "text", "stars", model)
+
+    return D.once(spark, sf, "learned", make)
+
+
+@query
+def sentiment_learned(spark, sf):
+    """All documents, rated or not, by a model learned from ratings."""
+    model = _learned(spark, sf)
+    scored = learned.scores(D.table(spark, sf, "documents"), "doc_id", "text", model)
+    return learned.with_probability(scored, model).withColumn("probability", F.round("probability", 6))
+
+
+@query
+def sentiment_calibration(spark, sf):
+    return _learned(spark, sf).shares.withColumn("probability", F.round("probability", 6))
+
+
+@query
+def product_sentiment_learned(spark, sf):
+    """Per category and product, by a model of the words and ratings of the reviews themselves."""
+    rows = _clean(spark, sf).select("review_id", "product_category", "product_id", "review_body", "star_rating")
+    rows = D.once(spark, sf, "rated", lambda: stored(rows, "rated"))
+    scored = learned.scores(rows, "review_id", "review_body", learned.fit(rows, "review_id", "review_body", "star_rating"))
+    joined = rows.join(scored, "review_id").groupBy("product_category", "product_id")
+    return joined.agg(F.count("*").alias("n_reviews"), F.sum("score").alias("sum_score"), F.count_if(F.col("score") > 0).alias("n_good"))
+
+
+@query
+def nearest_passages(spark, sf):
+    index = D.once(spark, sf, "passage-index", lambda: build_index(D.table(spark, sf, "documents"), "doc_id", "text"))
+    return find_passages(index, D.table(spark, sf, "benchmark"), "item_id", "text", k=10)
+
+
+@query
+def bought_together(spark, sf):
+    return together(_clean(spark, sf), "customer_id", "product_id", k=5)
+
+
+@query
+def scan_quoted(spark, sf):
+    """Reviews whose texts hold line breaks and quotes, read back from quoted files."""
+
+    def make():
+        path = scratch_path(spark, "quoted")
+        body = F.when(F.col("_part") % 3 == 0, F.concat(F.col("review_body"), F.lit('\n"said"\tso'))).otherwise(F.col("review_body"))
+        rows = D.reviews(spark, sf).withColumn("review_body", body).select("review_id", "product_id", "seq", "review_body")
+        written = rows.write.option("sep", "\t").option("header", True).option("escape", '"').option("emptyValue", "")
+        written.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+        return path
+
+    path = D.once(spark, sf, "quoted", make)
+    files = [r.path for r in list_files(spark, path, ".csv").select("path").collect()]
+    return read_quoted(spark, files).select("review_id", "product_id", F.col("seq").cast("double").alias("seq"), "review_body")
