@@ -96,38 +96,6 @@ def near_duplicates(docs, threshold=0.8):
     return [(i, None if least[r] == big else least[r]) for (i, _), r in zip(docs, root)]
 
 
-def line_classes(docs, threshold=0.8, size=8, min_bytes=40):
-    """Per long line: id, place, id and place of the first of its component. Ids are distinct and known."""
-    at = []
-    for i, text in docs:
-        for p, line in enumerate((text or "").split("\n")):
-            line = line.lower().strip(" \t\r\v\f")
-            if len(line.encode()) >= min_bytes:
-                at.append((i, p, line))
-    lines = sorted({x[2] for x in at})
-    sets = []
-    where = {}
-    for n, line in enumerate(lines):
-        b = line.encode()
-        s = {b[k : k + size] for k in range(len(b) - size + 1)}
-        sets.append(s)
-        for k in s:
-            where.setdefault(k, []).append(n)
-    links = []
-    for n, s in enumerate(sets):
-        hits = {}
-        for k in s:
-            for m in where[k]:
-                if m > n:
-                    hits[m] = hits.get(m, 0) + 1
-        links += [(n, m) for m, c in hits.items() if c / (len(s) + len(sets[m]) - c) >= threshold]
-    root = dict(zip(lines, components(len(lines), links)))
-    first = {}
-    for i, p, line in at:
-        first[root[line]] = min(first.get(root[line], (i, p)), (i, p))
-    return [(i, p, *first[root[line]]) for i, p, line in at]
-
-
 def all_line_classes(docs, size=4):
     """Per line that is not blank: id, place, id and place of the first of its component, by strings of ``size``
     letters. Lines without one have only copies."""

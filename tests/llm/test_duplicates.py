@@ -2,13 +2,16 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm import brute
 from tidemark.llm.components import components
 from tidemark.llm.frames import bounded
 from tidemark.llm import hashing
-from tidemark.llm.lines import drop_repeated_lines, line_classes, set_registers
+from tidemark.llm.lines import (
+    SKETCH, SKETCH_LEAST, SKETCH_REGISTERS, _shingles, drop_repeated_lines, line_classes, pair_jaccards, set_registers, sketches, unlike,
+)
 from tidemark.llm.probminhash import near_duplicates, one_of_each_class, probability_jaccard, registers
 from tidemark.llm.queries import op3_near_duplicates, op7_fuzzy_lines
 
@@ -107,11 +110,6 @@ def test_lines_of_odd_rows(spark):
     assert {k: v for k, v in got.items() if k[0] != 10} == Counter(want)
 
 
-def test_lines_of_the_table(spark, sf):
-    docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
-    assert Counter(tuple(r) for r in op7_fuzzy_lines(spark, sf).collect()) == Counter(brute.line_classes(docs))
-
-
 def test_short_lines_have_classes(spark):
     rows = [(3, "Yes\n\n \t\na"), (2, " yes \nSee also:\n\u7b2c\u4e00\u7ae0"), (5, "a\nSEE ALSO:\nno"), (6, "\u7b2c\u4e00\u7ae0\n" + LONG % "long")]
     got = sorted((r.doc, r.place, r.first_doc, r.first_place) for r in line_classes(frame(spark, rows)).collect())
@@ -129,6 +127,29 @@ def test_all_lines_of_the_table(spark, sf):
     assert Counter(tuple(r) for r in op7_fuzzy_lines(spark, sf).collect()) == Counter(brute.all_line_classes(docs))
 
 
+def test_sketches_let_similar_lines_through(spark):
+    """Pairs at the threshold and just above it, from short to long; exact similarity as for strings of letters."""
+    pick = random.Random(9)
+    x, y = [], []
+    for n in range(40, 400, 3):
+        line = "".join(pick.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+        at = pick.randrange(4, n - 4)
+        x.append(line)
+        y.append(line[:at] + "#" * max(1, n // 12 - 3) + line[at + max(1, n // 12 - 3) :])
+    jaccard = [len(a & b) / len(a | b) for a, b in (({s[k : k + 4] for k in range(len(s) - 3)} for s in p) for p in zip(x, y))]
+    left, right = pa.array(x), pa.array(y)
+    assert np.allclose(pair_jaccards(left, right, 4), jaccard)
+    sketch = []
+    for side in (left, right):
+        made, line = _shingles(side, 4)
+        made = sketches(set_registers(made, line, len(side), 161))
+        sketch.append(np.stack([made[s] for s in SKETCH], axis=1).view(np.uint64))
+    apart = unlike(*sketch)
+    assert all(d <= SKETCH_REGISTERS - SKETCH_LEAST for d, j in zip(apart, jaccard) if j >= 0.8) and sum(j >= 0.8 for j in jaccard) > 50
+    strangers = unlike(sketch[0], np.roll(sketch[1], 7, axis=0))
+    assert (strangers > SKETCH_REGISTERS - SKETCH_LEAST).all()
+
+
 def test_lines_with_one_changed_letter(spark):
     pick = random.Random(5)
     letters = {"latin": "abcdefghijklmnopqrstuvwxyz0123456789", "greek": "".join(map(chr, range(0x3B1, 0x3CA))), "han": "".join(map(chr, range(0x4E00, 0x4F00)))}

@@ -23,15 +23,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm import hashing
-from tidemark.llm.frames import column, map_slices, record, slices, values
+from tidemark.llm.frames import FILTER_BITS, column, id_filter, in_filter, map_slices, record, slices, values
 from tidemark.session import discard, stored
 
 MODULUS = (1 << 61) - 1
 BASES = (0x0E3779B97F4A7C15, 0x1F58476D1CE4E5B9)
 # Longer texts are cut, and their chunks dealt out over the tasks.
 CHUNK_BYTES = 1 << 20
-# Bits of the filter that tells which texts need no comparison: 8 MB, whatever the corpus.
-FILTER_BITS = 26
 _MARK = ["f1", "f2", "n_bytes"]
 
 _P = np.uint64(MODULUS)
@@ -157,14 +155,8 @@ def _long(chunks: DataFrame, chunk: int, bases: tuple[int, int]) -> DataFrame:
 
 
 def _filter(marks: DataFrame) -> np.ndarray:
-    """A bit map of fixed size in which the fingerprints of two or more rows are set."""
-    slot = F.col("f1").bitwiseAND((1 << FILTER_BITS) - 1)
-    twice = marks.groupBy(*_MARK).count().where("count > 1").select(slot.alias("slot"))
-    parts = twice.groupBy(F.shiftright("slot", 15).alias("part")).agg(F.expr("bitmap_construct_agg(slot & 32767)").alias("bits"))
-    out = np.zeros((1 << FILTER_BITS) >> 3, np.uint8)
-    for part, bits in parts.toLocalIterator():
-        out[part * 4096 : (part + 1) * 4096] = np.frombuffer(bits, np.uint8)
-    return out
+    """A filter of the fingerprints that two or more rows have."""
+    return id_filter(marks.groupBy(*_MARK).count().where("count > 1").select("f1"))
 
 
 def _short_pieces(rows: DataFrame, bases: tuple[int, int], wanted: np.ndarray) -> DataFrame:
@@ -174,8 +166,7 @@ def _short_pieces(rows: DataFrame, bases: tuple[int, int], wanted: np.ndarray) -
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         data, begins = _lowered(column(batch, "body"))
         made = _marks(data, begins, bases)
-        slot = made["f1"] & ((1 << FILTER_BITS) - 1)
-        keep = np.flatnonzero(shared.value[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)
+        keep = np.flatnonzero(in_filter(shared.value, made["f1"]))
         if not len(keep):
             return None
         raw = memoryview(data)

@@ -121,3 +121,23 @@ def sorted_blocks(
         wanted = max(rows, 2 * n)
     if held:
         yield pa.Table.from_batches(held).combine_chunks(), False
+
+
+# Bits of a filter of ids: 8 MB, whatever the number of ids.
+FILTER_BITS = 26
+
+
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """A bit map of fixed size in which the slots of the ids in the only column are set."""
+    slot = F.col(ids.columns[0]).bitwiseAND((1 << FILTER_BITS) - 1)
+    parts = ids.select(slot.alias("slot")).groupBy(F.shiftright("slot", 15).alias("part"))
+    out = np.zeros((1 << FILTER_BITS) >> 3, np.uint8)
+    for part, bits in parts.agg(F.expr("bitmap_construct_agg(slot & 32767)").alias("bits")).toLocalIterator():
+        out[part * 4096 : (part + 1) * 4096] = np.frombuffer(bits, np.uint8)
+    return out
+
+
+def in_filter(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """False for ids that are not in the filter for certain."""
+    slot = ids & ((1 << FILTER_BITS) - 1)
+    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)

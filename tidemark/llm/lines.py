@@ -8,18 +8,19 @@ component the first line in order of document and place stays.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import hashing
 from tidemark.llm.components import components
-from tidemark.llm.frames import column, given_id, known_id, longs, map_slices, record, values
+from tidemark.llm.frames import column, given_id, id_filter, in_filter, known_id, longs, map_slices, record, values
 from tidemark.llm.probminhash import band_hashes, bucket_links, links_across, meetings
-from tidemark.session import stored
+from tidemark.session import discard, stored
 
 # In letters, not bytes. One changed letter takes four strings from each set, which 36 different strings bear.
 SHINGLE_LETTERS = 4
@@ -27,8 +28,10 @@ SHINGLE_LETTERS = 4
 # of more rows: pairs of strangers that meet are about as many as with strings of eight bytes in bands of four.
 BANDS, ROWS = 23, 7
 THRESHOLD = 0.8
-# Registers of a similar pair agree this much but for one pair in a million (five standard deviations below).
-SIGNATURE_LEAST = 0.64
+# A sketch has four bits of each of the first 64 registers. Similar pairs have 52 of them alike, with a standard deviation of
+# 3.1; strangers four. Below 36, five deviations away, a pair is not looked at.
+SKETCH_REGISTERS, SKETCH_LEAST = 64, 36
+SKETCH = ["s0", "s1", "s2", "s3"]
 # A rule of the stage, not of the classes: it leaves headings, bullets and closings below this in place.
 STAY_BYTES = 40
 LOOKS = 8
@@ -124,60 +127,110 @@ def _buckets(rows: DataFrame, shingle: int, bands: int, in_band: int) -> DataFra
     return map_slices(rows.select("lower"), "lower", work, "bucket long, id long")
 
 
-def shingle_jaccard(a: str, b: str, size: int) -> float:
-    """Jaccard similarity of the sets of strings of ``size`` letters in two lines."""
-    x = {a[i : i + size] for i in range(len(a) - size + 1)}
-    y = {b[i : i + size] for i in range(len(b) - size + 1)}
-    shared = len(x & y)
-    return shared / (len(x) + len(y) - shared) if shared else 0.0
+def sketches(won: np.ndarray) -> dict[str, np.ndarray]:
+    """Four numbers per line, with four bits of each of the first registers."""
+    bits = (won[:, :SKETCH_REGISTERS] & np.uint64(15)).reshape(len(won), len(SKETCH), -1)
+    places = np.arange(bits.shape[2], dtype=np.uint64) * np.uint64(4)
+    return dict(zip(SKETCH, longs((bits << places).sum(axis=2, dtype=np.uint64)).T))
 
 
-def _line_texts(rows: DataFrame, members: DataFrame) -> DataFrame:
-    """The text of every line that shares a bucket."""
+def unlike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many registers differ between sketches, a row each."""
+    apart = x ^ y
+    for step in (1, 2):
+        apart = apart | (apart >> np.uint64(step))
+    return np.bitwise_count(apart & np.uint64(0x1111111111111111)).sum(axis=1, dtype=np.int64)
 
-    def texts(batch: pa.RecordBatch) -> pa.RecordBatch:
+
+def _unlike(a: str, b: str) -> Column:
+    """The same of columns."""
+
+    def one(name: str) -> Column:
+        apart = F.col(f"{a}.{name}").bitwiseXOR(F.col(f"{b}.{name}"))
+        for step in (1, 2):
+            apart = apart.bitwiseOR(F.shiftrightunsigned(apart, step))
+        return F.bit_count(apart.bitwiseAND(F.lit(0x1111111111111111)))
+
+    return reduce(lambda x, y: x + y, [one(name) for name in SKETCH])
+
+
+def _line_texts(rows: DataFrame, members: DataFrame, shingle: int, bands: int, in_band: int) -> DataFrame:
+    """The text and the sketch of every line that shares a bucket. What surely shares none is left out where it is read."""
+    shared = rows.sparkSession.sparkContext.broadcast(id_filter(members.select("id")))
+
+    def texts(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         lines = _lines(batch)[0].unique()
-        return record(id=_key(lines), line=lines.cast(pa.string()))
+        lines = lines.filter(pc.greater_equal(pc.utf8_length(lines), shingle))
+        ident = _key(lines)
+        keep = in_filter(shared.value, ident)
+        lines, ident = lines.filter(pa.array(keep)), ident[keep]
+        if not len(lines):
+            return None
+        parts = []
+        for a in range(0, len(lines), BLOCK_LINES):
+            block = lines.slice(a, BLOCK_LINES)
+            made, line = _shingles(block, shingle)
+            parts.append(sketches(set_registers(made, line, len(block), bands * in_band)))
+        return record(id=ident, line=lines.cast(pa.string()), **{s: np.concatenate([p[s] for p in parts]) for s in SKETCH})
 
-    all_lines = map_slices(rows.select("lower"), "lower", texts, "id long, line string")
-    return stored(all_lines.join(members.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]), "lines")
+    schema = "id long, line string, " + ", ".join(f"{s} long" for s in SKETCH)
+    found = map_slices(rows.select("lower"), "lower", texts, schema)
+    return stored(found.join(members.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]), "lines")
+
+
+def pair_jaccards(x: pa.Array, y: pa.Array, size: int) -> np.ndarray:
+    """Jaccard similarity of the sets of strings of ``size`` letters in the lines of each pair.
+
+    A string is known by 54 bits of its hash, beside the number of its pair: sorting finds what both sides have.
+    """
+    out = np.zeros(len(x))
+    for a in range(0, len(x), 1000):
+        n = len(x.slice(a, 1000))
+        sides = []
+        for lines in (x, y):
+            made, line = _shingles(lines.slice(a, 1000), size)
+            sides.append(np.unique((made >> np.uint64(10)) | (line.astype(np.uint64) << np.uint64(54))))
+        both = np.sort(np.concatenate(sides), kind="stable")
+        again = both[1:][both[1:] == both[:-1]]
+        shared = np.bincount((again >> np.uint64(54)).astype(np.int64), minlength=n)
+        total = np.bincount((both >> np.uint64(54)).astype(np.int64), minlength=n) - shared
+        out[a : a + n] = shared / np.maximum(total, 1)
+    return out
 
 
 def _similar(pairs: DataFrame, lines: DataFrame, shingle: int, threshold: float) -> DataFrame:
-    """The pairs that are similar enough, by the text of their lines."""
+    """The pairs that are similar enough: by their sketches first, then by the text of their lines."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = column(batch, "x").to_pylist(), column(batch, "y").to_pylist()
-            keep = np.array([shingle_jaccard(p, q, shingle) >= threshold for p, q in zip(x, y)], bool)
+            keep = pair_jaccards(column(batch, "x"), column(batch, "y"), shingle) >= threshold
             yield record(a=values(batch, "a")[keep], b=values(batch, "b")[keep])
 
-    joined = pairs.join(lines.select(F.col("id").alias("a"), F.col("line").alias("x")), "a")
+    narrow = lines.select("id", F.struct(*SKETCH).alias("sketch"))
+    near = pairs.join(narrow.select(F.col("id").alias("a"), F.col("sketch").alias("p")), "a")
+    near = near.join(narrow.select(F.col("id").alias("b"), F.col("sketch").alias("q")), "b")
+    near = near.where(_unlike("p", "q") <= SKETCH_REGISTERS - SKETCH_LEAST).select("a", "b")
+    joined = near.join(lines.select(F.col("id").alias("a"), F.col("line").alias("x")), "a")
     joined = joined.join(lines.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
     return joined.mapInArrow(verify, "a long, b long")
 
 
-def _across(
-    members: DataFrame, label: DataFrame, lines: DataFrame, shingle: int, threshold: float, bands: int, in_band: int
-) -> DataFrame:
+def _across(members: DataFrame, label: DataFrame, lines: DataFrame, shingle: int, threshold: float) -> DataFrame:
     """Links that leaders and chains of the buckets have not shown."""
 
-    def judge(block: pa.Table) -> tuple[np.ndarray, Callable[[int, int], bool]]:
+    def judge(block: pa.Table) -> tuple[Callable, Callable]:
         texts = block.column("line").combine_chunks()
-        made, line = _shingles(texts, shingle)
-        sign = set_registers(made, line, len(texts), bands * in_band)
-        # Hashes of 64 bits stand for the strings.
-        cut = np.searchsorted(line, np.arange(len(texts) + 1))
-        sets = [np.unique(made[a:b]) for a, b in zip(cut, cut[1:])]
+        sketch = np.stack([block.column(s).to_numpy() for s in SKETCH], axis=1).view(np.uint64)
+
+        def near(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+            return unlike(sketch[i], sketch[j]) <= SKETCH_REGISTERS - SKETCH_LEAST
 
-        def alike(i: int, j: int) -> bool:
-            x, y = sets[i], sets[j]
-            shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-            return shared / (len(x) + len(y) - shared) >= threshold
+        def alike(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+            return pair_jaccards(texts.take(pa.array(i)), texts.take(pa.array(j)), shingle) >= threshold
 
-        return sign, alike
+        return near, alike
 
-    return links_across(meetings(members, label).join(lines, "id"), judge, bands, in_band, SIGNATURE_LEAST)
+    return links_across(meetings(members, label).join(lines, "id"), judge)
 
 
 def line_classes(
@@ -196,10 +249,12 @@ def line_classes(
     rows = rows.select("doc", F.xxhash64("text").alias("body"), F.lower("text").alias("lower"))
     members = stored(bucket_links(_buckets(rows, shingle, bands, in_band)), "buckets")
     pairs = members.select(F.col("leader").alias("a"), F.col("id").alias("b")).union(members.select("before", "id"))
-    texts = _line_texts(rows, members)
+    texts = _line_texts(rows, members, shingle, bands, in_band)
     links = stored(_similar(pairs.where("a != b").distinct(), texts, shingle, threshold), "links")
-    rest = stored(_across(members, components(links), texts, shingle, threshold, bands, in_band), "links")
+    rest = stored(_across(members, components(links), texts, shingle, threshold), "links")
     label = components(links.union(rest))
+    for table in (members, texts, links, rest):
+        discard(table)
     lines = stored(_occurrences(rows), "occurrences")
     # Copies first: one row per distinct line, then one per component.
     copies = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc", "place", "body")).alias("first"))

@@ -228,53 +228,63 @@ def meetings(members: DataFrame, label: DataFrame, block_members: int = BLOCK_ME
     )
 
 
-# Gets a block of a meeting: registers of each row, and a test of two rows by their places.
-Judge = Callable[[pa.Table], tuple[np.ndarray, Callable[[int, int], bool]]]
+# Gets a block of meetings; two tests of pairs of rows, given by their places: a quick one that lets similar pairs
+# through, and the exact one.
+Test = Callable[[np.ndarray, np.ndarray], np.ndarray]
+Judge = Callable[[pa.Table], tuple[Test, Test]]
+# Pairs of rows that are tested at once.
+PAIRS = 1 << 18
 
 
-def links_across(dealt: DataFrame, judge: Judge, bands: int, in_band: int, least: float) -> DataFrame:
-    """Links between members of one bucket with different roots. Tasks compare; only links are sent on.
-
-    A pair is looked at in the first band it shares, and tested if ``least`` of its registers agree.
-    """
+def links_across(dealt: DataFrame, judge: Judge) -> DataFrame:
+    """Links between members of one bucket with different roots. Tasks compare; only links are sent on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, _ in sorted_blocks(batches, "meeting", 1000, lambda _: False):
-            meeting, bucket, own, ident, root, same = (
-                block.column(c).to_numpy() for c in ("meeting", "bucket", "own", "id", "root", "same")
-            )
-            sign, alike = judge(block)
-            start = np.flatnonzero(np.append(True, meeting[1:] != meeting[:-1]))
-            a, b = [], []
-            for lo, hi in zip(start, np.append(start[1:], len(meeting))):
-                band = int(bucket[lo].view(np.uint64) & _BAND_BITS)
-                for i in range(lo, hi - 1):
-                    later = np.arange(i + 1, hi)
-                    later = later[(root[later] != root[i]) & (same[i] | (own[later] != own[i]))]
-                    equal = sign[later] == sign[i]
-                    shared = equal.reshape(-1, bands, in_band).all(axis=2).argmax(axis=1) == band
-                    for j in later[shared & (equal.mean(axis=1) >= least)].tolist():
-                        if alike(i, j):
-                            a.append(min(ident[i], ident[j]))
-                            b.append(max(ident[i], ident[j]))
-            if a:
-                yield record(a=np.array(a, np.int64), b=np.array(b, np.int64))
+            meeting, own, ident, root, same = (block.column(c).to_numpy() for c in ("meeting", "own", "id", "root", "same"))
+            near, alike = judge(block)
+            behind = np.searchsorted(meeting, meeting, "right")
+            partners = behind - np.arange(len(meeting)) - 1
+            total = np.cumsum(partners)
+            at = 0
+            while at < len(meeting):
+                done = total[at - 1] if at else 0
+                to = max(at + 1, int(np.searchsorted(total, done + PAIRS, "right")))
+                i = np.repeat(np.arange(at, to), partners[at:to])
+                j = i + 1 + np.arange(len(i)) - np.repeat(total[at:to] - partners[at:to] - done, partners[at:to])
+                at = to
+                open_ = (root[i] != root[j]) & (same[i] | (own[i] != own[j]))
+                i, j = i[open_], j[open_]
+                for test in (near, alike):
+                    keep = test(i, j)
+                    i, j = i[keep], j[keep]
+                if len(i):
+                    yield record(a=np.minimum(ident[i], ident[j]), b=np.maximum(ident[i], ident[j]))
 
     ordered = dealt.repartition("meeting").sortWithinPartitions("meeting")
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
-def _across(members: DataFrame, label: DataFrame, shingles: DataFrame, threshold: float, bands: int, in_band: int) -> DataFrame:
-    def judge(block: pa.Table) -> tuple[np.ndarray, Callable[[int, int], bool]]:
+def _across(members: DataFrame, label: DataFrame, shingles: DataFrame, threshold: float) -> DataFrame:
+    def judge(block: pa.Table) -> tuple[Test, Test]:
         elements = [_numbers(x, np.uint64) for x in block.column("elements")]
         weights = [_numbers(x, np.float64) for x in block.column("weights")]
+        sign = np.stack([_numbers(x, np.uint16) for x in block.column("sign")])
+
+        def near(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+            keep = np.zeros(len(i), bool)
+            for a in range(0, len(i), 8192):
+                keep[a : a + 8192] = (sign[i[a : a + 8192]] == sign[j[a : a + 8192]]).mean(axis=1) >= SIGNATURE_LEAST
+            return keep
 
-        def alike(i: int, j: int) -> bool:
-            return probability_jaccard(elements[i], weights[i], elements[j], weights[j]) >= threshold - 1e-12
+        def alike(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+            pairs = zip(i.tolist(), j.tolist())
+            found = [probability_jaccard(elements[p], weights[p], elements[q], weights[q]) >= threshold - 1e-12 for p, q in pairs]
+            return np.array(found, bool)
 
-        return np.stack([_numbers(x, np.uint16) for x in block.column("sign")]), alike
+        return near, alike
 
-    return links_across(meetings(members, label).join(shingles, "id"), judge, bands, in_band, SIGNATURE_LEAST)
+    return links_across(meetings(members, label).join(shingles, "id"), judge)
 
 
 def near_duplicate_classes(
@@ -307,7 +317,7 @@ def near_duplicate_classes(
     more = lead.union(chain).where("a != b").distinct()
     links = links.union(stored(_verified(_apart(more, label), shingles, threshold), "links"))
     label = components(links)
-    rest = stored(_across(members, label, shingles, threshold, bands, in_band), "links")
+    rest = stored(_across(members, label, shingles, threshold), "links")
     label = components(links.union(rest))
     named = texts.select("k1", "k2", "doc", "id").join(label.select(F.col("node").alias("id"), "root"), "id", "left")
     named = named.withColumn("root", F.coalesce("root", "id"))
