@@ -19,10 +19,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.frames import column, record, slices
+from tidemark.session import stored
 
 DIMENSIONS = 1024
 SEED = 20_240_203
 UNKNOWN = "und"
+# A limit comes from so many texts at least, and is this share of the smallest cosine among them.
+LEAST_TEXTS, LIMIT_SHARE = 20, 0.8
 # A text's triples have this total weight in its language's profile; whole numbers add up alike in any order.
 TEXT_WEIGHT = 1 << 20
 HELD_TRIPLES = 100_000
@@ -166,12 +169,14 @@ def learn_profiles(
     return Profiles(languages, vectors / np.where(length > 0, length, 1), seed)
 
 
-def _predict(texts: list[str | None], model: Profiles) -> tuple[list[str], np.ndarray]:
+def _predict(texts: list[str | None], model: Profiles) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, cosine and number of triples of each text."""
     dimensions = model.vectors.shape[1]
     answer, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
     triples, text = letter_triples([t or "" for t in texts])
+    size = np.bincount(text, minlength=len(texts))
     if not len(triples) or not model.languages:
-        return answer, score
+        return answer, score, size
     distinct, at = np.unique(triples, return_inverse=True)
     vectors = _triples(dimensions, model.seed).of(distinct).astype(np.float32)
     profiles = model.vectors.T.astype(np.float32)
@@ -188,27 +193,27 @@ def _predict(texts: list[str | None], model: Profiles) -> tuple[list[str], np.nd
             if has_letter(texts[i]):
                 answer[i] = model.languages[best[i - a]]
                 score[i] = min(1.0, max(0.0, float(cosine[i - a, best[i - a]])))
-    return answer, score
+    return answer, score, size
 
 
 def predict_language(text: Column | str, model: Profiles) -> Column:
-    """A struct of ``lang_pred`` and ``score``, the cosine with that language, 0 to 1.
+    """A struct of ``lang_pred``, ``score``, the cosine with that language, 0 to 1, and ``n_triples``.
 
     A text that is null or has no letter is ``und`` with 0; so is every text if no language was learned.
     """
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, n_triples long")
     def predicted(texts: pd.Series) -> pd.DataFrame:
-        answers, scores, held, size = [], [], [], 0
+        found, held, size = [], [], 0
         for t in [*texts, None]:
             held.append(t)
             size += len(t or "")
             if size > 1 << 17 or len(held) > 1000:
-                a, s = _predict(held, model)
-                answers, scores, held, size = answers + a, [*scores, *s], [], 0
+                found.append(_predict(held, model))
+                held, size = [], 0
         if held:
-            a, s = _predict(held, model)
-            answers, scores = answers + a, [*scores, *s]
-        return pd.DataFrame({"lang_pred": answers[:-1], "score": scores[:-1]})
+            found.append(_predict(held, model))
+        answers, scores, sizes = (np.concatenate(x)[:-1] for x in zip(*found))
+        return pd.DataFrame({"lang_pred": answers, "score": scores, "n_triples": sizes})
 
     return predicted(F.col(text) if isinstance(text, str) else text)
 
@@ -219,18 +224,31 @@ def identify_languages(docs: DataFrame, model: Profiles, id_col: str = "doc_id",
     return found.select(id_col, "_found.lang_pred", "_found.score")
 
 
-def keep_languages(docs: DataFrame, model: Profiles, text_col: str = "text", least_cosine: float | None = None) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text has a language: all but those that are ``und``, without letters.
-    If no language was learned, only texts without letters go as well.
+def keep_languages(
+    docs: DataFrame, model: Profiles, text_col: str = "text", *, learn: Column | None = None, lang_col: str = "lang",
+    least_texts: int = LEAST_TEXTS, share: float = LIMIT_SHARE,
+) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a language. Texts without letters go.
 
-    The cosine of a short clean text can be as small as that of noise, so it rejects nothing unless ``least_cosine``
-    is given; a text in a language that was not learned stays.
+    With ``learn``, texts that are like no language learned go too. The cosine of a short clean text is as small as that of
+    noise, so what is asked for depends on the number of triples: of texts between two powers of two it is ``share`` of
+    the smallest cosine among the texts with a language for which ``learn`` holds. Where these are fewer than
+    ``least_texts``, nothing is asked for. If no language was learned, only texts without letters go.
     """
     if not model.languages:
         return docs.where(F.col(f"`{text_col}`").cast("string").rlike(r"\p{L}"))
     found = predict_language(F.col(f"`{text_col}`").cast("string"), model)
-    kept = found.getField("lang_pred") != UNKNOWN
-    return docs.where(kept if least_cosine is None else kept & (found.getField("score") >= least_cosine))
+    if learn is None:
+        return docs.where(found.getField("lang_pred") != UNKNOWN)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    known = F.coalesce(learn & F.col(f"`{lang_col}`").isNotNull(), F.lit(False)).alias("_learn")
+    scored = stored(docs.select(row, found.alias("_found"), known), "languages").where(F.col("_found.lang_pred") != UNKNOWN)
+    scored = scored.withColumn("_size", F.floor(F.log2(F.greatest(F.col("_found.n_triples"), F.lit(1)))))
+    # A row per power of two.
+    limits = scored.where("_learn").groupBy("_size").agg(F.min("_found.score").alias("_least"), F.count("*").alias("_n"))
+    limits = F.broadcast(limits.where(F.col("_n") >= least_texts).drop("_n"))
+    kept = scored.join(limits, "_size", "left").where(F.col("_found.score") >= F.coalesce(F.col("_least") * share, F.lit(0.0)))
+    return kept.select("_row.*")
 
 
 def remainder(id_col: str, parts: int) -> Column:

@@ -13,8 +13,8 @@ from tokenizers import Tokenizer
 from tidemark.llm import hashing
 
 WORD_MODEL = public_tokenizers.path("word_bpe_49k.json")
-# Distinct pieces that a worker remembers.
-REMEMBERED = 400_000
+# Distinct pieces that a worker remembers. If there are more, those that came once are forgotten.
+REMEMBERED = 600_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -47,16 +47,30 @@ class PieceEncoder:
     def forget(self) -> None:
         self.known = np.zeros(0, np.uint64)
         self.begin, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.again = np.zeros(0, bool)
         self.ids = np.zeros(0, np.uint32)
 
+    def _forget_rare(self) -> None:
+        """Keep the pieces that have come again since the last time; they begin anew."""
+        keep = np.flatnonzero(self.again)
+        if len(keep) > REMEMBERED // 2:
+            return self.forget()
+        count = self.count[keep]
+        total = np.append(0, np.cumsum(count))
+        take = np.arange(total[-1]) + np.repeat(self.begin[keep] - total[:-1], count)
+        self.known, self.count, self.begin, self.ids = self.known[keep], count, total[:-1], self.ids[take]
+        self.again = np.zeros(len(keep), bool)
+
     def _learn(self, hashes: np.ndarray, texts: list[bytes]) -> None:
         made = [e.ids for e in self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)]
         count = np.fromiter(map(len, made), np.int64, len(made))
         begin = len(self.ids) + np.cumsum(count) - count
         self.ids = np.append(self.ids, np.fromiter(chain.from_iterable(made), np.uint32, count.sum()))
         at = np.searchsorted(self.known, hashes)
-        self.known, self.begin, self.count = (
-            np.insert(old, at, new) for old, new in ((self.known, hashes), (self.begin, begin), (self.count, count))
+        first = np.zeros(len(hashes), bool)
+        self.known, self.begin, self.count, self.again = (
+            np.insert(old, at, new)
+            for old, new in ((self.known, hashes), (self.begin, begin), (self.count, count), (self.again, first))
         )
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -70,10 +84,11 @@ class PieceEncoder:
             hashing.span_hashes(data, starts, ends), return_index=True, return_inverse=True
         )
         if len(self.known) > REMEMBERED:
-            self.forget()
+            self._forget_rare()
         place = np.searchsorted(self.known, distinct)
         new = place == len(self.known)
         new[~new] = self.known[place[~new]] != distinct[~new]
+        self.again[place[~new]] = True
         if new.any():
             raw = data.tobytes()
             self._learn(distinct[new], [raw[starts[i] : ends[i]] for i in example[new]])
