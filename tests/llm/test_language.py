@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -50,3 +52,21 @@ def test_labelled_documents_stay(spark):
     assert low
     kept = {r.doc_id for r in keep_languages(clean, model).collect()}
     assert kept == {r.doc_id for r in clean.collect()}
+
+
+def test_unlearned_languages_go_and_labelled_documents_stay(spark):
+    pick = random.Random(4)
+    docs = bounded(spark).read.parquet("/root/testdata/sf0.1/documents.parquet").where("lang is not null").select("doc_id", "text", "lang")
+    polish = "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem."
+    odd = [
+        polish, polish * 5, "Все люди рождаются свободными и равными в своем достоинстве и правах. " * 3,
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+        *("".join(pick.choice("abcdefghijklmnopqrstuvwxyz   ") for _ in range(n)) for n in (300, 1000, 3000)), "12 34", None,
+    ]
+    more = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(odd)], docs.schema)
+    learn = remainder("doc_id", 3) != 1
+    kept = keep_languages(docs.union(more), learn_profiles(docs.where(learn)), learn=learn)
+    assert kept.columns == docs.columns
+    ids = {r.doc_id for r in kept.select("doc_id").collect()}
+    want = {r.doc_id for r in docs.where(r"text rlike '\\p{L}'").select("doc_id").collect()}
+    assert not [i for i in ids if i < 0] and ids == want
