@@ -17,9 +17,9 @@ from tidemark.session import stored
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; those without letters go. None goes for a small cosine, as short clean ones have that too."""
-    docs = _ready(spark, docs)
-    return keep_languages(docs, learn_profiles(docs.where(remainder("doc_id", 3) != 1)))
+    """Documents in a language that was learned; those without letters go, and those less like it than any learned one of their size."""
+    docs, learn = _ready(spark, docs), remainder("doc_id", 3) != 1
+    return keep_languages(docs, learn_profiles(docs.where(learn)), learn=learn)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
