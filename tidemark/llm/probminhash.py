@@ -243,17 +243,21 @@ def links_across(dealt: DataFrame, judge: Judge) -> DataFrame:
         for block, _ in sorted_blocks(batches, "meeting", 1000, lambda _: False):
             meeting, own, ident, root, same = (block.column(c).to_numpy() for c in ("meeting", "own", "id", "root", "same"))
             near, alike = judge(block)
-            behind = np.searchsorted(meeting, meeting, "right")
-            partners = behind - np.arange(len(meeting)) - 1
+            # Members of one root lie side by side, so those of another are behind them: pairs of one root are not made.
+            order = np.lexsort((root, meeting))
+            new = np.flatnonzero(np.append(True, (meeting[order][1:] != meeting[order][:-1]) | (root[order][1:] != root[order][:-1])))
+            first = np.repeat(np.append(new[1:], len(meeting)), np.diff(np.append(new, len(meeting))))
+            partners = np.searchsorted(meeting, meeting, "right") - first
             total = np.cumsum(partners)
             at = 0
             while at < len(meeting):
                 done = total[at - 1] if at else 0
                 to = max(at + 1, int(np.searchsorted(total, done + PAIRS, "right")))
-                i = np.repeat(np.arange(at, to), partners[at:to])
-                j = i + 1 + np.arange(len(i)) - np.repeat(total[at:to] - partners[at:to] - done, partners[at:to])
+                i = order[np.repeat(np.arange(at, to), partners[at:to])]
+                j = np.arange(len(i)) - np.repeat(total[at:to] - partners[at:to] - done, partners[at:to])
+                j = order[j + np.repeat(first[at:to], partners[at:to])]
                 at = to
-                open_ = (root[i] != root[j]) & (same[i] | (own[i] != own[j]))
+                open_ = same[i] | (own[i] != own[j])
                 i, j = i[open_], j[open_]
                 for test in (near, alike):
                     keep = test(i, j)
