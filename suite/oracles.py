@@ -369,6 +369,19 @@ def oracle_sql(text_lexicon, part_lexicon) -> dict[str, str]:
         "scan_quoted": f"""WITH {RAW} SELECT review_id, product_id, seq,
               CASE WHEN part % 3 = 0 THEN review_body || chr(10) || '"said"' || chr(9) || 'so' WHEN review_body <> '' THEN review_body END AS review_body
             FROM raw""",
+        "infer_dates": f"""WITH {RAW}, chunks AS (SELECT *, CAST(spread % 3 AS INTEGER) AS chunk FROM raw),
+            dated AS (
+              SELECT review_id, product_id, seq, product_category, chunk, CASE WHEN review_date = 'notadate' THEN review_date
+                WHEN (length(product_category) + chunk) % 3 = 0 THEN strftime(CAST(review_date AS DATE), '%m/%d/%Y')
+                WHEN (length(product_category) + chunk) % 3 = 1 THEN strftime(CAST(review_date AS DATE), '%d.%m.%Y') ELSE review_date END AS text
+              FROM (SELECT * REPLACE (nullif(review_date, 'notadate') AS review_date), review_date AS was FROM chunks) c
+            )
+            SELECT review_id, product_id, seq, product_category, chunk, strftime(CASE WHEN (length(product_category) + chunk) % 3 = 0 THEN try_strptime(text, '%m/%d/%Y')
+                WHEN (length(product_category) + chunk) % 3 = 1 THEN try_strptime(text, '%d.%m.%Y') ELSE try_strptime(text, '%Y-%m-%d') END, '%Y-%m-%d') AS review_date
+            FROM dated""",
+        "unreadable_files": """SELECT p_type AS category, TRUE AS readable, CAST(NULL AS VARCHAR) AS error, count(*) AS n_rows
+            FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey GROUP BY p_type
+            UNION ALL SELECT '', FALSE, 'no footer', 0""",
         "dedup_any_order": f"""WITH {RUN} SELECT source_file, count(*) AS n_rows, sum(star_rating) AS sum_rating
             FROM run GROUP BY source_file""",
         "dedup_replaced_files": f"""WITH {KEPT} SELECT DISTINCT

@@ -15,6 +15,7 @@ from tidemark.functions import scalars as S
 from tidemark.functions.sentiment import Lexicon, with_sentiment
 from tidemark.operators import observe
 from tidemark.operators.clean import audit, clean, coerce, partition_values, with_chunk
+from tidemark.operators.dates import infer_dates as chunk_dates
 from tidemark.operators.dedup import first_per_key, flag_duplicates
 from tidemark.operators.quality import missing_by_group, profile, unknown_categories
 from tidemark.operators.rules import InRange, NotAbove, Present, keep, with_reason
@@ -31,7 +32,7 @@ from tidemark.sources import tsv
 from tidemark.sources.categories import default_categories, read_categories
 from tidemark.sources.files import list_files
 from tidemark.sources.quoted import scan_quoted as read_quoted
-from tidemark.sources.parquet import read_category, read_dataset, read_first_files
+from tidemark.sources.parquet import probe_files, read_category, read_dataset, read_first_files
 from tidemark.state import manifest
 from tidemark.streaming.incremental import start_ingest
 
@@ -728,3 +729,31 @@ def scan_quoted(spark, sf):
     path = D.once(spark, sf, "quoted", make)
     files = [r.path for r in list_files(spark, path, ".csv").select("path").collect()]
     return read_quoted(spark, files).select("review_id", "product_id", F.col("seq").cast("double").alias("seq"), "review_body")
+
+
+@query
+def infer_dates(spark, sf):
+    """Each category and third of it writes its dates in a way of its own."""
+    rows = D.reviews(spark, sf).withColumn("chunk", (F.col("_spread") % 3).cast("int"))
+    text = lambda f: F.date_format(F.to_date("review_date", "yyyy-MM-dd"), f)
+    way = F.pmod(F.length("product_category") + F.col("chunk"), F.lit(3))
+    known = F.col("review_date") != "notadate"
+    made = F.when(~known, F.col("review_date")).when(way == 0, text("MM/dd/yyyy")).when(way == 1, text("dd.MM.yyyy")).otherwise(F.col("review_date"))
+    rows = rows.withColumn("review_date", made).select("review_id", "product_id", "seq", "product_category", "chunk", "review_date")
+    return chunk_dates(rows, ("product_category", "chunk"), D.TIE, ["review_date"]).withColumn("review_date", D.day())
+
+
+@query
+def unreadable_files(spark, sf):
+    def make():
+        path = scratch_path(spark, "probed")
+        rows = D.reviews(spark, sf).select("review_id", F.col("product_category").alias("category"))
+        rows.repartition("category").write.partitionBy("category").parquet(path)
+        # One that is no file of this kind.
+        spark.range(3).coalesce(1).selectExpr("concat('not a table ', id) AS value").write.text(os.path.join(path, "broken"))
+        return path
+
+    path = D.once(spark, sf, "probed", make)
+    found = probe_files(spark, path, suffix=".parquet").unionByName(probe_files(spark, os.path.join(path, "broken"), suffix=".txt"))
+    folder = F.regexp_extract("path", r"category=([^/]*)/", 1)
+    return found.groupBy(folder.alias("category"), "readable", "error").agg(F.sum("n_rows").alias("n_rows"))

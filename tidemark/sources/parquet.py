@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.sources.files import list_files
+from tidemark.session import stored
+from tidemark.sources.files import file_id, list_files, literal
 from tidemark.state import attempts
 
 PARTITION_TYPES = {
@@ -56,10 +57,36 @@ def read_category(spark: SparkSession, root: str, category: str) -> DataFrame:
 
 
 def read_first_files(spark: SparkSession, root: str, n: int = 5, suffix: str = ".parquet") -> DataFrame:
-    """The first ``n`` files by path; one that cannot be read is skipped."""
+    """The first ``n`` files by path; one that cannot be read is skipped. :func:`probe_files` tells which these are."""
     chosen = [r.path for r in list_files(spark, root, suffix).orderBy("path").limit(n).select("path").collect()]
     if not chosen:
         raise FileNotFoundError(f"no *{suffix} file in {root}")
     return (
         spark.read.option("ignoreCorruptFiles", True).option("basePath", root).option("mergeSchema", True).parquet(*chosen)
     )
+
+
+def probe_files(spark: SparkSession, root: str, suffix: str = ".parquet") -> DataFrame:
+    """One row per file below ``root``: ``path``, ``source_file``, ``n_rows``, ``readable`` and the ``error``, found in tasks.
+
+    Footers are read for all files. Only those that give no row, which are empty or broken, are opened besides,
+    to look for the marks at both ends. A page that is broken within a file is not found.
+    """
+    listed = list_files(spark, root, suffix).select("path", "source_file", "length", file_id(F.col("path")).alias("_id"))
+    rows = spark.read.option("ignoreCorruptFiles", True).option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}")
+    # The schema is not asked for: no column is read, and one file that is broken cannot stop the others.
+    counted = rows.schema("_none INT").parquet(root).select(file_id(F.col("_metadata.file_path"), encoded=True).alias("_id"))
+    found = stored(listed.join(counted.groupBy("_id").agg(F.count("*").alias("n_rows")), "_id", "left"), "footers")
+    silent = [r.path for r in found.where("n_rows IS NULL").select("path").collect()]
+    ends = spark.createDataFrame([], "_id STRING, marked BOOLEAN")
+    if silent:
+        content = spark.read.format("binaryFile").load([literal(p) for p in silent])
+        mark = F.lit(b"PAR1")
+        marked = (F.substring("content", 1, 4) == mark) & (F.substring("content", -4, 4) == mark) & (F.col("length") > 8)
+        ends = content.select(file_id(F.col("path")).alias("_id"), marked.alias("marked"))
+    error = F.when(F.col("length") == 0, "empty file").when(~F.col("readable"), "no footer")
+    return (
+        found.join(ends, "_id", "left")
+        .withColumn("readable", F.col("n_rows").isNotNull() | F.coalesce("marked", F.lit(False)))
+        .select("path", "source_file", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), "readable", error.alias("error"))
+    )
