@@ -181,17 +181,18 @@ def _line_texts(rows: DataFrame, members: DataFrame, shingle: int, bands: int, i
 def pair_jaccards(x: pa.Array, y: pa.Array, size: int) -> np.ndarray:
     """Jaccard similarity of the sets of strings of ``size`` letters in the lines of each pair.
 
-    A string is known by 54 bits of its hash, beside the number of its pair: sorting finds what both sides have.
+    A string is known by 53 bits of its hash, between the number of its pair and its side: sorting brings both sides together.
     """
     out = np.zeros(len(x))
     for a in range(0, len(x), 1000):
         n = len(x.slice(a, 1000))
-        sides = []
-        for lines in (x, y):
+        parts = []
+        for side, lines in enumerate((x, y)):
             made, line = _shingles(lines.slice(a, 1000), size)
-            sides.append(np.unique((made >> np.uint64(10)) | (line.astype(np.uint64) << np.uint64(54))))
-        both = np.sort(np.concatenate(sides), kind="stable")
-        again = both[1:][both[1:] == both[:-1]]
+            parts.append((made >> np.uint64(11) << np.uint64(1)) | (line.astype(np.uint64) << np.uint64(54)) | np.uint64(side))
+        both = np.sort(np.concatenate(parts))
+        both = both[np.append(True, both[1:] != both[:-1])] if len(both) else both
+        again = both[1:][(both[1:] ^ both[:-1]) == np.uint64(1)]
         shared = np.bincount((again >> np.uint64(54)).astype(np.int64), minlength=n)
         total = np.bincount((both >> np.uint64(54)).astype(np.int64), minlength=n) - shared
         out[a : a + n] = shared / np.maximum(total, 1)
