@@ -25,7 +25,7 @@ DIMENSIONS = 1024
 SEED = 20_240_203
 UNKNOWN = "und"
 # A limit comes from so many texts at least, and is this share of the smallest cosine among them.
-LEAST_TEXTS, LIMIT_SHARE = 20, 0.8
+LEAST_TEXTS, LIMIT_SHARE = 20, 0.6
 # A text's triples have this total weight in its language's profile; whole numbers add up alike in any order.
 TEXT_WEIGHT = 1 << 20
 HELD_TRIPLES = 100_000
@@ -170,11 +170,11 @@ def learn_profiles(
 
 
 def _predict(texts: list[str | None], model: Profiles) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Language, cosine and number of triples of each text."""
+    """Language, cosine and number of distinct triples of each text."""
     dimensions = model.vectors.shape[1]
     answer, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
     triples, text = letter_triples([t or "" for t in texts])
-    size = np.bincount(text, minlength=len(texts))
+    size = np.zeros(len(texts), np.int64)
     if not len(triples) or not model.languages:
         return answer, score, size
     distinct, at = np.unique(triples, return_inverse=True)
@@ -185,7 +185,9 @@ def _predict(texts: list[str | None], model: Profiles) -> tuple[list[str], np.nd
         b = min(len(texts), a + step)
         lo, hi = np.searchsorted(text, (a, b))
         counts = np.bincount((text[lo:hi] - a) * len(distinct) + at[lo:hi], minlength=(b - a) * len(distinct))
-        bundle = counts.reshape(b - a, len(distinct)).astype(np.float32) @ vectors
+        counts = counts.reshape(b - a, len(distinct))
+        size[a:b] = np.count_nonzero(counts, axis=1)
+        bundle = counts.astype(np.float32) @ vectors
         length = np.linalg.norm(bundle, axis=1)
         cosine = bundle @ profiles / np.where(length > 0, length, 1)[:, None]
         best = cosine.argmax(axis=1)
@@ -197,7 +199,7 @@ def _predict(texts: list[str | None], model: Profiles) -> tuple[list[str], np.nd
 
 
 def predict_language(text: Column | str, model: Profiles) -> Column:
-    """A struct of ``lang_pred``, ``score``, the cosine with that language, 0 to 1, and ``n_triples``.
+    """A struct of ``lang_pred``, ``score``, the cosine with that language, 0 to 1, and ``n_triples``, the distinct ones.
 
     A text that is null or has no letter is ``und`` with 0; so is every text if no language was learned.
     """
@@ -231,7 +233,7 @@ def keep_languages(
     """The rows of ``docs``, all columns, whose text has a language. Texts without letters go.
 
     With ``learn``, texts that are like no language learned go too. The cosine of a short clean text is as small as that of
-    noise, so what is asked for depends on the number of triples: of texts between two powers of two it is ``share`` of
+    noise, so what is asked for depends on the number of distinct triples: of texts between two powers of two it is ``share`` of
     the smallest cosine among the texts with a language for which ``learn`` holds. Where these are fewer than
     ``least_texts``, nothing is asked for. If no language was learned, only texts without letters go.
     """
