@@ -235,7 +235,7 @@ def keep_languages(
     With ``learn``, texts that are like no language learned go too. The cosine of a short clean text is as small as that of
     noise, so what is asked for depends on the number of distinct triples: of texts between two powers of two it is ``share`` of
     the smallest cosine among the texts with a language for which ``learn`` holds. Where these are fewer than
-    ``least_texts``, nothing is asked for. If no language was learned, only texts without letters go.
+    ``least_texts``, it is as for the next smaller size with enough of them, and nothing if there is none. If no language was learned, only texts without letters go.
     """
     if not model.languages:
         return docs.where(F.col(f"`{text_col}`").cast("string").rlike(r"\p{L}"))
@@ -246,11 +246,13 @@ def keep_languages(
     known = F.coalesce(learn & F.col(f"`{lang_col}`").isNotNull(), F.lit(False)).alias("_learn")
     scored = stored(docs.select(row, found.alias("_found"), known), "languages").where(F.col("_found.lang_pred") != UNKNOWN)
     scored = scored.withColumn("_size", F.floor(F.log2(F.greatest(F.col("_found.n_triples"), F.lit(1)))))
-    # A row per power of two.
-    limits = scored.where("_learn").groupBy("_size").agg(F.min("_found.score").alias("_least"), F.count("*").alias("_n"))
-    limits = F.broadcast(limits.where(F.col("_n") >= least_texts).drop("_n"))
-    kept = scored.join(limits, "_size", "left").where(F.col("_found.score") >= F.coalesce(F.col("_least") * share, F.lit(0.0)))
-    return kept.select("_row.*")
+    # A row per power of two comes to the driver.
+    least = scored.where("_learn").groupBy("_size").agg(F.min("_found.score").alias("least"), F.count("*").alias("n")).collect()
+    known = {r["_size"]: share * r["least"] for r in least if r["n"] >= least_texts}
+    limit = F.lit(0.0)
+    for size in sorted(known):
+        limit = F.when(F.col("_size") >= size, known[size]).otherwise(limit)
+    return scored.where(F.col("_found.score") >= limit).select("_row.*")
 
 
 def remainder(id_col: str, parts: int) -> Column:
