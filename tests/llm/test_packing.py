@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import defaultdict
 
@@ -8,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tidemark.llm import packing
+from tidemark.llm import packing, tokens
 from tidemark.llm.frames import bounded
 from tidemark.llm.packing import TIERS, pack, pack_documents, step_groups
 from tidemark.llm.queries import op1_hierarchical_packing
@@ -97,3 +98,16 @@ def test_packing_of_the_table(spark, sf):
     docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     rows = [r.asDict() for r in op1_hierarchical_packing(spark, sf).collect()]
     assert check(rows, docs) <= 2048
+
+
+@pytest.mark.parametrize("most", [5, 40, 1000])
+def test_encoder_forgets_rare_pieces_only(monkeypatch, most):
+    monkeypatch.setattr(tokens, "REMEMBERED", most)
+    made, pick = tokens.PieceEncoder(tokens.WORD_MODEL), random.Random(3)
+    common = ["the", "of", "a", "Straße,", "end."]
+    for n in range(12):
+        texts = [" ".join(pick.choice(common) if pick.random() < 0.7 else f"w{pick.randrange(10**6)}x" for _ in range(30)) for _ in range(4)] + [None, ""]
+        ids, count = made.encode(pa.array(texts, pa.string()))
+        want = [made.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert count.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+        assert n < 2 or most < 1000 or made.again.sum() >= len(common)
