@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tidemark.llm import packing, tokens
+from tidemark.llm import hashing, packing, tokens
 from tidemark.llm.frames import bounded
 from tidemark.llm.packing import TIERS, pack, pack_documents, step_groups
 from tidemark.llm.queries import op1_hierarchical_packing
@@ -111,3 +111,16 @@ def test_encoder_forgets_rare_pieces_only(monkeypatch, most):
         want = [made.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
         assert count.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
         assert n < 2 or most < 1000 or made.again.sum() >= len(common)
+
+
+def test_words_that_every_polynomial_takes_for_equal():
+    """The Thue-Morse word and its complement."""
+    bits = [bin(i).count("1") % 2 for i in range(2048)]
+    words = ["".join("ab"[b ^ flip] for b in bits) for flip in (0, 1)]
+    made = tokens.PieceEncoder(tokens.WORD_MODEL)
+    for texts in ([words[0], words[1]], [words[1]], [words[0]]):
+        ids, count = made.encode(pa.array(texts))
+        assert ids.tolist() == [i for t in texts for i in made.tokenizer.encode(t, add_special_tokens=False).ids]
+    data, begins = hashing.flat(pa.array(words))
+    for seed in (0, 0x5DEECE66D):
+        assert len(set(hashing.span_hashes(data, begins[:-1], begins[1:], seed).tolist())) == 2

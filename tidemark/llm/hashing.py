@@ -8,7 +8,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
+# Polynomials modulo 2^64 have collisions that hold for every base, between texts of 1,024 bytes and more. Spans from this
+# length on get a hash of another kind.
+LONG_SPAN = 256
 _ONE = np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -51,7 +55,12 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: in
     table = mix(_BYTE + np.uint64(seed))
     np.cumsum(table[data] * _grown("up", _BASE, len(data)), out=sums[1:])
     down = _grown("down", _BASE_INVERSE, len(data) + 1)
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    out = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    long = np.flatnonzero(ends - starts >= LONG_SPAN)
+    if len(long):
+        raw = memoryview(np.ascontiguousarray(data))
+        out[long] = [xxhash.xxh3_64_intdigest(raw[a:b], seed) for a, b in zip(starts[long].tolist(), ends[long].tolist())]
+    return out
 
 
 # Space, tab, line feed, vertical tab, form feed, carriage return.
