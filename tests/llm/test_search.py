@@ -94,6 +94,8 @@ def exact_matches(docs, items, budget=0.1, least=32):
     for d, text in docs:
         for i, item in items:
             a, b = plain(item), plain(text)
+            if 8 <= len(a) < least and f" {a} " in f" {b} ":
+                out.append((d, i, 0, len(a)))
             if len(a) >= least and b and (n := distance_by_table(a, b)) <= int(budget * len(a)):
                 out.append((d, i, n, len(a)))
     return Counter(out)
@@ -129,7 +131,7 @@ def distance_whole(a, b):
 def test_edit_matches_of_odd_rows(spark, monkeypatch):
     pick = random.Random(5)
     word = lambda: "".join(pick.choices("abcdefgh", k=pick.randrange(2, 8)))
-    items = [(n, " ".join(word() for _ in range(14))) for n in range(6)] + [(6, "too short"), (7, None), (8, ""), (None, "a null id has this item text, long enough")]
+    items = [(n, " ".join(word() for _ in range(14))) for n in range(6)] + [(6, "Too short?"), (10, "tiny"), (11, "第一章的题目是什么"), (7, None), (8, ""), (None, "a null id has this item text, long enough")]
     items.append((9, items[0][1].upper() + "!"))
     docs = []
     for n in range(40):
@@ -138,7 +140,8 @@ def test_edit_matches_of_odd_rows(spark, monkeypatch):
             at = pick.randrange(len(text))
             text[at : at + pick.randrange(2)] = pick.choice(["", "x", "yz"])
         docs.append((n, "".join(text)))
-    docs += [(100, None), (101, ""), (None, items[3][1]), (102, items[2][1]), (102, items[2][1]), (103, items[9][1] + " tail"), (104, items[1][1][:40])]
+    docs += [(100, None), (101, ""), (None, items[3][1]), (102, items[2][1]), (102, items[2][1]), (103, items[11][1] + " tail"), (104, items[1][1][:40])]
+    docs += [(105, "it is too short."), (106, "tattoo short"), (107, "too shorts, too  SHORT"), (108, "问：第一章的题目是什么？ tiny"), (109, "too short")]
     df = bounded(spark).createDataFrame([(*d, 5) for d in docs], "doc_id long, text string, item_id int").repartition(3)
     bench = spark.createDataFrame([(*i, "x") for i in items], "item_id long, text string, doc_id string")
     want = exact_matches(docs, items)

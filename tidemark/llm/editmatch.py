@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 
 # Edits allowed for each character of an item.
 BUDGET = 0.1
-# Shorter items are common phrases and match by chance.
-LEAST_CHARS = 32
+# Shorter items would match by chance: they may have no edits and must stand between words. Of less than the second number
+# are words and short phrases that clean texts have too.
+LEAST_CHARS, SHORTEST = 32, 8
 GROUP = 4
 # Characters of items in one automaton; more items are looked for in several passes.
 BLOCK_CHARS = 2_000_000
@@ -85,9 +86,13 @@ class Items:
     texts: tuple[str, ...]
     ids: tuple[tuple[int | None, ...], ...]
     budget: float
+    least_chars: int = LEAST_CHARS
+
+    def is_short(self, n: int) -> bool:
+        return len(self.texts[n]) < self.least_chars
 
     def errors(self, n: int) -> int:
-        return math.floor(self.budget * len(self.texts[n]))
+        return 0 if self.is_short(n) else math.floor(self.budget * len(self.texts[n]))
 
 
 class _Finder:
@@ -127,6 +132,8 @@ class _Finder:
                 for n, at, behind in where:
                     if behind is not None and not begins_nearly(text, end + 1, behind):
                         continue
+                    if self.items.is_short(n) and (text[end + 1 : end + 2].strip() or text[max(0, end - size) : end + 1 - size].strip()):
+                        continue
                     hits.setdefault(n, []).append(end + 1 - size - at)
         found = []
         for n, starts in hits.items():
@@ -151,11 +158,11 @@ def _finder(items: Items) -> _Finder:
 
 def item_blocks(
     benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", budget: float = BUDGET,
-    least_chars: int = LEAST_CHARS, block_chars: int = BLOCK_CHARS,
+    least_chars: int = LEAST_CHARS, block_chars: int = BLOCK_CHARS, shortest: int = SHORTEST,
 ) -> list[Items]:
     """Items in blocks of about ``block_chars`` characters, so that an automaton is of bounded size."""
     items = benchmark.select(F.col(id_col).cast("long").alias("id"), plain(F.col(text_col)).alias("text"))
-    items = items.where(F.length("text") >= least_chars)
+    items = items.where(F.length("text") >= shortest)
     total = items.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
     blocks = math.ceil(total / block_chars)
     out = []
@@ -166,7 +173,7 @@ def item_blocks(
         for r in rows:
             by_text.setdefault(r["text"], []).append(r["id"])
         texts = tuple(sorted(by_text))
-        out.append(Items(texts, tuple(tuple(sorted(by_text[t], key=lambda i: (i is None, i))) for t in texts), budget))
+        out.append(Items(texts, tuple(tuple(sorted(by_text[t], key=lambda i: (i is None, i))) for t in texts), budget, least_chars))
     return out
 
 
@@ -197,8 +204,8 @@ def benchmark_matches(
     """One row per document and item in it: id, ``item_id``, the smallest ``distance`` and the item's ``item_chars``.
 
     Distances are edits between plain texts: letters and digits in lower case, single spaces. An item
-    of ``n`` characters may have ``floor(budget * n)``; items under ``least_chars`` characters, null
-    ones too, match nothing. Null and empty documents have no matches. Repeated rows, null ids and
+    of ``n`` characters may have ``floor(budget * n)``; one under ``least_chars`` characters none, and it
+    must stand between words. Items under ``shortest`` characters, null ones too, match nothing. Null and empty documents have no matches. Repeated rows, null ids and
     items with equal texts are each reported.
     """
     text = plain(F.col(text_col)).alias("_plain")
