@@ -70,7 +70,8 @@ def probe_files(spark: SparkSession, root: str, suffix: str = ".parquet") -> Dat
     """One row per file below ``root``: ``path``, ``source_file``, ``n_rows``, ``readable`` and the ``error``, found in tasks.
 
     Footers are read for all files. Only those that give no row, which are empty or broken, are opened besides,
-    to look for the marks at both ends. A page that is broken within a file is not found.
+    to look for the marks at both ends. A page that is broken within a file is not found, and a file without any
+    bytes is not listed.
     """
     listed = list_files(spark, root, suffix).select("path", "source_file", "length", file_id(F.col("path")).alias("_id"))
     rows = spark.read.option("ignoreCorruptFiles", True).option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}")
@@ -84,7 +85,7 @@ def probe_files(spark: SparkSession, root: str, suffix: str = ".parquet") -> Dat
         mark = F.lit(b"PAR1")
         marked = (F.substring("content", 1, 4) == mark) & (F.substring("content", -4, 4) == mark) & (F.col("length") > 8)
         ends = content.select(file_id(F.col("path")).alias("_id"), marked.alias("marked"))
-    error = F.when(F.col("length") == 0, "empty file").when(~F.col("readable"), "no footer")
+    error = F.when(~F.col("readable"), "no footer")
     return (
         found.join(ends, "_id", "left")
         .withColumn("readable", F.col("n_rows").isNotNull() | F.coalesce("marked", F.lit(False)))
