@@ -37,6 +37,7 @@ STAY_BYTES = 40
 LOOKS = 8
 # Lines whose registers are made at once: bounds memory, not results.
 BLOCK_LINES = 2_048
+TEXT_PAIRS = 500
 _SECOND_SEED = 0x5DEECE66D
 
 
@@ -227,7 +228,12 @@ def _across(members: DataFrame, label: DataFrame, lines: DataFrame, shingle: int
             return unlike(sketch[i], sketch[j]) <= SKETCH_REGISTERS - SKETCH_LEAST
 
         def alike(i: np.ndarray, j: np.ndarray) -> np.ndarray:
-            return pair_jaccards(texts.take(pa.array(i)), texts.take(pa.array(j)), shingle) >= threshold
+            keep = np.zeros(len(i), bool)
+            # The texts of few pairs at a time: a line is copied for each pair it is in.
+            for a in range(0, len(i), TEXT_PAIRS):
+                x, y = (texts.take(pa.array(k[a : a + TEXT_PAIRS])) for k in (i, j))
+                keep[a : a + TEXT_PAIRS] = pair_jaccards(x, y, shingle) >= threshold
+            return keep
 
         return near, alike
 
