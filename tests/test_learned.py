@@ -1,6 +1,7 @@
 """Learned sentiment, the passage index and baskets, each against a plain version."""
 
 import math
+import os
 import random
 import re
 from collections import Counter, defaultdict
@@ -11,6 +12,7 @@ from tidemark.functions import learned
 from tidemark.functions.sentiment import with_sentiment
 from tidemark.plans.baskets import bought_together, pair_counts
 from tidemark.plans.passage_index import build_index, candidates, nearest_passages, _asked
+from tidemark.session import shared_folder
 
 GOOD, BAD, PLAIN = ["lovely", "great", "sturdy"], ["awful", "cracked", "great for nothing"], ["it", "is", "a", "thing", "the", "box"]
 
@@ -147,3 +149,25 @@ def test_one_very_large_basket(spark):
     small = spark.range(300).selectExpr("concat('s', id % 3) AS basket", "id * 7 AS item")
     got = pair_counts(large.union(small), "basket", "item")
     assert got.count() == 3 * (100 * 99 // 2) and got.where("together != 2").isEmpty()
+
+
+def test_passage_index_is_small(spark):
+    """Postings are written once, in a few bytes each, and not shuffled."""
+    pick = random.Random(5)
+    texts = [(i, " ".join(f"w{int(pick.expovariate(0.01))}" for _ in range(100))) for i in range(4000)]
+    folder = shared_folder(spark)
+    size = lambda: sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(folder) for f in names)
+    before = size()
+    index = build_index(spark.createDataFrame(texts, "id long, body string"), "id", "body")
+    assert size() - before < 4 * index.postings.count()
+
+
+def test_passages_of_repeated_and_missing_keys(spark):
+    """Rows of one key count as one passage, those without a key are counted but not found."""
+    texts = [(1, "a b"), (2, "a c"), (1, "a b"), (None, "a b"), (3, "d e"), (4, "f"), (5, "g"), (6, "h"), (7, "i")]
+    asked = spark.createDataFrame([(9, "a b")], "q long, ask string")
+    once = build_index(spark.createDataFrame(texts, "id long, body string"), "id", "body")
+    found = [(r.id, r.score) for r in nearest_passages(once, asked, "q", "ask").orderBy("rank").collect()]
+    weight = lambda df: math.floor(1000 * math.log(1 + (9 - df + 0.5) / (df + 0.5)))
+    impact = 2_200_000 // (1000 + 12 * (250 + 750 * 2 * 9 // 14) // 10)
+    assert found == [(1, 2 * impact * (weight(4) + weight(3))), (2, impact * weight(4))]
