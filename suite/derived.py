@@ -9,12 +9,12 @@ import os
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.operators.clean import coerce
 from tidemark.plans.ingest import ALL, IngestConfig, IngestResult, ingest
 from tidemark.session import scratch_path
+from tidemark.sinks.text import write_sorted_text
 from tidemark.sources.tsv import read_headers
 from tidemark.sources.files import list_files
 from tidemark.functions.scalars import null_if_token
@@ -100,19 +100,20 @@ def once(spark: SparkSession, sf_dir: str, name: str, make):
 def dump(spark: SparkSession, sf_dir: str) -> str:
     """Folder with the reviews as delimited files, lines of a file in ``seq`` order.
 
-    Some lines have a field too many or too few, some are followed by a blank line. A file is
-    sorted by one task, so the number of files grows with the rows.
+    Some lines have a field too many or too few, some are followed by a blank line. A file is written by
+    one task, so the number of files grows with the rows. That task sorts no lines: ranges of them are
+    sorted by many tasks, and it gets them packed.
     """
 
     def make() -> str:
         slots = 2 + table(spark, sf_dir, "lineitem").count() // ROWS_PER_FILE
-        named = reviews(spark, sf_dir).withColumn(
-            "dump",
-            F.concat(
-                F.lit("amazon_reviews_us_"), "product_category", F.lit("_v1_"),
-                F.format_string("%02d", F.col("_spread") % slots), F.lit(".tsv"),
-            ),
-        )
+        types = sorted(r.p_type for r in table(spark, sf_dir, "part").select("p_type").distinct().collect() if r.p_type is not None)
+        # A number per category and slot, from which the name follows; a remainder may be below zero, and the last one is for none.
+        span = 2 * slots
+        number = (F.array_position(F.array(*map(F.lit, types)), F.col("product_category")) - 1) * span + F.coalesce(F.col("_spread") % slots + slots - 1, F.lit(span - 1))
+        kind = F.get(F.array(*map(F.lit, types)), F.floor(F.col("number") / span).cast("int"))
+        slot = F.format_string("%02d", F.when(F.col("number") % span < span - 1, F.col("number") % span - (slots - 1)))
+        name = F.when(F.col("number").isNotNull(), F.concat(F.lit("amazon_reviews_us_"), kind, F.lit("_v1_"), slot, F.lit(".tsv")))
         whole = F.concat_ws("\t", *FIELDS)
         line = (
             F.when(F.col("_part") % 97 == 0, F.concat_ws("\t", whole, F.lit("extra")))
@@ -122,13 +123,10 @@ def dump(spark: SparkSession, sf_dir: str) -> str:
         line = F.when(F.col("_part") % 83 == 0, F.concat(line, F.lit("\n"))).otherwise(line)
         header = "\t".join(FIELDS)
         broken = "\t".join(BROKEN_FIELD if f == "review_headline" else f for f in FIELDS)
-        first = F.when(F.col("dump") == BROKEN_FILE, broken + "\n").otherwise(header + "\n")
-        place = F.row_number().over(W.partitionBy("dump").orderBy(*TIE))
-        lines = named.withColumn("place", place).select(
-            "dump", F.when(F.col("place") == 1, F.concat(first, line)).otherwise(line).alias("value")
-        )
+        head = F.when(F.col("dump") == BROKEN_FILE, broken).otherwise(header)
         path = scratch_path(spark, "dump")
-        lines.write.partitionBy("dump").text(path)
+        lines = reviews(spark, sf_dir).select(number.cast("int").alias("number"), *TIE, line.alias("line"))
+        write_sorted_text(lines, path, {"dump": name, "head": head}, len(types) * span, order=TIE)
         return path
 
     return once(spark, sf_dir, "dump", make)
