@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from suite import derived as D
 from tidemark.session import scratch_path
+from tidemark.sinks.tables import write_partitioned
 from tidemark.sinks.text import write_sorted_text
 
 
@@ -48,3 +49,20 @@ def test_dump_needs_no_task_for_a_file(spark, sf, monkeypatch):
     assert all(len(files) == 1 for files in found.values())
     lines = [x for files in found.values() for x in files[0].split("\n") if x]
     assert len(lines) == len(found) + D.reviews(spark, sf).count()
+
+
+def test_partitions_are_written_without_a_sort(spark, monkeypatch):
+    """A task of a rebalanced table has few partitions; before, all its rows were sorted by partition."""
+    path, seen = scratch_path(spark, "unsorted"), []
+    writer = type(spark.range(1).write)
+    wrote = writer.parquet
+
+    def watched(self, *args, **named):
+        seen.append(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters"))
+        return wrote(self, *args, **named)
+
+    monkeypatch.setattr(writer, "parquet", watched)
+    rows = spark.range(1000).selectExpr("id", "id % 30 AS part")
+    write_partitioned(rows, path, ["part"])
+    assert seen == ["8"] and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+    assert sorted(tuple(r) for r in spark.read.parquet(path).select("id", "part").collect()) == [(i, i % 30) for i in range(1000)]

@@ -6,8 +6,9 @@ import os
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,9 @@ DEFAULTS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+# Output files that a task writes at once; the writer sorts the rows that are left where there are more.
+OPEN_FILES = 8
+
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf: object) -> SparkSession:
     """A session with the settings the library is written for; ``conf`` keys use ``__`` for ``.``."""
@@ -40,6 +44,19 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, object]) -> Iterator[None]:
+    """Session settings for the plans that are run inside."""
+    before = {key: spark.conf.get(key) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, str(value))
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 _shipped: set[str] = set()
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import constants as C
-from tidemark.session import remove_all
+from tidemark.session import OPEN_FILES, remove_all, settings
 
 QUARANTINE_SCHEMA = "source_file STRING, reason STRING, failed_at TIMESTAMP, record STRING"
 
@@ -23,16 +23,20 @@ def spread(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def write_partitioned(
     df: DataFrame, root: str, layout: Sequence[str] = C.LAYOUT, *, max_rows: int = 0, rebalance: bool = True
 ) -> None:
-    """Replace the output partitions the rows belong to; all other partitions stay."""
+    """Replace the output partitions the rows belong to; all other partitions stay.
+
+    Rebalanced, a task has few partitions, and no need to sort its rows by partition.
+    """
     out = spread(df, layout) if rebalance else df
-    (
-        out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", C.COMPRESSION)
-        .option("maxRecordsPerFile", max_rows)
-        .partitionBy(*layout)
-        .parquet(root)
-    )
+    with settings(df.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": OPEN_FILES if rebalance else 0}):
+        (
+            out.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", C.COMPRESSION)
+            .option("maxRecordsPerFile", max_rows)
+            .partitionBy(*layout)
+            .parquet(root)
+        )
 
 
 def _folder(spark: SparkSession, column: str, value: str) -> str:

@@ -10,15 +10,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import ship_package
+from tidemark.session import OPEN_FILES, settings, ship_package
 
 CODEC = "zstd"
 # Lines that are packed together, at most.
 LINES = 2000
 # Packs that a worker gets at once, in bytes.
 BATCH_BYTES = 16 << 20
-# Files that a task writes at once; the writer sorts what it is given where there are more.
-OPEN_FILES = 8
 
 
 def write_sorted_text(lines: DataFrame, path: str, names: Mapping[str, Column], files: int, *, order: Sequence[str]) -> None:
@@ -31,24 +29,18 @@ def write_sorted_text(lines: DataFrame, path: str, names: Mapping[str, Column],
     ship_package(spark)
     place = ["number", *order]
     ranges = lines.repartitionByRange(*place).sortWithinPartitions(*place).select("number", "line")
-    settings = {
+    folder = next(iter(names))
+    values = {
         "spark.sql.execution.arrow.maxRecordsPerBatch": LINES, "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES,
         "spark.sql.maxConcurrentOutputFileWriters": OPEN_FILES,
     }
-    before = {key: spark.conf.get(key) for key in settings}
-    folder = next(iter(names))
-    try:
-        for key, value in settings.items():
-            spark.conf.set(key, str(value))
+    with settings(spark, values):
         packs = ranges.mapInArrow(_pack, "number INT, part INT, nth INT, size INT, pack BINARY")
         packs = packs.repartitionById(files + 1, F.coalesce("number", F.lit(files))).sortWithinPartitions("number", "part", "nth")
         for name, value in names.items():
             packs = packs.withColumn(name, value)
         text = packs.select("number", *names, "size", "pack").mapInArrow(_unpack, f"`{folder}` STRING, value STRING")
         text.write.partitionBy(folder).text(path)
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
