@@ -33,6 +33,8 @@ DUMP_NAME = r"dump=([^/]+)/[^/]+$"
 BROKEN_FILE = "amazon_reviews_us_PROMO_v1_01.tsv"
 BROKEN_FIELD = "headline"
 ROWS_PER_FILE = 120_000_000
+# Rows of a range that is sorted by one task; there are no fewer ranges than the session has partitions.
+ROWS_PER_RANGE = 400_000
 TIE = ("seq", "review_id", "product_id")
 
 
@@ -106,7 +108,8 @@ def dump(spark: SparkSession, sf_dir: str) -> str:
     """
 
     def make() -> str:
-        slots = 2 + table(spark, sf_dir, "lineitem").count() // ROWS_PER_FILE
+        rows = table(spark, sf_dir, "lineitem").count()
+        slots = 2 + rows // ROWS_PER_FILE
         types = sorted(r.p_type for r in table(spark, sf_dir, "part").select("p_type").distinct().collect() if r.p_type is not None)
         # A number per category and slot, from which the name follows; a remainder may be below zero, and the last one is for none.
         span = 2 * slots
@@ -126,7 +129,7 @@ def dump(spark: SparkSession, sf_dir: str) -> str:
         head = F.when(F.col("dump") == BROKEN_FILE, broken).otherwise(header)
         path = scratch_path(spark, "dump")
         lines = reviews(spark, sf_dir).select(number.cast("int").alias("number"), *TIE, line.alias("line"))
-        write_sorted_text(lines, path, {"dump": name, "head": head}, len(types) * span, order=TIE)
+        write_sorted_text(lines, path, {"dump": name, "head": head}, len(types) * span, order=TIE, parts=1 + rows // ROWS_PER_RANGE)
         return path
 
     return once(spark, sf_dir, "dump", make)

@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from suite import derived as D
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, tune
 from tidemark.sinks.tables import write_partitioned
 from tidemark.sinks.text import write_sorted_text
 
@@ -66,3 +66,36 @@ def test_partitions_are_written_without_a_sort(spark, monkeypatch):
     write_partitioned(rows, path, ["part"])
     assert seen == ["8"] and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
     assert sorted(tuple(r) for r in spark.read.parquet(path).select("id", "part").collect()) == [(i, i % 30) for i in range(1000)]
+
+
+def test_ranges_follow_the_rows(spark, monkeypatch):
+    """A session of few partitions sorts no larger ranges; before, there were no more ranges than it had partitions."""
+    rows = spark.range(4000).select(F.lit(0).alias("number"), F.col("id").alias("a"), F.col("id").cast("string").alias("line"))
+    path, parts = scratch_path(spark, "ranges"), int(spark.conf.get("spark.sql.shuffle.partitions")) + 5
+    seen = []
+    dealt = type(rows).repartitionByRange
+
+    def watched(self, *args):
+        seen.append(args[0])
+        return dealt(self, *args)
+
+    monkeypatch.setattr(type(rows), "repartitionByRange", watched)
+    write_sorted_text(rows, path, {"f": F.lit("one"), "head": F.lit("first")}, 1, order=("a",), parts=parts)
+    assert seen == [parts]
+    assert read(path) == {"f=one": ["\n".join(["first", *map(str, range(4000))]) + "\n"]}
+
+
+def test_joins_of_reviews_sort_nothing(spark, sf):
+    """Where no side is broadcast, the side with small partitions is hashed; before, both sides were sorted."""
+    import __spark_entry__ as entry
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = entry.queries()["null_tokens"](spark, sf)
+        assert len(rows.collect()) == D.reviews(spark, sf).count()
+        plan = rows._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        tune(spark)
+    assert plan.count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in plan

@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from types import MappingProxyType
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +22,12 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # The JVM never compiles a generated method above this size; smaller pieces run much faster.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
 }
 
+# For joins of wide rows with narrow tables: the side with small partitions is hashed, so the other one is not sorted.
+HASH_JOINS = {"spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m"}
+
 # Output files that a task writes at once; the writer sorts the rows that are left where there are more.
 OPEN_FILES = 8
 
@@ -37,9 +42,9 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: obje
     return builder.getOrCreate()
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Give an existing session the defaults."""
-    for key, value in DEFAULTS.items():
+def tune(spark: SparkSession, more: Mapping[str, str] = MappingProxyType({})) -> SparkSession:
+    """Give an existing session the defaults, and ``more`` in place of some."""
+    for key, value in {**DEFAULTS, **more}.items():
         spark.conf.set(key, value)
     return spark
 

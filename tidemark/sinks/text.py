@@ -19,16 +19,22 @@ LINES = 2000
 BATCH_BYTES = 16 << 20
 
 
-def write_sorted_text(lines: DataFrame, path: str, names: Mapping[str, Column], files: int, *, order: Sequence[str]) -> None:
+def write_sorted_text(
+    lines: DataFrame, path: str, names: Mapping[str, Column], files: int, *, order: Sequence[str], parts: int = 1
+) -> None:
     """Write ``line`` to one file per ``number`` (0 to ``files`` - 1, or null) with its lines in order.
 
     ``names`` has two columns, worked out from ``number``: the name of the file, which becomes a folder, and its first line. Ranges of
     lines are sorted by many tasks; packed, they go to the task that writes their file, which so neither sorts nor holds them.
+    There are ``parts`` ranges, or as many as the session has partitions if these are more.
     """
     spark = lines.sparkSession
     ship_package(spark)
     place = ["number", *order]
-    ranges = lines.repartitionByRange(*place).sortWithinPartitions(*place).select("number", "line")
+    # Asked for by number, ranges are not put together to larger ones afterwards.
+    more = parts > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = lines.repartitionByRange(parts, *place) if more else lines.repartitionByRange(*place)
+    ranges = dealt.sortWithinPartitions(*place).select("number", "line")
     folder = next(iter(names))
     values = {
         "spark.sql.execution.arrow.maxRecordsPerBatch": LINES, "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES,
