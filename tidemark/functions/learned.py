@@ -1,8 +1,8 @@
 """Sentiment learned from star ratings: naive Bayes over words and pairs of words, counted, calibrated and applied in Spark.
 
 The model is counts, so fitting is one aggregation with a map-side combine, and weights are whole numbers of a millionth: scores
-are sums that come out alike in any order. A text is scored by joining its terms to the weights; a term that is in a
-third of all texts is one row there, so the skew join can split the texts. No Python runs.
+are sums that come out alike in any order. A text is scored by joining its terms to the weights. These are sent to the texts, so no term of
+a text is shuffled; of a larger model a term that is in a third of all texts is one row, so the skew join can split the texts. No Python runs.
 """
 
 from __future__ import annotations
@@ -12,11 +12,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import stored
+from tidemark.session import broadcast_if_small, stored
 
 MICRO = 1_000_000
 # Terms of fewer texts than this tell nothing.
 LEAST_TEXTS = 2
+# A model of up to this many terms (about 100 bytes each) is broadcast.
+BROADCAST_TERMS = 2_000_000
 SMOOTHING = 1.0
 # Calibration: one bin per so many millionths of a score, outer ones hold all beyond.
 BIN_WIDTH, BINS = 2_000_000, 10
@@ -78,7 +80,7 @@ def fit(rows: DataFrame, key: str, text: str, rating: str, *, pairs: bool = True
 def scores(rows: DataFrame, key: str, text: str, model: LearnedSentiment) -> DataFrame:
     """``key`` and ``score`` in millionths: above 0 is good. Keys are distinct; a null text has no row."""
     present = rows.where(F.col(text).isNotNull())
-    hit = _exploded(present, key, text, model.pairs).join(model.weights, "term")
+    hit = _exploded(present, key, text, model.pairs).join(broadcast_if_small(model.weights, BROADCAST_TERMS), "term")
     sums = hit.groupBy(key).agg(F.sum("weight").alias("_sum"))
     return present.select(key).join(sums, key, "left").select(key, (F.coalesce("_sum", F.lit(0)) + model.prior).alias("score"))
 
