@@ -63,16 +63,14 @@ def quoted_lines(spark: SparkSession, paths: Sequence[str], name_pattern: str =
 def _runs(batch: pa.RecordBatch) -> Iterator[tuple[str, int, list[str], pa.RecordBatch]]:
     """The lines of a batch, cut where the split changes."""
     path, block = batch.column("path"), batch.column("block")
-    start = 0
-    for i in range(1, batch.num_rows + 1):
-        if i == batch.num_rows or block[i] != block[start] or path[i] != path[start]:
-            part = batch.slice(start, i - start)
-            yield path[start].as_py(), block[start].as_py(), part.column("value").to_pylist(), part
-            start = i
+    starts = pc.indices_nonzero(_new_split(batch)).to_pylist()
+    for start, end in zip(starts, [*starts[1:], batch.num_rows]):
+        part = batch.slice(start, end - start)
+        yield path[start].as_py(), block[start].as_py(), part.column("value").to_pylist(), part
 
 
 def split_states(lines: DataFrame, sep: str) -> DataFrame:
-    """One row per split: ``path``, ``block`` and whether it begins ``inside`` a quoted field."""
+    """One row per split: ``path``, ``block``, whether it begins ``inside`` a quoted field, and whether a field goes over an end of it (``cut``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends: dict[tuple[str, int], list[bool]] = {}
@@ -96,15 +94,14 @@ def split_states(lines: DataFrame, sep: str) -> DataFrame:
     reported = lines.select("value", "path", "block").mapInArrow(run, "path string, block long, from_out boolean, from_in boolean")
     # A list per file, with an entry per split.
     files = reported.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("block", "from_out", "from_in"))).alias("splits"))
-    start = F.struct(F.lit(False).alias("state"), F.array().cast("array<struct<block: bigint, inside: boolean>>").alias("begins"))
+    start = F.struct(F.lit(False).alias("state"), F.array().cast("array<struct<block: bigint, inside: boolean, cut: boolean>>").alias("begins"))
+    ends = lambda acc, x: F.when(acc.state, x.from_in).otherwise(x.from_out)
+    begins = lambda acc, x: F.struct(x.block.alias("block"), acc.state.alias("inside"), (acc.state | ends(acc, x)).alias("cut"))
     scan = F.aggregate(
         "splits", start,
-        lambda acc, x: F.struct(
-            F.when(acc.state, x.from_in).otherwise(x.from_out).alias("state"),
-            F.concat(acc.begins, F.array(F.struct(x.block.alias("block"), acc.state.alias("inside")))).alias("begins"),
-        ),
+        lambda acc, x: F.struct(ends(acc, x).alias("state"), F.concat(acc.begins, F.array(begins(acc, x))).alias("begins")),
     )
-    return files.select("path", F.explode(scan.begins).alias("s")).select("path", "s.block", "s.inside")
+    return files.select("path", F.explode(scan.begins).alias("s")).select("path", "s.block", "s.inside", "s.cut")
 
 
 def _new_split(batch: pa.RecordBatch) -> pa.Array:
@@ -167,15 +164,16 @@ def quoted_records(spark: SparkSession, paths: Sequence[str], sep: str = "\t", *
     """
     ship_package(spark)
     lines = quoted_lines(spark, paths, name_pattern)
-    records = _records(lines, stored(split_states(lines, sep), "states"), sep)
-    pieces = records.where(F.col("kind") != WHOLE)
+    states = stored(split_states(lines, sep), "states")
+    # Pieces come only from splits that a field goes over the end of.
+    pieces = _records(lines, states.where("cut"), sep).where(F.col("kind") != WHOLE)
     # Of one split the end of a record comes before the beginning of another.
     in_file = W.partitionBy("path").orderBy("block", F.desc("kind")).rowsBetween(W.unboundedPreceding, W.currentRow)
     numbered = pieces.withColumn("number", F.sum((F.col("kind") == BEGINS).cast("int")).over(in_file))
     texts = F.transform(F.sort_array(F.collect_list(F.struct("block", "record"))), lambda x: x.record)
     whole = numbered.groupBy("source_file", "path", "number").agg(F.array_join(texts, "\n").alias("record"), F.max("first").alias("first"))
     columns = ["source_file", "record", "first"]
-    found = records.where(F.col("kind") == WHOLE).select(columns).union(whole.select(columns))
+    found = _records(lines, states, sep).where(F.col("kind") == WHOLE).select(columns).union(whole.select(columns))
     return found.withColumn("record", F.regexp_replace("record", r"\r$", "")).where(F.col("record").rlike(r"\S"))
 
 
