@@ -26,7 +26,7 @@ from tidemark.plans.baskets import bought_together as together
 from tidemark.plans.ingest import ingest_files, retire_files
 from tidemark.plans.passage_index import build_index
 from tidemark.plans.passage_index import nearest_passages as find_passages
-from tidemark.session import scratch_path, stored
+from tidemark.session import OPEN_FILES, scratch_path, settings, stored
 from tidemark.sinks import tables as K
 from tidemark.sources import tsv
 from tidemark.sources.categories import default_categories, read_categories
@@ -139,7 +139,9 @@ def scan_first_n_files(spark, sf):
         # One part per source file.
         path = scratch_path(spark, "parts")
         rows = _scan(spark, sf).select("source_file", "review_id", "product_id", "star_rating")
-        rows.repartition("source_file").write.partitionBy("source_file").parquet(path)
+        # A task has few files, so it writes them side by side and need not sort its rows.
+        with settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": OPEN_FILES}):
+            rows.repartition("source_file").write.partitionBy("source_file").parquet(path)
         return path
 
     return read_first_files(spark, D.once(spark, sf, "parts", make), 5)
@@ -748,7 +750,7 @@ def unreadable_files(spark, sf):
     def make():
         path = scratch_path(spark, "probed")
         rows = D.reviews(spark, sf).select("review_id", F.col("product_category").alias("category"))
-        rows.repartition("category").write.partitionBy("category").parquet(path)
+        K.write_partitioned(rows, path, ["category"])
         # One that is no file of this kind.
         spark.range(3).coalesce(1).selectExpr("concat('not a table ', id) AS value").write.text(os.path.join(path, "broken"))
         return path
