@@ -5,7 +5,8 @@ import pytest
 
 from pyspark.sql import functions as F
 from tests.llm import brute
-from tidemark.llm.frames import bounded
+from tidemark.llm import recurring
+from tidemark.llm.frames import bounded, map_packed, packed, record
 from tidemark.llm.phrases import drop_repeated_phrases
 from tidemark.llm.queries import op6_repeated_phrases, op10_repeated_strings
 from tidemark.llm.suffixes import common_prefixes, drop_repeated_strings, smaller_than_next, suffix_array
@@ -99,3 +100,29 @@ def test_sql(spark, sf, name):
 
     status, said = compare(spark, database(sf), sf, name)
     assert status == "ok" and "types" not in said, said
+
+
+def test_anchors_name_texts_by_their_smallest_id(spark, monkeypatch):
+    sent = []
+    before = recurring._recurring
+
+    def seen(rows, hot):
+        sent.append({r.who for r in rows.select("who").distinct().collect()})
+        return before(rows, hot)
+
+    monkeypatch.setattr(recurring, "_recurring", seen)
+    # A copy sends nothing; only texts that share their smallest id are named by a hash.
+    rows = [(1, PASSAGE), (2, "a " + PASSAGE), (3, PASSAGE), (4, "x" * 60), (4, "y" * 60), (None, "b " + PASSAGE)]
+    got = hashed(drop_repeated_strings(frame(spark, [(*r, 0) for r in rows])), "kept")
+    assert as_rows(got, "doc_id", "n_bytes", "n_removed", "n_spans", "sha") == Counter(brute.strings(rows))
+    assert {1, 2, (1 << 63) - 1} < sent[0] and len(sent[0]) == 5 and not {3, 4} & sent[0]
+
+
+def test_packed_texts(spark):
+    rows = [("", 1), ("é\0", 2), ("ab" * 900_000, 3), (PASSAGE * 300, 4)]
+    held = packed(bounded(spark).createDataFrame(rows, "text string, n long"), "text")
+    assert held.where("n = 3").selectExpr("length(text) < 1000").first()[0]
+    most = lambda b: record(n=b.column("n"), back=b.column("text"), rows=np.full(b.num_rows, b.num_rows))
+    got = {r.n: (bytes(r.back).decode(), r.rows) for r in map_packed(held.coalesce(1), "text", most, "n long, back binary, rows long").collect()}
+    # Cut by the size before packing: a long text is a piece of its own.
+    assert {n: b for n, (b, _) in got.items()} == {n: t for t, n in rows} and got[3][1] == 1

@@ -13,7 +13,8 @@ A window (13 words, 50 bytes) is found again in four steps, none of which looks
    the document of each occurrence with the smallest that has the window.
 
 Copies of a whole text take no part in this: all but those with the smallest id lose every window,
-and a text is looked up once. Texts are told apart by 128 bits, so ids may be null or repeat.
+and a text is looked up once. Texts are told apart by 128 bits, so ids may be null or repeat. Rows name a text
+by its smallest id, which shuffles better than a hash; texts that share that id are named by 64 bits.
 """
 
 from __future__ import annotations
@@ -28,7 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import hashing
-from tidemark.llm.frames import binaries, column, content_key, known_id, longs, map_slices, record, sorted_blocks, values
+from tidemark.llm.frames import binaries, column, content_key, known_id, longs, map_packed, packed, record, sorted_blocks, values
+from tidemark.session import stored
 
 # An anchor of more documents than this is hot.
 HOT_DOCUMENTS = 20_000
@@ -94,48 +96,48 @@ def _changes(*arrays: np.ndarray) -> np.ndarray:
 def _anchor_rows(docs: DataFrame, windows: Windows) -> DataFrame:
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         anchor, text, _ = windows.anchors(windows.units(column(batch, "text")))
-        k1 = values(batch, "k1")[text]
-        order = np.lexsort((k1, anchor))
-        anchor, k1 = anchor[order], k1[order]
-        keep = _changes(anchor, k1)
-        return record(k1=k1[keep], anchor=longs(anchor[keep]))
+        who = values(batch, "who")[text]
+        order = np.lexsort((who, anchor))
+        anchor, who = anchor[order], who[order]
+        keep = _changes(anchor, who)
+        return record(who=who[keep], anchor=longs(anchor[keep]))
 
-    return map_slices(docs.select("k1", "text"), "text", work, "k1 long, anchor long")
+    return map_packed(docs.select("who", "text"), "text", work, "who long, anchor long")
 
 
 def _recurring(rows: DataFrame, hot_documents: int) -> DataFrame:
     """Rows whose anchor more than one text has. The lowest bit of the anchor says that it is hot."""
 
-    def flagged(anchor: np.ndarray, k1: np.ndarray, hot: bool | None = None) -> pa.RecordBatch:
+    def flagged(anchor: np.ndarray, who: np.ndarray, hot: bool | None = None) -> pa.RecordBatch:
         starts = _changes(anchor)
         sizes = np.diff(np.append(starts, len(anchor)))
         if hot is None:
-            lone = np.minimum.reduceat(k1, starts) == np.maximum.reduceat(k1, starts)
+            lone = np.minimum.reduceat(who, starts) == np.maximum.reduceat(who, starts)
             bit = (sizes > hot_documents).astype(np.int64)
         else:
             lone, bit = np.zeros(len(starts), bool), np.ones(len(starts), np.int64)
         keep = ~np.repeat(lone, sizes)
-        return record(anchor=(anchor | np.repeat(bit, sizes))[keep], k1=k1[keep])
+        return record(anchor=(anchor | np.repeat(bit, sizes))[keep], who=who[keep])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         going_on = None
         for block, open_ in sorted_blocks(batches, "anchor", max(BLOCK_ROWS, hot_documents + 1)):
-            anchor, k1 = block.column("anchor").to_numpy(), block.column("k1").to_numpy()
+            anchor, who = block.column("anchor").to_numpy(), block.column("who").to_numpy()
             if going_on is not None:
                 # The key of the block before goes on; it was cut because it is hot.
                 more = int(np.searchsorted(anchor, going_on, "right"))
                 if more:
-                    yield flagged(anchor[:more], k1[:more], True)
-                anchor, k1 = anchor[more:], k1[more:]
+                    yield flagged(anchor[:more], who[:more], True)
+                anchor, who = anchor[more:], who[more:]
                 if not len(anchor):
                     continue
             if open_:
-                yield flagged(anchor, k1, True)
+                yield flagged(anchor, who, True)
             elif len(anchor):
-                yield flagged(anchor, k1)
+                yield flagged(anchor, who)
             going_on = anchor[-1] if open_ else None
 
-    return rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "anchor long, k1 long")
+    return rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "anchor long, who long")
 
 
 def _passages(joined: DataFrame, windows: Windows) -> DataFrame:
@@ -146,7 +148,7 @@ def _passages(joined: DataFrame, windows: Windows) -> DataFrame:
         own = [np.sort(x.values.to_numpy().view(np.uint64)) if x.is_valid else None for x in listed]
         units = windows.units(column(batch, "text"))
         anchor, text, place = windows.anchors(units)
-        doc, k1 = values(batch, "doc"), values(batch, "k1")
+        doc, who = values(batch, "doc"), values(batch, "who")
         # Windows are in order of text; those of one text are looked up in its list.
         bounds = np.searchsorted(text, np.arange(len(own) + 1))
         keys, at, size, which = [], [], [], []
@@ -175,11 +177,11 @@ def _passages(joined: DataFrame, windows: Windows) -> DataFrame:
             data, begins = hashing.flat(pa.array([passages[i] for i in hot], pa.binary()))
             keys[hot] = hashing.span_hashes(data, begins[:-1], begins[1:]) | np.uint64(1)
         return record(
-            key=longs(keys), doc=doc[which], k1=k1[which],
+            key=longs(keys), doc=doc[which], who=who[which],
             at=(at - units.first[which]).astype(np.int32), passage=pa.array(passages, pa.binary()),
         )
 
-    return map_slices(joined, "text", work, "key long, doc long, k1 long, at int, passage binary")
+    return map_packed(joined, "text", work, "key long, doc long, who long, at int, passage binary")
 
 
 def _removed(passages: DataFrame, windows: Windows, locate: Locate) -> DataFrame:
@@ -218,7 +220,7 @@ def _removed(passages: DataFrame, windows: Windows, locate: Locate) -> DataFrame
         end = np.append(begin[1:], len(row)) - 1
         row_of = row[begin]
         made = record(
-            k1=block.column("k1").to_numpy()[row_of], first=doc[row_of],
+            who=block.column("who").to_numpy()[row_of],
             at=(block.column("at").to_numpy()[row_of] + where[begin]).astype(np.int32),
             size=(where[end] - where[begin] + windows.length).astype(np.int32),
         )
@@ -233,7 +235,7 @@ def _removed(passages: DataFrame, windows: Windows, locate: Locate) -> DataFrame
 
     # In order of document within a key, so that a hot window's first document comes first.
     ordered = passages.repartition("key").sortWithinPartitions("key", "doc")
-    return ordered.mapInArrow(run, "k1 long, first long, at int, size int")
+    return ordered.mapInArrow(run, "who long, at int, size int")
 
 
 def without_later_copies(
@@ -249,13 +251,18 @@ def without_later_copies(
     rows = docs.select(known_id(id_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).cast("string").alias("text"))
     rows = rows.select("doc", "text", *content_key(F.col("text")))
     firsts = rows.groupBy("k1", "k2").agg(F.min("doc").alias("first"))
-    hits = _recurring(_anchor_rows(rows, windows), hot_documents).groupBy("k1").agg(F.collect_set("anchor").alias("anchors"))
-    # Both joins deal the rows out by the same keys, so that Spark shuffles the texts once. No id is below
+    several = firsts.groupBy("first").agg(F.count("*").alias("n")).where("n > 1")
+    # Read from here on; so the texts are hashed for it once.
+    firsts = stored(firsts.join(several, "first", "left").select("k1", "k2", "first", F.expr("if(n IS NULL, first, k1)").alias("who")), "firsts")
+    # All hold; said here, so that the joins below do not differ in what they ask of these rows.
+    rows = packed(rows, "text").where("doc IS NOT NULL AND k1 IS NOT NULL AND k2 IS NOT NULL")
+    # These joins deal the rows out by the same keys, so that Spark shuffles the texts once. No id is below
     # the first; an equality would make the id a third key.
-    own = rows.join(firsts.join(hits, "k1"), ["k1", "k2"]).where("doc <= first").select("doc", "text", "k1", "k2", "anchors")
+    texts = rows.join(firsts, ["k1", "k2"]).where("doc <= first").select("who", "text")
+    hits = _recurring(_anchor_rows(texts, windows), hot_documents).groupBy("who").agg(F.collect_set("anchor").alias("anchors"))
+    own = rows.join(firsts.join(hits, "who"), ["k1", "k2"]).where("doc <= first").select("doc", "text", "who", "anchors")
     spans = _removed(_passages(own, windows), windows, locate)
-    # A text is known by 64 bits and its smallest id.
-    spans = spans.groupBy("k1", "first").agg(F.collect_set(F.struct("at", "size")).alias("spans"))
+    spans = spans.groupBy("who").agg(F.collect_set(F.struct("at", "size")).alias("spans"))
 
     def finish(batch: pa.RecordBatch) -> pa.RecordBatch:
         data, begins = hashing.flat(column(batch, "text"))
@@ -294,6 +301,6 @@ def without_later_copies(
             n_spans=total(new_run).astype(np.int64), kept=kept,
         )
 
-    joined = rows.join(firsts.join(spans, ["k1", "first"], "left"), ["k1", "k2"]).select("doc", "text", "first", "spans")
+    joined = rows.join(firsts.join(spans, "who", "left"), ["k1", "k2"]).select("doc", "text", "first", "spans")
     schema = "doc long, n_units long, n_removed long, n_spans long, kept binary"
-    return map_slices(joined, "text", finish, schema)
+    return map_packed(joined, "text", finish, schema)
