@@ -5,10 +5,11 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from pyspark.sql import functions as F
 from tests.llm import brute
 from tidemark.llm.components import components
 from tidemark.llm.frames import bounded
-from tidemark.llm import hashing
+from tidemark.llm import hashing, lines, probminhash
 from tidemark.llm.lines import (
     SKETCH, SKETCH_LEAST, SKETCH_REGISTERS, _shingles, drop_repeated_lines, line_classes, pair_jaccards, set_registers, sketches, unlike,
 )
@@ -166,3 +167,39 @@ def test_lines_with_one_changed_letter(spark):
     want = {i: j for i, _, j, _ in brute.all_line_classes(rows)}
     assert want == {i: i - i % 2 for i in range(len(rows))}
     assert sum(got[i] != want[i] for i in want) <= 0.02 * len(want)
+
+
+def test_only_lines_with_a_partner_meet_by_their_texts(spark, monkeypatch):
+    met = []
+
+    def across(dealt, judge):
+        met.append({r.id for r in dealt.collect()})
+        return probminhash.links_across(dealt, judge)
+
+    monkeypatch.setattr(lines, "links_across", across)
+    # All share one bucket.
+    bucket = F.lit(1).cast("long").alias("bucket")
+    monkeypatch.setattr(lines, "_buckets", lambda rows, *_: lines._occurrences(rows).select(bucket, F.col("h1").alias("id")))
+    base = [text(100 + i, 30) for i in range(4)]
+    like = edited(base[0], 3, 1)
+
+    docs = frame(spark, [(i, t) for i, t in enumerate([*base, like])])
+    got = {r.doc: r.first_doc for r in line_classes(docs).collect()}
+    assert got == {0: 0, 1: 1, 2: 2, 3: 3, 4: 0}
+    # The others share the bucket and are like nothing in it.
+    assert len(met) == 1 and len(met[0]) in (0, 2)
+
+
+def test_buckets_in_any_order_of_members(spark):
+    ids = random.Random(4).sample(range(1000), 30)
+    rows = [(7, i) for i in ids] + [(8, i) for i in (5, 3, 5)] + [(9, 4), (9, 4), (10, 1)]
+    members = spark.createDataFrame(rows, "bucket long, id long")
+    for block in (4, 50):
+        got = probminhash.bucket_links(members, block).collect()
+        assert {(r.bucket, r.id) for r in got if r.bucket != 9} == {(7, i) for i in ids} | {(8, 3), (8, 5)}
+        assert all(len({r.leader for r in got if r.bucket == b}) == 1 for b in (7, 8))
+        # Blocks of a bucket hang together by the members before.
+        chain = {r.id: r.before for r in got if r.bucket == 7}
+        assert sum(i == before for i, before in chain.items()) == 1
+    plan = probminhash.bucket_links(members)._jdf.queryExecution().executedPlan().toString()
+    assert "Sort [bucket" in plan and "id" not in plan.split("Sort [")[1].split("]")[0]

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import hashing
 from tidemark.llm.components import components
 from tidemark.llm.frames import column, given_id, id_filter, in_filter, known_id, longs, map_slices, record, values
-from tidemark.llm.probminhash import band_hashes, bucket_links, links_across, meetings
+from tidemark.llm.probminhash import band_hashes, bucket_links, links_across, meetings, with_partners
 from tidemark.session import discard, stored
 
 # In letters, not bytes. One changed letter takes four strings from each set, which 36 different strings bear.
@@ -156,7 +156,8 @@ def _unlike(a: str, b: str) -> Column:
 
 
 def _line_texts(rows: DataFrame, members: DataFrame, shingle: int, bands: int, in_band: int) -> DataFrame:
-    """The text and the sketch of every line that shares a bucket. What surely shares none is left out where it is read."""
+    """The text and the sketch of lines that share a bucket, and of few others, once for each part of the input that has
+    the line. They stay where they are read: joins go by sketches first, and few texts are needed after that."""
     shared = rows.sparkSession.sparkContext.broadcast(id_filter(members.select("id")))
 
     def texts(batch: pa.RecordBatch) -> pa.RecordBatch | None:
@@ -175,8 +176,20 @@ def _line_texts(rows: DataFrame, members: DataFrame, shingle: int, bands: int, i
         return record(id=ident, line=lines.cast(pa.string()), **{s: np.concatenate([p[s] for p in parts]) for s in SKETCH})
 
     schema = "id long, line string, " + ", ".join(f"{s} long" for s in SKETCH)
-    found = map_slices(rows.select("lower"), "lower", texts, schema)
-    return stored(found.join(members.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]), "lines")
+    return stored(map_slices(rows.select("lower"), "lower", texts, schema), "lines")
+
+
+def _picked(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The lines of ``ids`` by id, and few others. What is surely not among them is left out where it lies."""
+    shared = texts.sparkSession.sparkContext.broadcast(id_filter(ids))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = in_filter(shared.value, values(batch, "id"))
+            if keep.any():
+                yield batch.filter(pa.array(keep))
+
+    return texts.mapInArrow(pick, texts.schema).dropDuplicates(["id"])
 
 
 def pair_jaccards(x: pa.Array, y: pa.Array, size: int) -> np.ndarray:
@@ -200,44 +213,54 @@ def pair_jaccards(x: pa.Array, y: pa.Array, size: int) -> np.ndarray:
     return out
 
 
-def _similar(pairs: DataFrame, lines: DataFrame, shingle: int, threshold: float) -> DataFrame:
-    """The pairs that are similar enough: by their sketches first, then by the text of their lines."""
+def _near(pairs: DataFrame, narrow: DataFrame) -> DataFrame:
+    """The pairs whose sketches are alike enough."""
+    narrow = narrow.select("id", F.struct(*SKETCH).alias("sketch"))
+    near = pairs.join(narrow.select(F.col("id").alias("a"), F.col("sketch").alias("p")), "a")
+    near = near.join(narrow.select(F.col("id").alias("b"), F.col("sketch").alias("q")), "b")
+    return near.where(_unlike("p", "q") <= SKETCH_REGISTERS - SKETCH_LEAST).select("a", "b")
+
+
+def _similar(near: DataFrame, texts: DataFrame, shingle: int, threshold: float) -> DataFrame:
+    """The pairs that are similar enough by the text of their lines."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = pair_jaccards(column(batch, "x"), column(batch, "y"), shingle) >= threshold
             yield record(a=values(batch, "a")[keep], b=values(batch, "b")[keep])
 
-    narrow = lines.select("id", F.struct(*SKETCH).alias("sketch"))
-    near = pairs.join(narrow.select(F.col("id").alias("a"), F.col("sketch").alias("p")), "a")
-    near = near.join(narrow.select(F.col("id").alias("b"), F.col("sketch").alias("q")), "b")
-    near = near.where(_unlike("p", "q") <= SKETCH_REGISTERS - SKETCH_LEAST).select("a", "b")
+    lines = _picked(texts.select("id", "line"), near.select(F.col("a").alias("id")).union(near.select("b")))
     joined = near.join(lines.select(F.col("id").alias("a"), F.col("line").alias("x")), "a")
     joined = joined.join(lines.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
     return joined.mapInArrow(verify, "a long, b long")
 
 
-def _across(members: DataFrame, label: DataFrame, lines: DataFrame, shingle: int, threshold: float) -> DataFrame:
-    """Links that leaders and chains of the buckets have not shown."""
+def _across(
+    members: DataFrame, label: DataFrame, narrow: DataFrame, texts: DataFrame, shingle: int, threshold: float
+) -> tuple[DataFrame, DataFrame]:
+    """Links that leaders and chains of the buckets have not shown, and a stored table behind them."""
 
-    def judge(block: pa.Table) -> tuple[Callable, Callable]:
-        texts = block.column("line").combine_chunks()
+    def near_in(block: pa.Table) -> Callable:
         sketch = np.stack([block.column(s).to_numpy() for s in SKETCH], axis=1).view(np.uint64)
+        return lambda i, j: unlike(sketch[i], sketch[j]) <= SKETCH_REGISTERS - SKETCH_LEAST
 
-        def near(i: np.ndarray, j: np.ndarray) -> np.ndarray:
-            return unlike(sketch[i], sketch[j]) <= SKETCH_REGISTERS - SKETCH_LEAST
+    def judge(block: pa.Table) -> tuple[Callable, Callable]:
+        lines = block.column("line").combine_chunks()
 
         def alike(i: np.ndarray, j: np.ndarray) -> np.ndarray:
             keep = np.zeros(len(i), bool)
             # The texts of few pairs at a time: a line is copied for each pair it is in.
             for a in range(0, len(i), TEXT_PAIRS):
-                x, y = (texts.take(pa.array(k[a : a + TEXT_PAIRS])) for k in (i, j))
+                x, y = (lines.take(pa.array(k[a : a + TEXT_PAIRS])) for k in (i, j))
                 keep[a : a + TEXT_PAIRS] = pair_jaccards(x, y, shingle) >= threshold
             return keep
 
-        return near, alike
+        return near_in(block), alike
 
-    return links_across(meetings(members, label).join(lines, "id"), judge)
+    # Members meet by their sketches; only those with a partner meet again with their texts.
+    paired = stored(with_partners(meetings(members, label).join(narrow, "id"), near_in), "paired")
+    lines = _picked(texts, paired.select("id"))
+    return links_across(paired.join(lines, "id"), judge), paired
 
 
 def line_classes(
@@ -257,17 +280,22 @@ def line_classes(
     members = stored(bucket_links(_buckets(rows, shingle, bands, in_band)), "buckets")
     pairs = members.select(F.col("leader").alias("a"), F.col("id").alias("b")).union(members.select("before", "id"))
     texts = _line_texts(rows, members, shingle, bands, in_band)
-    links = stored(_similar(pairs.where("a != b").distinct(), texts, shingle, threshold), "links")
-    rest = stored(_across(members, components(links), texts, shingle, threshold), "links")
+    narrow = stored(texts.select("id", *SKETCH).dropDuplicates(["id"]), "sketches")
+    near = stored(_near(pairs.where("a != b").distinct(), narrow), "near")
+    links = stored(_similar(near, texts, shingle, threshold), "links")
+    across, paired = _across(members, components(links), narrow, texts, shingle, threshold)
+    rest = stored(across, "links")
     label = components(links.union(rest))
-    for table in (members, texts, links, rest):
+    for table in (members, texts, narrow, near, links, paired, rest):
         discard(table)
     lines = stored(_occurrences(rows), "occurrences")
     # Copies first: one row per distinct line, then one per component.
     copies = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc", "place", "body")).alias("first"))
-    named = copies.join(label.select(F.col("node").alias("h1"), "root"), "h1", "left").withColumn("root", F.coalesce("root", "h1"))
-    heads = named.groupBy("root").agg(F.min("first").alias("head"))
-    named = named.join(heads, "root").select("h1", "h2", "head")
+    nodes = label.select(F.col("node").alias("h1"), "root").union(label.select("root", "root").distinct())
+    named = stored(copies.join(nodes, "h1", "left"), "named")
+    alone, united = named.where("root IS NULL"), named.where("root IS NOT NULL")
+    heads = united.groupBy("root").agg(F.min("first").alias("head"))
+    named = united.join(heads, "root").select("h1", "h2", "head").union(alone.select("h1", "h2", "first"))
     found = lines.join(named, ["h1", "h2"])
     return found.select(
         "doc", "body", "place", "bytes", F.col("head.doc").alias("first_doc"), F.col("head.body").alias("first_body"),

@@ -134,15 +134,25 @@ def _texts(rows: DataFrame, words: int, bands: int, in_band: int) -> DataFrame:
 
 def bucket_links(members: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Columns ``bucket``, ``id`` in; every member of a bucket of two or more with the bucket's ``leader`` and
-    the member ``before`` (both the member itself for the leader) out. Members may repeat."""
+    the member ``before`` (both the member itself for the leader) out. Members may repeat; one that does in a bucket of
+    over ``block_rows`` rows may come out once for each block of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         going_on, leader, before = None, 0, 0
         for block, open_ in sorted_blocks(batches, "bucket", block_rows):
             bucket, ident = block.column("bucket").to_numpy(), block.column("id").to_numpy()
+            # Rows come in order of bucket alone, which Spark sorts much faster. Most are the only ones of their bucket.
+            start = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            more = np.diff(np.append(start, len(bucket))) > 1
+            more[0] |= going_on is not None and bucket[0] == going_on
+            more[-1] |= open_
+            more = np.repeat(more, np.diff(np.append(start, len(bucket))))
+            bucket, ident = bucket[more], ident[more]
+            order = np.lexsort((ident, bucket))
+            bucket, ident = bucket[order], ident[order]
             new = np.ones(len(bucket), bool)
             new[1:] = (bucket[1:] != bucket[:-1]) | (ident[1:] != ident[:-1])
-            if going_on is not None and bucket[0] == going_on and ident[0] == before:
+            if going_on is not None and len(bucket) and bucket[0] == going_on and ident[0] == before:
                 new[0] = False
             bucket, ident = bucket[new], ident[new]
             if not len(bucket):
@@ -162,7 +172,7 @@ def bucket_links(members: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
             going_on, before = (bucket[-1], ident[-1]) if open_ else (None, 0)
             yield record(bucket=bucket[keep], id=ident[keep], leader=lead[keep], before=prior[keep])
 
-    ordered = members.repartition("bucket").sortWithinPartitions("bucket", "id")
+    ordered = members.repartition("bucket").sortWithinPartitions("bucket")
     return ordered.mapInArrow(run, "bucket long, id long, leader long, before long")
 
 
@@ -223,7 +233,7 @@ def meetings(members: DataFrame, label: DataFrame, block_members: int = BLOCK_ME
     # A block meets every block, itself included, in a task of their own.
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return dealt.select(
-        F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("meeting"), "bucket", "own", "id", "root",
+        F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("meeting"), "own", "id", "root",
         (F.col("own") == F.col("other")).alias("same"),
     )
 
@@ -236,30 +246,55 @@ Judge = Callable[[pa.Table], tuple[Test, Test]]
 PAIRS = 1 << 18
 
 
+def _pairs(block: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of members that meet and have different roots, some pairs at a time."""
+    meeting, own, root, same = (block.column(c).to_numpy() for c in ("meeting", "own", "root", "same"))
+    # Members of one root lie side by side, so those of another are behind them: pairs of one root are not made.
+    order = np.lexsort((root, meeting))
+    new = np.flatnonzero(np.append(True, (meeting[order][1:] != meeting[order][:-1]) | (root[order][1:] != root[order][:-1])))
+    first = np.repeat(np.append(new[1:], len(meeting)), np.diff(np.append(new, len(meeting))))
+    partners = np.searchsorted(meeting, meeting, "right") - first
+    total = np.cumsum(partners)
+    at = 0
+    while at < len(meeting):
+        done = total[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(total, done + PAIRS, "right")))
+        i = order[np.repeat(np.arange(at, to), partners[at:to])]
+        j = np.arange(len(i)) - np.repeat(total[at:to] - partners[at:to] - done, partners[at:to])
+        j = order[j + np.repeat(first[at:to], partners[at:to])]
+        at = to
+        open_ = same[i] | (own[i] != own[j])
+        yield i[open_], j[open_]
+
+
+def with_partners(dealt: DataFrame, judge: Callable[[pa.Table], Test]) -> DataFrame:
+    """The members that the quick test pairs with one of another root, by the columns of :func:`meetings`.
+
+    What the exact test needs may be joined to these; it is wider, and most members have no partner.
+    """
+    columns = ["meeting", "own", "id", "root", "same"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, _ in sorted_blocks(batches, "meeting", 1000, lambda _: False):
+            near, paired = judge(block), np.zeros(len(block), bool)
+            for i, j in _pairs(block):
+                keep = near(i, j)
+                paired[i[keep]] = paired[j[keep]] = True
+            if paired.any():
+                yield from block.select(columns).filter(pa.array(paired)).to_batches()
+
+    ordered = dealt.repartition("meeting").sortWithinPartitions("meeting")
+    return ordered.mapInArrow(run, dealt.select(*columns).schema)
+
+
 def links_across(dealt: DataFrame, judge: Judge) -> DataFrame:
     """Links between members of one bucket with different roots. Tasks compare; only links are sent on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, _ in sorted_blocks(batches, "meeting", 1000, lambda _: False):
-            meeting, own, ident, root, same = (block.column(c).to_numpy() for c in ("meeting", "own", "id", "root", "same"))
-            near, alike = judge(block)
-            # Members of one root lie side by side, so those of another are behind them: pairs of one root are not made.
-            order = np.lexsort((root, meeting))
-            new = np.flatnonzero(np.append(True, (meeting[order][1:] != meeting[order][:-1]) | (root[order][1:] != root[order][:-1])))
-            first = np.repeat(np.append(new[1:], len(meeting)), np.diff(np.append(new, len(meeting))))
-            partners = np.searchsorted(meeting, meeting, "right") - first
-            total = np.cumsum(partners)
-            at = 0
-            while at < len(meeting):
-                done = total[at - 1] if at else 0
-                to = max(at + 1, int(np.searchsorted(total, done + PAIRS, "right")))
-                i = order[np.repeat(np.arange(at, to), partners[at:to])]
-                j = np.arange(len(i)) - np.repeat(total[at:to] - partners[at:to] - done, partners[at:to])
-                j = order[j + np.repeat(first[at:to], partners[at:to])]
-                at = to
-                open_ = same[i] | (own[i] != own[j])
-                i, j = i[open_], j[open_]
-                for test in (near, alike):
+            ident, tests = block.column("id").to_numpy(), judge(block)
+            for i, j in _pairs(block):
+                for test in tests:
                     keep = test(i, j)
                     i, j = i[keep], j[keep]
                 if len(i):
