@@ -28,6 +28,10 @@ DEFAULTS = {
 # For joins of wide rows with narrow tables: the side with small partitions is hashed, so the other one is not sorted.
 HASH_JOINS = {"spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m"}
 
+# Rows of a shuffle partition, about, before small ones are put together.
+ROWS_PER_PARTITION = 400_000
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 # Output files that a task writes at once; the writer sorts the rows that are left where there are more.
 OPEN_FILES = 8
 
@@ -49,6 +53,18 @@ def tune(spark: SparkSession, more: Mapping[str, str] = MappingProxyType({})) ->
     return spark
 
 
+def deal_out(spark: SparkSession, rows: int) -> None:
+    """Let shuffles of ``rows`` rows have as many partitions as keep those of a task few, however large the input is.
+
+    The session's number stays the least; adaptive execution puts small partitions together again. 0 takes the setting back.
+    """
+    parts = rows // ROWS_PER_PARTITION
+    if parts > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set(INITIAL_PARTITIONS, str(parts))
+    else:
+        spark.conf.unset(INITIAL_PARTITIONS)
+
+
 @contextmanager
 def settings(spark: SparkSession, values: Mapping[str, object]) -> Iterator[None]:
     """Session settings for the plans that are run inside."""
