@@ -73,3 +73,20 @@ def test_only_splits_with_an_open_field_are_cut(spark, tmp_path):
     finally:
         for n, v in zip(names, before):
             spark.conf.set(n, v)
+
+
+def test_rejects_are_written_where_they_lie(spark, tmp_path, monkeypatch):
+    """Before, rejected rows were all shuffled by file to be written."""
+    from tidemark.plans import ingest
+    from tidemark.sinks import tables
+
+    dealt, hint = [], tables.spread
+    monkeypatch.setattr(tables, "spread", lambda df, columns: dealt.append(df.columns) or hint(df, columns))
+    (tmp_path / "in").mkdir()
+    head = ["customer_id", "review_id", "product_id", "star_rating", "helpful_votes", "total_votes", "review_body", "review_date"]
+    lines = ["\t".join(head), "\t".join("1 R1 2 5 0 0 good 2020-01-02".split()), "\t".join("1 R1 2 9 0 0 good 2020-01-02".split())]
+    (tmp_path / "in" / "amazon_reviews_us_Toys_v1_00.tsv").write_text("\n".join(lines) + "\n")
+    config = ingest.IngestConfig(root=str(tmp_path / "lake"), run_id="r", rejects=ingest.ALL, required=("review_id",))
+    ingest.ingest(spark, str(tmp_path / "in"), config)
+    assert spark.read.parquet(config.path("quarantine")).count() == 1
+    assert not any("record" in columns for columns in dealt)
