@@ -126,3 +126,41 @@ def test_packed_texts(spark):
     got = {r.n: (bytes(r.back).decode(), r.rows) for r in map_packed(held.coalesce(1), "text", most, "n long, back binary, rows long").collect()}
     # Cut by the size before packing: a long text is a piece of its own.
     assert {n: b for n, (b, _) in got.items()} == {n: t for t, n in rows} and got[3][1] == 1
+
+
+def test_neighbouring_windows_are_looked_up_once():
+    import pyarrow as pa
+
+    from tidemark.llm.recurring import Windows
+
+    windows = Windows(50, 18, False)
+    texts = ["", "short", PASSAGE, "x" * 49, "y" * 50, "", PASSAGE[::-1] * 3, ""]
+    units = windows.units(pa.array(texts, pa.string()))
+    anchor, text, place, size = windows.anchors(units)
+    # Each window lies in one run, and runs are few.
+    own = [(t, p + i) for t, p, n in zip(text, place - units.first[text], size) for i in range(n)]
+    assert own == [(t, i) for t, s in enumerate(texts) for i in range(len(s) - 49)]
+    assert len(anchor) < len(own) / 5
+    alone = windows.anchors(windows.units(pa.array([PASSAGE], pa.string())))
+    assert alone[0].tolist() == anchor[text == 2].tolist() and alone[3].tolist() == size[text == 2].tolist()
+
+
+def test_passages_without_a_twin_are_not_sorted(monkeypatch):
+    from tidemark.llm import suffixes
+
+    sorted_bytes = []
+    array = suffixes.suffix_array
+    monkeypatch.setattr(suffixes, "suffix_array", lambda text, depth: sorted_bytes.append(len(text)) or array(text, depth))
+    anchor = b"eighteen letters__"
+    own = [bytes([65 + i]) * 32 + anchor + bytes([97 + i]) * 32 for i in range(20)]
+    twins = [b"before" + own[3][:50], own[3] + b"behind"]
+    locate = suffixes.locate_strings(50)
+    several = np.zeros(22, bool)
+    which, place, least = locate(own[:3] + own[4:] + twins, np.arange(21), several[:21])
+    # The twins share the 50 bytes from the first on, and 50 bytes are all that the first has behind the six before.
+    assert sorted_bytes == [sum(map(len, twins)) + 1]
+    assert (19, 6, 19) in set(zip(which, place, least)) and (20, 0, 19) in set(zip(which, place, least))
+    # A passage of several documents is located though no other one is like it.
+    several[5] = True
+    assert set(locate(own, np.arange(20), several[:20])[0]) == {5}
+    assert not len(locate(own, np.arange(20), several[:20] & False)[0])

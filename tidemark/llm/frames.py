@@ -117,6 +117,11 @@ def values(batch: pa.RecordBatch, name: str) -> np.ndarray:
     return column(batch, name).to_numpy(zero_copy_only=False)
 
 
+def spread(at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The ``size`` places from each of ``at`` on, one after the other."""
+    return np.repeat(at - np.cumsum(size) + size, size) + np.arange(size.sum())
+
+
 def binaries(data: np.ndarray, ends: np.ndarray) -> pa.Array:
     """A binary array cut from one buffer at ``ends``."""
     offsets = np.zeros(len(ends) + 1, np.int32)

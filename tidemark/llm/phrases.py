@@ -41,7 +41,7 @@ def _coded(passages: list[bytes]) -> list[str]:
 def locate_phrases(length: int):
     """Locate recurring phrases of ``length`` words in the passages of a shard."""
 
-    def locate(passages: list[bytes], first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def locate(passages: list[bytes], first: np.ndarray, _several: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         coded = _coded(passages)
         seen: dict[str, int] = {}
         for text, doc in zip(coded, first.tolist()):

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import hashing
-from tidemark.llm.frames import binaries, column, content_key, known_id, longs, map_packed, packed, record, sorted_blocks, values
+from tidemark.llm.frames import binaries, column, content_key, known_id, longs, map_packed, packed, record, sorted_blocks, spread, values
 from tidemark.session import stored
 
 # An anchor of more documents than this is hot.
@@ -38,9 +38,9 @@ BLOCK_ROWS = 20_000
 # Anchors have 48 bits, the lowest of them free: they choose candidates only, and small numbers shuffle better.
 _ANCHOR_BITS = np.uint64((1 << 48) - 2)
 
-# Gets distinct passages and the smallest document of each. For every window that recurs among
-# them: index of the passage, place in it, and smallest document that has the window.
-Locate = Callable[[list[bytes], np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
+# Gets distinct passages, the smallest document of each, and whether others have it too. For every window that recurs
+# among them: index of the passage, place in it, and smallest document that has the window.
+Locate = Callable[[list[bytes], np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
 @dataclass(frozen=True)
@@ -59,13 +59,21 @@ class Windows:
         hashes = hashing.shingles(hashing.span_hashes(data, starts, ends), self.anchor)
         return Units(data, first, starts, ends, hashes)
 
-    def anchors(self, units: Units) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Anchor, text and place of every window."""
+    def anchors(self, units: Units) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Neighbouring windows of a text that share an anchor: the anchor, the text, the place of the first, their number."""
         smallest = hashing.sliding_min(units.shingles & _ANCHOR_BITS, self.length - self.anchor + 1)
-        text = np.searchsorted(units.first, np.arange(len(smallest)), "right") - 1
-        inside = np.arange(len(smallest)) + self.length <= units.first[text + 1]
-        place = np.flatnonzero(inside)
-        return smallest[place], text[place], place
+        # Windows from the last places of a text would run over its end.
+        begins, over = units.first[:-1], np.maximum(units.first[1:] - self.length + 1, units.first[:-1])
+        new = np.ones(len(smallest), bool)
+        new[1:] = smallest[1:] != smallest[:-1]
+        new[begins[begins < len(new)]] = True
+        new[over[over < len(new)]] = True
+        place = np.flatnonzero(new)
+        size = np.diff(np.append(place, len(new)))
+        text = np.searchsorted(units.first, place, "right") - 1
+        inside = place < over[text]
+        place, size = place[inside], size[inside]
+        return smallest[place], text[inside], place, size
 
 
 @dataclass(frozen=True)
@@ -78,11 +86,13 @@ class Units:
     ends: np.ndarray | None
     shingles: np.ndarray
 
-    def cut(self, at: int, to: int) -> bytes:
+    def cut(self, at: np.ndarray, size: np.ndarray) -> pa.Array:
+        """The ``size`` units from each of the places ``at``."""
         if self.starts is None:
-            return self.data[at:to].tobytes()
+            return binaries(self.data[spread(at, size)], np.cumsum(size))
         # Words of a passage are joined by one space, so that equal windows are equal bytes.
-        return b" ".join(self.data[a:b].tobytes() for a, b in zip(self.starts[at:to], self.ends[at:to]))
+        words = ((self.starts[a : a + n], self.ends[a : a + n]) for a, n in zip(at, size))
+        return pa.array([b" ".join(self.data[a:b].tobytes() for a, b in zip(*w)) for w in words], pa.binary())
 
 
 def _changes(*arrays: np.ndarray) -> np.ndarray:
@@ -95,7 +105,7 @@ def _changes(*arrays: np.ndarray) -> np.ndarray:
 
 def _anchor_rows(docs: DataFrame, windows: Windows) -> DataFrame:
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        anchor, text, _ = windows.anchors(windows.units(column(batch, "text")))
+        anchor, text, _, _ = windows.anchors(windows.units(column(batch, "text")))
         who = values(batch, "who")[text]
         order = np.lexsort((who, anchor))
         anchor, who = anchor[order], who[order]
@@ -144,41 +154,37 @@ def _passages(joined: DataFrame, windows: Windows) -> DataFrame:
     """The passages around recurring anchors: key of the task, row, place of the first unit, bytes."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        listed = column(batch, "anchors")
-        own = [np.sort(x.values.to_numpy().view(np.uint64)) if x.is_valid else None for x in listed]
         units = windows.units(column(batch, "text"))
-        anchor, text, place = windows.anchors(units)
-        doc, who = values(batch, "doc"), values(batch, "who")
-        # Windows are in order of text; those of one text are looked up in its list.
-        bounds = np.searchsorted(text, np.arange(len(own) + 1))
-        keys, at, size, which = [], [], [], []
-        for i, hits_ in enumerate(own):
-            lo, hi = bounds[i], bounds[i + 1]
-            if hits_ is None or lo == hi:
-                continue
-            mine, where = anchor[lo:hi], place[lo:hi]
-            found = np.minimum(np.searchsorted(hits_, mine), len(hits_) - 1)
-            is_hot = hits_[found] == (mine | np.uint64(1))
-            known = (hits_[found] == mine) | is_hot
-            mine, where, is_hot = mine[known], where[known], is_hot[known]
-            if not len(mine):
-                continue
-            run = _changes(mine, where - np.arange(len(where)), np.where(is_hot, where, -1))
-            keys.append(np.where(is_hot[run], mine[run] | np.uint64(1), mine[run]))
-            at.append(where[run])
-            size.append(np.diff(np.append(run, len(mine))))
-            which.append(np.full(len(run), i))
-        if not keys:
+        anchor, text, at, size = windows.anchors(units)
+        listed = column(batch, "anchors")
+        hits = listed.flatten().to_numpy().view(np.uint64)
+        if not len(hits) or not len(anchor):
+            return None
+        # Text and anchor are looked up as one number.
+        owner = np.repeat(np.arange(len(listed)), np.asarray(pc.list_value_length(listed).fill_null(0)))
+        known, code = np.unique(hits & ~np.uint64(1), return_inverse=True)
+        own = owner * len(known) + code
+        order = np.lexsort((hits, own))
+        own, hits = own[order], hits[order]
+        code = np.minimum(np.searchsorted(known, anchor), len(known) - 1)
+        mine = text * len(known) + code
+        found = np.minimum(np.searchsorted(own, mine), len(own) - 1)
+        keep = np.flatnonzero((known[code] == anchor) & (own[found] == mine))
+        if not len(keep):
             return None
-        keys, at, size, which = (np.concatenate(x) for x in (keys, at, size, which))
-        passages = [units.cut(a, a + n + windows.length - 1) for a, n in zip(at, size)]
+        keys, at, size, which = hits[found[keep]], at[keep], size[keep], text[keep]
+        # Windows of a hot anchor are passages of their own.
+        times = np.where(keys & np.uint64(1), size, 1)
+        at, size = spread(at, times), np.repeat(np.where(keys & np.uint64(1), 1, size), times)
+        keys, which = np.repeat(keys, times), np.repeat(which, times)
+        passages = units.cut(at, size + windows.length - 1)
         hot = np.flatnonzero(keys & np.uint64(1))
         if len(hot):
-            data, begins = hashing.flat(pa.array([passages[i] for i in hot], pa.binary()))
+            data, begins = hashing.flat(passages.take(pa.array(hot)))
             keys[hot] = hashing.span_hashes(data, begins[:-1], begins[1:]) | np.uint64(1)
         return record(
-            key=longs(keys), doc=doc[which], who=who[which],
-            at=(at - units.first[which]).astype(np.int32), passage=pa.array(passages, pa.binary()),
+            key=longs(keys), doc=values(batch, "doc")[which], who=values(batch, "who")[which],
+            at=(at - units.first[which]).astype(np.int32), passage=passages,
         )
 
     return map_packed(joined, "text", work, "key long, doc long, who long, at int, passage binary")
@@ -197,10 +203,12 @@ def _removed(passages: DataFrame, windows: Windows, locate: Locate) -> DataFrame
         np.minimum.at(first, code, doc)
         for i, text in enumerate(texts if earlier else ()):
             first[i] = min(first[i], earlier.get(text, first[i]))
+        several = np.zeros(len(texts), bool)
+        several[code[doc > first[code]]] = True
         last_key = block.column("key")[-1].as_py()
         same = block.column("key").to_numpy() == last_key
         known = {texts[i]: int(first[i]) for i in np.unique(code[same])} if last_key & 1 else {}
-        which, place, least = locate(texts, first)
+        which, place, least = locate(texts, first, several)
         if not len(which):
             return None, known
         # Windows of each distinct passage, then of each occurrence of it.

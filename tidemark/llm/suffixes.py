@@ -10,11 +10,12 @@ occurrences of one string.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import hashing
-from tidemark.llm.frames import given_id
+from tidemark.llm.frames import given_id, spread
 from tidemark.llm.recurring import Windows, without_later_copies
 
 
@@ -102,26 +103,47 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarr
         if not len(alive):
             break
         apart = words[order[alive] + k] ^ words[order[alive - 1] + k]
+        equal = apart == 0
+        ended, apart = alive[~equal], apart[~equal]
+        alive = alive[equal]
+        shared[alive] += 8
         # The number of leading zero bytes of the difference.
-        bits = np.zeros(len(apart), np.int64)
-        for shift in (32, 16, 8):
-            high = apart >> np.uint64(64 - shift)
-            zero = high == 0
-            bits += np.where(zero, shift, 0)
-            apart = np.where(zero, apart << np.uint64(shift), apart)
-        same = np.where(apart == 0, 8, bits // 8)
-        shared[alive] += same
-        alive = alive[same == 8]
+        for size in (4, 2, 1):
+            zero = apart >> np.uint64(64 - 8 * size) == 0
+            shared[ended] += np.where(zero, size, 0)
+            apart = np.where(zero, apart << np.uint64(8 * size), apart)
     # Suffixes near the end of the text are shorter than what was compared.
     left = len(text) - order
     shared[1:] = np.minimum(shared[1:], np.minimum(left[1:], left[:-1]))
     return np.minimum(shared, depth)
 
 
+def with_twins(passages: list[bytes], length: int) -> np.ndarray:
+    """Which passages have a string of ``length`` bytes whose hash another one of them has."""
+    data, begins = hashing.flat(pa.array(passages, pa.large_binary()))
+    times = np.maximum(np.diff(begins) - length + 1, 0)
+    starts = spread(begins[:-1], times)
+    owner = np.repeat(np.arange(len(passages)), times)
+    hashes = hashing.span_hashes(data, starts, starts + length)
+    order = np.argsort(hashes)
+    again = hashes[order][1:] == hashes[order][:-1]
+    twins = np.zeros(len(passages), bool)
+    twins[owner[order[1:][again]]] = twins[owner[order[:-1][again]]] = True
+    return twins
+
+
 def locate_strings(length: int):
     """Locate recurring strings of ``length`` bytes in the passages of a shard."""
 
-    def locate(passages: list[bytes], first: np.ndarray):
+    def locate(passages: list[bytes], first: np.ndarray, several: np.ndarray):
+        # Many passages share an anchor and no more: their suffixes need not be sorted.
+        kept = np.flatnonzero(several | with_twins(passages, length))
+        if not len(kept):
+            return kept, kept, first[:0]
+        which, place, least = sort([passages[i] for i in kept], first[kept])
+        return kept[which], place, least
+
+    def sort(passages: list[bytes], first: np.ndarray):
         sizes = np.array([len(p) for p in passages])
         # A byte that UTF-8 never has ends the text, so that what follows the end equals nothing.
         text = np.frombuffer(b"".join([*passages, b"\xff"]), np.uint8)
