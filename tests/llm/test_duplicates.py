@@ -203,3 +203,31 @@ def test_buckets_in_any_order_of_members(spark):
         assert sum(i == before for i, before in chain.items()) == 1
     plan = probminhash.bucket_links(members)._jdf.queryExecution().executedPlan().toString()
     assert "Sort [bucket" in plan and "id" not in plan.split("Sort [")[1].split("]")[0]
+
+
+def test_members_are_packed_by_parts():
+    ident = np.arange(-3000, 3000)
+    bucket = hashing.mix((ident // 3).astype(np.uint64))
+    batch = probminhash.packed_members(bucket, ident)
+    # Few rows and 12 bytes a member, where a row of two numbers takes more.
+    parts = batch.column(0).to_pylist()
+    assert len(batch) < 4096 and parts == sorted(set(parts))
+    assert sum(len(v) for v in batch.column(1).to_pylist()) == 12 * len(ident)
+    (found, who, open_), = probminhash._unpacked(iter([batch]))
+    assert not open_ and (np.diff(found) >= 0).all()
+    together = {}
+    for b, i in zip(found.tolist(), who.tolist()):
+        together.setdefault(b, set()).add(i)
+    assert sorted(map(sorted, together.values())) == [[i, i + 1, i + 2] for i in range(-3000, 3000, 3)]
+
+
+def test_hashes_of_strings_tell_each_letter():
+    import pyarrow as pa
+
+    strings = ["abcd", "abce", "bbcd", "abcé", "abc一", "ab\U0001f600d", "abc\U0001f600"]
+    rows = [*strings, "x" + strings[0], "一" + strings[0], "", "abc"]
+    made, line = _shingles(pa.array(rows), 4)
+    of = [set((made[line == i] >> np.uint64(11)).tolist()) for i in range(len(rows))]
+    assert len(set.union(*of[:7])) == 7 and all(len(s) == 1 for s in of[:7])
+    # The same string has the same hash in lines of ASCII and in others.
+    assert of[0] < of[7] and of[0] < of[8] and of[9] == of[10] == set()

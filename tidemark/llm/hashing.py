@@ -22,9 +22,12 @@ _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread every bit of a number over all bits; one to one."""
     h = np.asarray(h, np.uint64)
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+    out, spare = h ^ (h >> np.uint64(30)), np.empty_like(h)
+    out *= np.uint64(0xBF58476D1CE4E5B9)
+    out ^= np.right_shift(out, np.uint64(27), out=spare)
+    out *= np.uint64(0x94D049BB133111EB)
+    out ^= np.right_shift(out, np.uint64(31), out=spare)
+    return out
 
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)

@@ -8,18 +8,17 @@ component the first line in order of document and place stays.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import hashing
 from tidemark.llm.components import components
-from tidemark.llm.frames import column, given_id, id_filter, in_filter, known_id, longs, map_slices, record, values
-from tidemark.llm.probminhash import band_hashes, bucket_links, links_across, meetings, with_partners
+from tidemark.llm.frames import column, given_id, id_filter, in_filter, known_id, longs, map_slices, record, slices, sorted_blocks, spread, values
+from tidemark.llm.probminhash import apart, band_hashes, bucket_links, links_across, meetings, packed_members, with_partners
 from tidemark.session import discard, stored
 
 # In letters, not bytes. One changed letter takes four strings from each set, which 36 different strings bear.
@@ -35,9 +34,14 @@ SKETCH = ["s0", "s1", "s2", "s3"]
 # A rule of the stage, not of the classes: it leaves headings, bullets and closings below this in place.
 STAY_BYTES = 40
 LOOKS = 8
-# Lines whose registers are made at once: bounds memory, not results.
-BLOCK_LINES = 2_048
+# Lines whose registers are made at once: what is worked on stays in the processor's cache.
+BLOCK_LINES = 512
 TEXT_PAIRS = 500
+# Members of buckets that a task packs at once, and that are compared by sketches at once, about.
+PACKED_MEMBERS, BLOCK_SKETCHES = 1 << 20, 20_000
+# Buckets up to this are compared whole where their members meet, larger ones in blocks.
+WHOLE_BUCKET = 256
+_SHOWN, _INSIDE, _LARGE = range(3)
 _SECOND_SEED = 0x5DEECE66D
 
 
@@ -86,16 +90,36 @@ def set_registers(elements: np.ndarray, owner: np.ndarray, owners: int, size: in
     return won.reshape(owners, size)
 
 
+def _strings(letters: np.ndarray, begins: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all strings of ``size`` letters that do not run over a line's end, and the line of each."""
+    n = max(0, len(letters) - size + 1)
+    out = np.zeros(n, np.uint64)
+    for k in range(size):
+        out += letters[k : k + n]
+        # Behind the last letter too, so that each letter counts in the highest bits.
+        out *= np.uint64(0x9E3779B97F4A7C15)
+    count = np.maximum(np.diff(begins) - size + 1, 0)
+    return out[spread(begins[:-1], count)], np.repeat(np.arange(len(count)), count)
+
+
 def _shingles(lines: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all strings of ``size`` letters and the line of each."""
+    """Hashes of all strings of ``size`` letters and the line of each. Letters are numbers made of their bytes."""
     data, begins = hashing.flat(lines)
-    # Every byte but those that go on with a letter of UTF-8 starts one.
-    letters = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
-    starts, ends = letters[:-size], letters[size:]
-    first = np.searchsorted(letters, begins)
-    line = np.repeat(np.arange(len(lines)), np.diff(first))[: len(starts)]
-    inside = ends <= begins[line + 1]
-    return hashing.span_hashes(data, starts[inside], ends[inside]), line[inside]
+    high = np.append(0, np.cumsum(data > 0x7F))
+    wide = high[begins[1:]] > high[begins[:-1]]
+    if not wide.any():
+        return _strings(data, begins, size)
+    # Lines of ASCII alone have a letter in each byte. In others every byte but those that go on with a letter starts one.
+    made, line = _strings(*hashing.flat(lines.filter(pa.array(~wide))), size)
+    data, begins = hashing.flat(lines.filter(pa.array(wide)))
+    starts = np.flatnonzero((data & 0xC0) != 0x80)
+    length = np.diff(np.append(starts, len(data)))
+    letters = data[starts].astype(np.uint64)
+    for k in (1, 2, 3):
+        longer = np.flatnonzero(length > k)
+        letters[longer] |= data[starts[longer] + k].astype(np.uint64) << np.uint64(8 * k)
+    more, at = _strings(letters, np.searchsorted(starts, begins), size)
+    return np.concatenate([made, more]), np.concatenate([np.flatnonzero(~wide)[line], np.flatnonzero(wide)[at]])
 
 
 def _occurrences(rows: DataFrame) -> DataFrame:
@@ -112,20 +136,29 @@ def _occurrences(rows: DataFrame) -> DataFrame:
 def _buckets(rows: DataFrame, shingle: int, bands: int, in_band: int) -> DataFrame:
     """Lines without a whole shingle are in no bucket: only their copies are like them."""
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        lines = _lines(batch)[0].unique()
-        lines = lines.filter(pc.greater_equal(pc.utf8_length(lines), shingle))
-        if not len(lines):
-            return None
-        buckets = []
-        for a in range(0, len(lines), BLOCK_LINES):
-            block = lines.slice(a, BLOCK_LINES)
-            made, line = _shingles(block, shingle)
-            won = set_registers(made, line, len(block), bands * in_band)
-            buckets.append(longs(band_hashes(won, bands, in_band).ravel()))
-        return record(bucket=np.concatenate(buckets), id=np.repeat(_key(lines), bands))
-
-    return map_slices(rows.select("lower"), "lower", work, "bucket long, id long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        buckets, ident, n = [], [], 0
+        for batch in slices(batches, "lower"):
+            lines = _lines(batch)[0].unique()
+            lines = lines.filter(pc.greater_equal(pc.utf8_length(lines), shingle))
+            for a in range(0, len(lines), BLOCK_LINES):
+                block = lines.slice(a, BLOCK_LINES)
+                made, line = _shingles(block, shingle)
+                won = set_registers(made, line, len(block), bands * in_band)
+                buckets.append(band_hashes(won, bands, in_band))
+            ident.append(_key(lines))
+            n += len(lines)
+            if n * bands >= PACKED_MEMBERS:
+                yield packed(buckets, ident)
+                buckets, ident, n = [], [], 0
+        if n:
+            yield packed(buckets, ident)
+
+    def packed(buckets: list[np.ndarray], ident: list[np.ndarray]) -> pa.RecordBatch:
+        once, first = np.unique(np.concatenate(ident), return_index=True)
+        return packed_members(np.concatenate(buckets)[first].ravel(), np.repeat(once, bands))
+
+    return rows.select("lower").mapInArrow(run, "part int, members binary")
 
 
 def sketches(won: np.ndarray) -> dict[str, np.ndarray]:
@@ -143,18 +176,6 @@ def unlike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.bitwise_count(apart & np.uint64(0x1111111111111111)).sum(axis=1, dtype=np.int64)
 
 
-def _unlike(a: str, b: str) -> Column:
-    """The same of columns."""
-
-    def one(name: str) -> Column:
-        apart = F.col(f"{a}.{name}").bitwiseXOR(F.col(f"{b}.{name}"))
-        for step in (1, 2):
-            apart = apart.bitwiseOR(F.shiftrightunsigned(apart, step))
-        return F.bit_count(apart.bitwiseAND(F.lit(0x1111111111111111)))
-
-    return reduce(lambda x, y: x + y, [one(name) for name in SKETCH])
-
-
 def _line_texts(rows: DataFrame, members: DataFrame, shingle: int, bands: int, in_band: int) -> DataFrame:
     """The text and the sketch of lines that share a bucket, and of few others, once for each part of the input that has
     the line. They stay where they are read: joins go by sketches first, and few texts are needed after that."""
@@ -179,17 +200,22 @@ def _line_texts(rows: DataFrame, members: DataFrame, shingle: int, bands: int, i
     return stored(map_slices(rows.select("lower"), "lower", texts, schema), "lines")
 
 
-def _picked(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """The lines of ``ids`` by id, and few others. What is surely not among them is left out where it lies."""
-    shared = texts.sparkSession.sparkContext.broadcast(id_filter(ids))
+def _among(table: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """The rows whose ``key`` is one of ``ids``, and few others. What is surely not among them is left out where it lies."""
+    shared = table.sparkSession.sparkContext.broadcast(id_filter(ids))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = in_filter(shared.value, values(batch, "id"))
+            keep = in_filter(shared.value, values(batch, key))
             if keep.any():
                 yield batch.filter(pa.array(keep))
 
-    return texts.mapInArrow(pick, texts.schema).dropDuplicates(["id"])
+    return table.mapInArrow(pick, table.schema)
+
+
+def _picked(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The lines of ``ids`` by id, and few others."""
+    return _among(texts, "id", ids).dropDuplicates(["id"])
 
 
 def pair_jaccards(x: pa.Array, y: pa.Array, size: int) -> np.ndarray:
@@ -213,12 +239,41 @@ def pair_jaccards(x: pa.Array, y: pa.Array, size: int) -> np.ndarray:
     return out
 
 
-def _near(pairs: DataFrame, narrow: DataFrame) -> DataFrame:
-    """The pairs whose sketches are alike enough."""
-    narrow = narrow.select("id", F.struct(*SKETCH).alias("sketch"))
-    near = pairs.join(narrow.select(F.col("id").alias("a"), F.col("sketch").alias("p")), "a")
-    near = near.join(narrow.select(F.col("id").alias("b"), F.col("sketch").alias("q")), "b")
-    return near.where(_unlike("p", "q") <= SKETCH_REGISTERS - SKETCH_LEAST).select("a", "b")
+def _near(members: DataFrame, narrow: DataFrame) -> DataFrame:
+    """Pairs ``a``, ``b`` in a bucket whose sketches are alike enough, by ``kind``: first those of a member with the bucket's leader
+    or with the one before, then others of buckets up to ``WHOLE_BUCKET``. Of larger buckets the last kind has bucket and member."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, _ in sorted_blocks(batches, "bucket", BLOCK_SKETCHES, lambda _: False):
+            bucket, ident = block.column("bucket").to_numpy(), block.column("id").to_numpy()
+            order = np.lexsort((ident, bucket))
+            order = order[np.append(True, (np.diff(bucket[order]) != 0) | (np.diff(ident[order]) != 0))]
+            bucket, ident = bucket[order], ident[order]
+            sketch = np.stack([block.column(s).to_numpy()[order] for s in SKETCH], axis=1).view(np.uint64)
+            start = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            size = np.diff(np.append(start, len(bucket)))
+            head, size = np.repeat(start, size), np.repeat(size, size)
+            place = np.arange(len(bucket)) - head
+
+            def pairs(i: np.ndarray, j: np.ndarray, kind: int) -> pa.RecordBatch:
+                keep = unlike(sketch[i], sketch[j]) <= SKETCH_REGISTERS - SKETCH_LEAST
+                return record(a=ident[i[keep]], b=ident[j[keep]], kind=np.full(keep.sum(), kind, np.int8))
+
+            j = np.flatnonzero(place > 0)
+            yield pairs(head[j], j, _SHOWN)
+            j = j[place[j] > 1]
+            yield pairs(j - 1, j, _SHOWN)
+            i = np.flatnonzero((place > 0) & (size <= WHOLE_BUCKET))
+            for step in range(2, WHOLE_BUCKET):
+                i = i[place[i] + step < size[i]]
+                if not len(i):
+                    break
+                yield pairs(i, i + step, _INSIDE)
+            large = size > WHOLE_BUCKET
+            yield record(a=bucket[large], b=ident[large], kind=np.full(large.sum(), _LARGE, np.int8))
+
+    ordered = members.select("bucket", "id").join(narrow, "id").repartition("bucket").sortWithinPartitions("bucket")
+    return ordered.mapInArrow(run, "a long, b long, kind tinyint")
 
 
 def _similar(near: DataFrame, texts: DataFrame, shingle: int, threshold: float) -> DataFrame:
@@ -278,29 +333,37 @@ def line_classes(
     rows = docs.select(known_id(id_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).cast("string").alias("text"))
     rows = rows.select("doc", F.xxhash64("text").alias("body"), F.lower("text").alias("lower"))
     members = stored(bucket_links(_buckets(rows, shingle, bands, in_band)), "buckets")
-    pairs = members.select(F.col("leader").alias("a"), F.col("id").alias("b")).union(members.select("before", "id"))
     texts = _line_texts(rows, members, shingle, bands, in_band)
     narrow = stored(texts.select("id", *SKETCH).dropDuplicates(["id"]), "sketches")
-    near = stored(_near(pairs.where("a != b").distinct(), narrow), "near")
+    met = stored(_near(members, narrow), "near")
+    near = stored(met.where(F.col("kind") == _SHOWN).select("a", "b").distinct(), "near")
     links = stored(_similar(near, texts, shingle, threshold), "links")
-    across, paired = _across(members, components(links), narrow, texts, shingle, threshold)
+    label = components(links)
+    inside = stored(apart(met.where(F.col("kind") == _INSIDE).select("a", "b").distinct(), label), "near")
+    more = stored(_similar(inside, texts, shingle, threshold), "links")
+    large = met.where(F.col("kind") == _LARGE).select(F.col("a").alias("bucket"), F.col("b").alias("id"))
+    across, paired = _across(large, label, narrow, texts, shingle, threshold)
     rest = stored(across, "links")
-    label = components(links.union(rest))
-    for table in (members, texts, narrow, near, links, paired, rest):
+    label = components(links.union(more).union(rest))
+    for table in (members, texts, narrow, met, near, links, inside, more, paired, rest):
         discard(table)
     lines = stored(_occurrences(rows), "occurrences")
     # Copies first: one row per distinct line, then one per component.
-    copies = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc", "place", "body")).alias("first"))
+    copies = lines.groupBy("h1", "h2").agg(
+        F.min(F.struct("doc", "place", "body")).alias("first"), F.min("bytes").alias("bytes"), F.count("*").alias("times")
+    )
     nodes = label.select(F.col("node").alias("h1"), "root").union(label.select("root", "root").distinct())
     named = stored(copies.join(nodes, "h1", "left"), "named")
-    alone, united = named.where("root IS NULL"), named.where("root IS NOT NULL")
+    # A line that is there once and like no other one has no other place to be told of.
+    once, again = named.where("root IS NULL AND times = 1"), named.where("root IS NOT NULL OR times > 1")
+    alone, united = again.where("root IS NULL"), again.where("root IS NOT NULL")
     heads = united.groupBy("root").agg(F.min("first").alias("head"))
     named = united.join(heads, "root").select("h1", "h2", "head").union(alone.select("h1", "h2", "first"))
-    found = lines.join(named, ["h1", "h2"])
-    return found.select(
-        "doc", "body", "place", "bytes", F.col("head.doc").alias("first_doc"), F.col("head.body").alias("first_body"),
-        F.col("head.place").alias("first_place"),
-    )
+    found = _among(lines, "h1", again.select("h1")).join(named, ["h1", "h2"])
+    places = ["doc", "body", "place"]
+    columns = [*places, "bytes", *(F.col(f"head.{c}").alias(f"first_{c}") for c in places)]
+    once = once.select(*(F.col(f"first.{c}") for c in places), "bytes", F.col("first").alias("head"))
+    return found.select(*columns).union(once.select(*columns))
 
 
 def drop_repeated_lines(

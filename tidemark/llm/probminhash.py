@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import hashing
 from tidemark.llm.components import components
-from tidemark.llm.frames import column, content_key, given_id, known_id, longs, map_slices, record, sorted_blocks, values
+from tidemark.llm.frames import binaries, column, content_key, given_id, known_id, longs, map_slices, record, sorted_blocks, values
 from tidemark.session import stored
 
 BANDS, ROWS = 32, 6
@@ -36,6 +36,9 @@ BLOCK_MEMBERS = 2_000
 # The lowest bits of a bucket's number say which band it is of.
 _BAND_BITS = np.uint64(63)
 _ROUND = np.uint64(0xD1B54A32D192ED03)
+# A member of a bucket as it is shuffled; values of parts that are unpacked at once, at least.
+_MEMBER = np.dtype([("id", "<i8"), ("low", "<u4")])
+PARTS_VALUES = 256
 
 
 def registers(elements: np.ndarray, owner: np.ndarray, weights: np.ndarray, owners: int, size: int) -> np.ndarray:
@@ -132,15 +135,45 @@ def _texts(rows: DataFrame, words: int, bands: int, in_band: int) -> DataFrame:
     return stored(distinct.withColumn("id", F.monotonically_increasing_id()), "texts")
 
 
+def packed_members(bucket: np.ndarray, ident: np.ndarray) -> pa.RecordBatch:
+    """Members of buckets by parts, each with its members as one value of 12 bytes a member: a shuffle of very many members
+    has few rows then. Buckets are told apart by 44 bits: they choose candidates only."""
+    kept = np.empty(len(bucket), _MEMBER)
+    order = np.argsort(bucket)
+    bucket = bucket[order]
+    kept["id"], kept["low"] = ident[order], bucket >> np.uint64(20)
+    part = (bucket >> np.uint64(52)).astype(np.int32)
+    start = np.flatnonzero(np.append(True, part[1:] != part[:-1]))[: len(part)]
+    ends = np.append(start[1:], len(part)) if len(part) else start
+    return record(part=part[start], members=binaries(kept.view(np.uint8), ends * _MEMBER.itemsize))
+
+
+def _members(batches: Iterator[pa.RecordBatch], block_rows: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """Blocks of buckets and ids in order of bucket, and whether the last bucket goes on."""
+    for block, open_ in sorted_blocks(batches, "bucket", block_rows):
+        yield block.column("bucket").to_numpy(), block.column("id").to_numpy(), open_
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """The same of :func:`packed_members`, whole parts at a time."""
+    for block, _ in sorted_blocks(batches, "part", PARTS_VALUES, lambda _: False):
+        values_ = block.column("members").to_pylist()
+        kept = np.frombuffer(b"".join(values_), _MEMBER)
+        part = np.repeat(block.column("part").to_numpy().astype(np.int64), [len(v) // _MEMBER.itemsize for v in values_])
+        bucket = part << 32 | kept["low"].astype(np.int64)
+        order = np.argsort(bucket)
+        yield bucket[order], kept["id"][order], False
+
+
 def bucket_links(members: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Columns ``bucket``, ``id`` in; every member of a bucket of two or more with the bucket's ``leader`` and
-    the member ``before`` (both the member itself for the leader) out. Members may repeat; one that does in a bucket of
-    over ``block_rows`` rows may come out once for each block of them."""
+    """Columns ``bucket``, ``id`` in, or those of :func:`packed_members`; every member of a bucket of two or more with the
+    bucket's ``leader`` and the member ``before`` (both the member itself for the leader) out. Members may repeat; one that
+    does in a bucket of over ``block_rows`` rows may come out once for each block of them."""
+    key = "part" if "part" in members.columns else "bucket"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         going_on, leader, before = None, 0, 0
-        for block, open_ in sorted_blocks(batches, "bucket", block_rows):
-            bucket, ident = block.column("bucket").to_numpy(), block.column("id").to_numpy()
+        for bucket, ident, open_ in _unpacked(batches) if key == "part" else _members(batches, block_rows):
             # Rows come in order of bucket alone, which Spark sorts much faster. Most are the only ones of their bucket.
             start = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
             more = np.diff(np.append(start, len(bucket))) > 1
@@ -172,7 +205,7 @@ def bucket_links(members: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
             going_on, before = (bucket[-1], ident[-1]) if open_ else (None, 0)
             yield record(bucket=bucket[keep], id=ident[keep], leader=lead[keep], before=prior[keep])
 
-    ordered = members.repartition("bucket").sortWithinPartitions("bucket")
+    ordered = members.repartition(key).sortWithinPartitions(key)
     return ordered.mapInArrow(run, "bucket long, id long, leader long, before long")
 
 
@@ -354,7 +387,7 @@ def near_duplicate_classes(
     label = components(links)
     lead, chain = members.select(F.col("leader").alias("a"), F.col("id").alias("b")), members.select("before", "id")
     more = lead.union(chain).where("a != b").distinct()
-    links = links.union(stored(_verified(_apart(more, label), shingles, threshold), "links"))
+    links = links.union(stored(_verified(apart(more, label), shingles, threshold), "links"))
     label = components(links)
     rest = stored(_across(members, label, shingles, threshold), "links")
     label = components(links.union(rest))
@@ -367,7 +400,8 @@ def near_duplicate_classes(
     return rows, classes
 
 
-def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
+def apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
+    """The pairs whose ends are not united so far."""
     for end in ("a", "b"):
         pairs = pairs.join(label.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
     return pairs.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
