@@ -122,7 +122,8 @@ def _stored_by_category(spark, sf):
     def make():
         path = scratch_path(spark, "by-category")
         rows = D.typed(spark, sf).withColumn("category", F.col("product_category"))
-        K.write_partitioned(rows, path, ["category"])
+        # Many small files, as a load leaves them; the rows are not shuffled once more to be written.
+        K.write_partitioned(rows, path, ["category"], rebalance=False)
         return path
 
     return D.once(spark, sf, "by-category", make)

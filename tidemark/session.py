@@ -68,14 +68,17 @@ def deal_out(spark: SparkSession, rows: int) -> None:
 @contextmanager
 def settings(spark: SparkSession, values: Mapping[str, object]) -> Iterator[None]:
     """Session settings for the plans that are run inside."""
-    before = {key: spark.conf.get(key) for key in values}
+    before = {key: spark.conf.get(key, None) for key in values}
     try:
         for key, value in values.items():
             spark.conf.set(key, str(value))
         yield
     finally:
         for key, value in before.items():
-            spark.conf.set(key, value)
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 _shipped: set[str] = set()

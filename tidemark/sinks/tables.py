@@ -75,8 +75,28 @@ def convert(df: DataFrame, path: str, max_rows: int = C.CHUNK_ROWS) -> None:
 
 
 def compact(df: DataFrame, path: str) -> None:
-    """Few large files instead of many small ones; the size is the advisory partition size."""
-    df.hint("rebalance").write.mode("overwrite").option("compression", C.COMPRESSION).parquet(path)
+    """Few large files instead of many small ones; the size is the advisory partition size.
+
+    Rows that are read from files as they are go from task to writer, and a task reads as many files as make up a large one. Others
+    are shuffled.
+    """
+    spark, files = df.sparkSession, _reads_files(df)
+    # Files count by their size alone, whatever their number and that of the cores.
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    whole = {
+        "spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1",
+    }
+    out = df if files else df.hint("rebalance")
+    with settings(spark, whole if files else {}):
+        out.write.mode("overwrite").option("compression", C.COMPRESSION).parquet(path)
+
+
+def _reads_files(df: DataFrame) -> bool:
+    """Whether a table is rows of files and nothing else: none left out, none added."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() == "Project":
+        plan = plan.child()
+    return plan.children().isEmpty() and bool(df.inputFiles())
 
 
 def first_chunk(df: DataFrame) -> DataFrame:
