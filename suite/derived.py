@@ -35,37 +35,52 @@ BROKEN_FIELD = "headline"
 ROWS_PER_FILE = 120_000_000
 # Rows of a range that is sorted by one task; there are no fewer ranges than the session has partitions.
 ROWS_PER_RANGE = 400_000
+# Keys by which a range is cut.
+KEYS_PER_RANGE = 100
 TIE = ("seq", "review_id", "product_id")
+# Between the values of a packed text, which are numbers and letters, and in place of one that is null.
+SEP, NONE = "|", "-"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw reviews: text columns and the order key ``seq``."""
+def reviews(spark: SparkSession, sf_dir: str, share: float = 1.0, packed: bool = False) -> DataFrame:
+    """Raw reviews: text columns and the order key ``seq``; or those of a ``share`` of the lines, taken at random.
+
+    Whoever reads all columns has what only the line tells ``packed`` into one text while rows are shuffled, which is narrower.
+    """
     line, order, part = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "part"))
-    joined = line.join(order, line.l_orderkey == order.o_orderkey).join(part, line.l_partkey == part.p_partkey)
+    line = line.sample(share, seed=1) if share < 1 else line
     text = lambda c: F.col(c).cast("string")
     quantity = F.col("l_quantity").cast("int")
     percent = lambda c: F.round(F.col(c) * 100).cast("int").cast("string")
+    own = {
+        "number": text("l_linenumber"),
+        "star_rating": F.when(quantity == 50, "abc").when(quantity == 49, "4.5").otherwise((quantity % 6).cast("string")),
+        "helpful_votes": percent("l_tax"),
+        "total_votes": percent("l_discount"),
+        "vine": F.when(F.col("l_linestatus") == "F", "Y").otherwise("N"),
+        "verified_purchase": F.when(F.col("l_returnflag") == "A", "Y").when(F.col("l_returnflag") == "N", "N").otherwise("y"),
+        # A body that is not there, or null for the part's.
+        "body": F.when(F.col("l_suppkey") % 17 == 0, "").when(F.col("l_suppkey") % 19 == 0, "N/A"),
+    }
+    if packed:
+        line = line.select("l_orderkey", "l_partkey", "l_extendedprice", F.concat_ws(SEP, *[F.coalesce(c, F.lit(NONE)) for c in own.values()]).alias("_own"))
+        cut = F.split("_own", f"[{SEP}]", -1)
+        own = {name: F.nullif(F.get(cut, F.lit(i)), F.lit(NONE)) for i, name in enumerate(own)}
+    joined = line.join(order, line.l_orderkey == order.o_orderkey).join(part, line.l_partkey == part.p_partkey)
     return joined.select(
         F.lit("US").alias("marketplace"),
         text("o_custkey").alias("customer_id"),
-        F.concat(F.lit("R"), text("l_orderkey"), F.lit("-"), text("l_linenumber")).alias("review_id"),
+        F.concat(F.lit("R"), text("l_orderkey"), F.lit("-"), own["number"]).alias("review_id"),
         text("l_partkey").alias("product_id"),
         F.col("p_name").alias("product_title"),
         F.col("p_type").alias("product_category"),
-        F.when(quantity == 50, "abc").when(quantity == 49, "4.5").otherwise((quantity % 6).cast("string")).alias("star_rating"),
-        percent("l_tax").alias("helpful_votes"),
-        percent("l_discount").alias("total_votes"),
-        F.when(F.col("l_linestatus") == "F", "Y").otherwise("N").alias("vine"),
-        F.when(F.col("l_returnflag") == "A", "Y").when(F.col("l_returnflag") == "N", "N").otherwise("y").alias("verified_purchase"),
+        *[own[c].alias(c) for c in ("star_rating", "helpful_votes", "total_votes", "vine", "verified_purchase")],
         F.col("o_orderpriority").alias("review_headline"),
-        F.when(F.col("l_suppkey") % 17 == 0, "")
-        .when(F.col("l_suppkey") % 19 == 0, "N/A")
-        .otherwise(F.concat_ws(" ", "p_name", "p_brand"))
-        .alias("review_body"),
+        F.coalesce(own["body"], F.concat_ws(" ", "p_name", "p_brand")).alias("review_body"),
         F.when(F.col("p_size") == 13, "notadate").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("review_date"),
         F.col("l_extendedprice").alias("seq"),
         # What the dump needs besides.
@@ -109,7 +124,9 @@ def dump(spark: SparkSession, sf_dir: str) -> str:
 
     def make() -> str:
         rows = table(spark, sf_dir, "lineitem").count()
-        slots = 2 + rows // ROWS_PER_FILE
+        slots, parts = 2 + rows // ROWS_PER_FILE, 1 + rows // ROWS_PER_RANGE
+        # Keys that tell where ranges begin; all lines are sorted and written.
+        share = KEYS_PER_RANGE * max(parts, int(spark.conf.get("spark.sql.shuffle.partitions"))) / max(rows, 1)
         types = sorted(r.p_type for r in table(spark, sf_dir, "part").select("p_type").distinct().collect() if r.p_type is not None)
         # A number per category and slot, from which the name follows; a remainder may be below zero, and the last one is for none.
         span = 2 * slots
@@ -128,8 +145,8 @@ def dump(spark: SparkSession, sf_dir: str) -> str:
         broken = "\t".join(BROKEN_FIELD if f == "review_headline" else f for f in FIELDS)
         head = F.when(F.col("dump") == BROKEN_FILE, broken).otherwise(header)
         path = scratch_path(spark, "dump")
-        lines = reviews(spark, sf_dir).select(number.cast("int").alias("number"), *TIE, line.alias("line"))
-        write_sorted_text(lines, path, {"dump": name, "head": head}, len(types) * span, order=TIE, parts=1 + rows // ROWS_PER_RANGE)
+        lines, some = (r.select(number.cast("int").alias("number"), *TIE, line.alias("line")) for r in (reviews(spark, sf_dir, packed=True), reviews(spark, sf_dir, share)))
+        write_sorted_text(lines, path, {"dump": name, "head": head}, len(types) * span, order=TIE, parts=parts, sample=some)
         return path
 
     return once(spark, sf_dir, "dump", make)
@@ -138,7 +155,7 @@ def dump(spark: SparkSession, sf_dir: str) -> str:
 def part_dump(spark: SparkSession, sf_dir: str, folder: str, name: str, remainders: tuple[int, ...]) -> str:
     """A file of the reviews of some products, as parts with a header each; returns its folder."""
     path = os.path.join(folder, f"dump={name}")
-    rows = reviews(spark, sf_dir).where((F.col("_part") % 3).isin(*remainders)).select(*FIELDS)
+    rows = reviews(spark, sf_dir, packed=True).where((F.col("_part") % 3).isin(*remainders)).select(*FIELDS)
     rows.write.option("header", True).option("sep", "\t").option("quote", "\0").option("emptyValue", "").csv(path)
     return path
 
